@@ -17,18 +17,28 @@ def encode(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.select(*([F.col(key).cast("string").alias("key")] if key else []), value)
 
 
+def parsed(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """JSON text or bytes -> one column per field, other columns of ``df`` kept.
+
+    ``inline`` fixes the parse in place: each document is parsed once, whatever is filtered
+    or projected from its fields later.
+    """
+    rest = [F.col(c) for c in df.columns if c != value]
+    record = F.from_json(F.col(value).cast("string"), schema)
+    return df.select(*rest, F.inline(F.array(record)).alias(*schema.names))
+
+
 def decode(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """JSON bytes or text -> typed columns, other columns of ``df`` kept.
+    """Messages -> typed rows.
 
     A missing key, a malformed document and a NaN token all become null; unknown keys are ignored.
     """
-    rest = [F.col(c) for c in df.columns if c != value]
-    parsed = df.select(*rest, F.from_json(F.col(value).cast("string"), schema).alias("_msg"))
-    return parsed.select(*rest, *[_nan_to_null(f).alias(f.name) for f in schema])
+    rest = [c for c in df.columns if c != value]
+    return parsed(df, schema, value).select(*rest, *[_nan_to_null(f).alias(f.name) for f in schema])
 
 
 def _nan_to_null(field: T.StructField) -> Column:
-    c = F.col("_msg").getField(field.name)
+    c = F.col(field.name)
     if isinstance(field.dataType, T.StringType):
         return F.when(~c.isin(NAN_TEXTS), c)
     if isinstance(field.dataType, T.DoubleType):

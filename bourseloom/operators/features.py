@@ -71,30 +71,37 @@ def technical_features(
                           volatility_days)
 
 
+def _terms(text: str) -> Column:
+    return F.filter(F.split(clean_text(F.col(text)), " "), lambda t: t != "")
+
+
 def term_counts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, term, tf) over the clean text, split at blanks."""
-    terms = F.explode(F.split(clean_text(F.col(text)), " "))
     return (
-        docs.select(doc_id, terms.alias("term")).filter("term != ''")
+        docs.select(doc_id, F.explode(_terms(text)).alias("term"))
         .groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
+def document_frequency(docs: DataFrame, text: str) -> DataFrame:
+    """(term, df): rows that hold the term. Repeats go inside the row, copies on the map side."""
+    return (
+        docs.select(F.explode(F.array_distinct(_terms(text))).alias("term"))
+        .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    )
+
+
 def tfidf(docs: DataFrame, doc_id: str, text: str, salts: int = TERM_SALTS) -> DataFrame:
-    """(doc, term, tf, df, idf, tfidf), idf = ln((N + 1) / (df + 1)).
+    """(doc, term, tf, df, idf, tfidf), idf = ln((N + 1) / (df + 1)); one row per document.
 
     A frequent term stands in nearly every document. Its rows are split over ``salts`` join
     keys, and the vocabulary (one row per term) is repeated per salt.
     """
     tf = term_counts(docs, doc_id, text).withColumn(
-        "_salt", F.pmod(F.xxhash64(doc_id), F.lit(salts))
-    )
-    vocabulary = (
-        tf.groupBy("term", "_salt").agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy("term").agg(F.sum("_n").alias("df"))
+        "_salt", F.pmod(F.xxhash64(doc_id), F.lit(salts)).cast("int")
     )
-    repeated = vocabulary.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+    repeated = document_frequency(docs, text).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     total = docs.agg(F.count(F.lit(1))).scalar()
     joined = tf.join(repeated, ["term", "_salt"]).select(

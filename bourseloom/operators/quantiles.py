@@ -8,6 +8,8 @@ its offset; ranks are finished inside one bucket at a time.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,8 +31,11 @@ def running_counts(
     ``counts`` holds one row per (keys, value); ``keys`` must not be null. The sum over buckets
     is the only step that sees a whole key, and it sees one row per bucket.
     """
-    placed = counts.withColumn("_bucket", value_bucket(F.col(value), per_octave))
     bucket_keys = [*keys, "_bucket"]
+    placed = counts.withColumn("_bucket", value_bucket(F.col(value), per_octave))
+    # stated here, the null tests the join implies are the same on both of its sides, and the
+    # shuffle that makes ``counts`` is done once and reused
+    placed = placed.filter(reduce(and_, [F.col(k).isNotNull() for k in bucket_keys]))
     sums = placed.groupBy(*bucket_keys).agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
     whole = Window.partitionBy(*keys)
     before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

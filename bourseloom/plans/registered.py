@@ -18,7 +18,7 @@ from bourseloom.schemas import (
 )
 from bourseloom.session import use_utc, work_dir
 from bourseloom.sources import files, stand_ins as V
-from bourseloom.sources.tables import read_table, write_by_day, write_table
+from bourseloom.sources.tables import read_table, spread, write_by_day, write_table
 from bourseloom.streaming import alerts as stream_alerts, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,7 +96,8 @@ def headline_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def clean_text_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return V.table(spark, sf, "pages").select("page_id", X.clean_text(F.col("html")).alias("text"))
+    read = spread(V.table(spark, sf, "pages").select("page_id", "html"))
+    return read.select("page_id", X.clean_text(F.col("html")).alias("text"))
 
 
 # --- ingest and quality -----------------------------------------------------------------------
@@ -387,7 +388,8 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
 def news_cards(spark: SparkSession, sf: str) -> DataFrame:
     """Articles of the test pages read as cards; these pages carry no times."""
     layout = pages.Selectors(card=("article", ""), title=("h1", ""), header=("p", ""), block="p")
-    cards = pages.news_cards(V.table(spark, sf, "pages"), "page_id", "html", layout)
+    read = spread(V.table(spark, sf, "pages").select("page_id", "html"))
+    cards = pages.news_cards(read, "page_id", "html", layout)
     return pages.card_headlines(cards, F.lit(STAMP), need_time=False)
 
 
@@ -520,7 +522,8 @@ def technical_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def tfidf_terms(spark: SparkSession, sf: str) -> DataFrame:
-    made = features.tfidf(V.table(spark, sf, "documents"), "doc_id", "text")
+    read = spread(V.table(spark, sf, "documents").select("doc_id", "text"))
+    made = features.tfidf(read, "doc_id", "text")
     return made.select("doc_id", "term", "tf", "df", F.round("idf", 6).alias("idf"),
                        F.round("tfidf", 6).alias("tfidf"))
 

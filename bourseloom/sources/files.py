@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bourseloom.functions.codec import parsed
 from bourseloom.functions.text import na_to_null, safe_name
 from bourseloom.functions.times import iso_market, market_now
 from bourseloom.operators.bars import TIME_COL
@@ -124,4 +125,4 @@ def read_preopen_json(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_preopen(df: DataFrame, text: str) -> DataFrame:
     """Payload documents held in a text column."""
-    return df.select(F.from_json(text, PREOPEN_PAYLOAD).alias("_p")).select("_p.*")
+    return parsed(df.select(text), PREOPEN_PAYLOAD, text)

@@ -16,6 +16,16 @@ def read_table(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer splits than the session has cores.
+
+    For CPU-heavy work right after the scan of a few files that cannot be split. A scan with
+    splits enough, the normal case on a cluster, passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_jdbc(
     spark: SparkSession, url: str, table: str, user: str, password: str,
     split_column: str | None = None, lower: str | None = None, upper: str | None = None,

@@ -141,7 +141,8 @@ preopen AS (
          CASE WHEN l_partkey % 2 = 1 THEN round(turnover * 100 / 1e7, 2) ELSE 0.0 END
            AS ffm_cap_crores,
          prev * 2 AS nm_52w_high, prev / 2 AS nm_52w_low,
-         count_if(change > 0) OVER doc AS advances, count_if(change < 0) OVER doc AS declines,
+         CAST(count_if(change > 0) OVER doc AS BIGINT) AS advances,
+         CAST(count_if(change < 0) OVER doc AS BIGINT) AS declines,
          CASE WHEN l_suppkey % 7 = 0 THEN 'pending'
               ELSE strftime(DATE '2026-06-01' + CAST(l_suppkey % 28 AS INTEGER), '%d-%b-%Y')
                    || ' 09:07:55' END AS payload_time
@@ -547,7 +548,7 @@ SQL["stream_dedupe"] = "SELECT event_id, event_type, value FROM events"
 
 SQL["stream_alert_error_rate"] = f"""
 WITH {WINDOWS}, {ERRORS}
-SELECT window_end, n, errors, breached FROM errors
+SELECT window_end, n, CAST(errors AS BIGINT) AS errors, breached FROM errors
 WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""
 
 SQL["alert_latency_p95"] = f"""

@@ -37,6 +37,19 @@ def duck_rows(db, sql: str) -> tuple[list[str], Counter]:
     return names, Counter(tuple(_plain(r[i]) for i in order) for r in result.fetchall())
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+def type_difference(df, db, sql: str) -> str:
+    """Empty when every column has the same type on both sides."""
+    theirs = {d[0]: str(d[1]) for d in db.execute(sql).description}
+    wrong = [(n, t, theirs.get(n)) for n, t in df.dtypes if SQL_TYPES.get(t) != theirs.get(n)]
+    return str(wrong) if wrong else ""
+
+
 def difference(df, db, sql: str) -> str:
     """Empty when both give the same columns and rows."""
     names, ours = spark_rows(df)
