@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bourseloom.operators.quantiles import exact_quantiles
+from bourseloom.operators.quantiles import exact_quantiles, known
 
-# Rule window, thresholds, hold time and the latency quantile.
+# Rule window, thresholds, hold time, the latency quantile, and the bucket
+# bounds (seconds) a latency histogram has unless it names others.
 RULE_WINDOW = "5 minutes"
 RULE_SLIDE = "1 minute"
 LATENCY_QUANTILE = 0.95
 LATENCY_LIMIT = 1.0
 ERROR_RATE_LIMIT = 0.05
 HOLD_SECONDS = 300
+LATENCY_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
 
 
 def windowed(df: DataFrame, time: str, window: str, slide: str) -> DataFrame:
@@ -35,7 +39,7 @@ def latency_alert(
     """
     pane = F.window(time, slide)["start"]
     panes = (
-        df.filter(F.col(latency).isNotNull())
+        df.filter(F.col(time).isNotNull() & known(F.col(latency)))
         .groupBy(pane.alias("_pane"), F.col(latency).alias("_latency"))
         .agg(F.count(F.lit(1)).alias("_count"))
     )
@@ -48,6 +52,43 @@ def latency_alert(
     )
 
 
+def histogram_alert(
+    df: DataFrame, time: str, latency: str, bounds: Sequence[float] = LATENCY_BOUNDS,
+    window: str = RULE_WINDOW, slide: str = RULE_SLIDE, quantile: float = LATENCY_QUANTILE,
+    limit: float = LATENCY_LIMIT,
+) -> DataFrame:
+    """(window, n, latency, breached): the rule as written, a quantile read off histogram buckets.
+
+    A value counts in the first bucket whose upper bound it does not exceed. The quantile is
+    interpolated inside the bucket that holds its rank; the first bucket starts at 0, and a
+    rank beyond the last bound gives that bound. Windows hold one row of bucket counts.
+    """
+    pane = F.window(time, slide)["start"]
+    panes = (
+        df.filter(F.col(time).isNotNull() & known(F.col(latency)))
+        .groupBy(pane.alias("_pane"))
+        .agg(F.count(F.lit(1)).alias("_all"),
+             *[F.count_if(F.col(latency) <= b).alias(f"_le{i}") for i, b in enumerate(bounds)])
+    )
+    totals = windowed(panes, "_pane", window, slide).groupBy("window_start", "window_end").agg(
+        F.sum("_all").alias("n"), F.array(*[F.sum(f"_le{i}") for i in range(len(bounds))])
+        .alias("_cum")
+    )
+    rank = F.col("n") * quantile
+    uppers = F.array(*[F.lit(float(b)) for b in bounds])
+    below = F.size(F.filter("_cum", lambda c: c < rank))
+    lower_bound = F.coalesce(F.get(uppers, below - 1), F.lit(0.0))
+    lower_count = F.coalesce(F.get("_cum", below - 1), F.lit(0))
+    inside = (rank - lower_count) / (F.get("_cum", below) - lower_count)
+    read_off = F.when(below == len(bounds), F.lit(float(bounds[-1]))).otherwise(
+        lower_bound + (F.get(uppers, below) - lower_bound) * inside
+    )
+    return totals.select(
+        "window_start", "window_end", "n", read_off.alias("latency"),
+        (read_off > limit).alias("breached"),
+    )
+
+
 def error_alert(
     df: DataFrame, time: str, is_error: Column, window: str = RULE_WINDOW,
     slide: str = RULE_SLIDE, limit: float = ERROR_RATE_LIMIT,

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bourseloom.operators.quantiles import exact_quantiles, running_counts
+from bourseloom.operators.quantiles import exact_quantiles, known, running_counts
 
 PSI_FLOOR = 1e-6
 PSI_BINS = 10
@@ -20,6 +20,13 @@ def quantile_edges(baseline: DataFrame, value: str, bins: int = PSI_BINS) -> Dat
     )
 
 
+def _samples(baseline: DataFrame, current: DataFrame, value: str) -> DataFrame:
+    both = baseline.select(F.col(value).alias("_v"), F.lit(1).alias("_base")).unionAll(
+        current.select(F.col(value).alias("_v"), F.lit(0).alias("_base"))
+    )
+    return both.filter(known(F.col("_v")))
+
+
 def psi(
     baseline: DataFrame, current: DataFrame, value: str, bins: int = PSI_BINS,
     floor: float = PSI_FLOOR,
@@ -30,24 +37,25 @@ def psi(
     The edges reach the rows as a scalar subquery: a constant of ``bins - 1`` numbers.
     """
     edges = quantile_edges(baseline, value, bins).scalar()
-    both = baseline.select(F.col(value).alias("_v"), F.lit(1).alias("_base")).unionAll(
-        current.select(F.col(value).alias("_v"), F.lit(0).alias("_base"))
-    ).filter(F.col("_v").isNotNull())
-    binned = both.select("_v", "_base", edges.alias("_edges")).select(
+    binned = _samples(baseline, current, value).select("_v", "_base", edges.alias("_edges")).select(
         "_base", F.size(F.filter("_edges", lambda e: e <= F.col("_v"))).alias("bin")
     )
     counts = binned.groupBy("bin").agg(
         F.sum("_base").alias("baseline_count"),
         F.sum(1 - F.col("_base")).alias("current_count"),
     )
-    all_bins = both.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    all_bins = counts.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     full = all_bins.join(counts, "bin", "left").na.fill(0, ["baseline_count", "current_count"])
-    sums = counts.agg(F.struct(F.sum("baseline_count").alias("b"),
-                               F.sum("current_count").alias("c"))).scalar()
+    # ten rows at most: the totals come from a window over them, not from another pass
+    every = Window.partitionBy()
+
+    def share(count: str) -> Column:
+        return F.greatest(F.try_divide(F.col(count), F.sum(count).over(every)), F.lit(floor))
+
     shares = full.select(
         "bin", "baseline_count", "current_count",
-        F.greatest(F.col("baseline_count") / sums["b"], F.lit(floor)).alias("baseline_share"),
-        F.greatest(F.col("current_count") / sums["c"], F.lit(floor)).alias("current_share"),
+        share("baseline_count").alias("baseline_share"),
+        share("current_count").alias("current_share"),
     )
     gap = F.col("current_share") - F.col("baseline_share")
     return shares.withColumn("psi", gap * F.log(F.col("current_share") / F.col("baseline_share")))
@@ -55,10 +63,7 @@ def psi(
 
 def ks(baseline: DataFrame, current: DataFrame, value: str) -> DataFrame:
     """One row: largest gap between the two distribution functions, and the sample sizes."""
-    both = baseline.select(F.col(value).alias("_v"), F.lit(1).alias("_base")).unionAll(
-        current.select(F.col(value).alias("_v"), F.lit(0).alias("_base"))
-    ).filter(F.col("_v").isNotNull())
-    counts = both.groupBy("_v").agg(
+    counts = _samples(baseline, current, value).groupBy("_v").agg(
         F.sum("_base").alias("b"), F.sum(1 - F.col("_base")).alias("c")
     )
     ranked = running_counts(counts, [], "_v", ["b", "c"])
@@ -67,7 +72,3 @@ def ks(baseline: DataFrame, current: DataFrame, value: str) -> DataFrame:
         F.max(gap).alias("ks"), F.max("all_b").alias("baseline_count"),
         F.max("all_c").alias("current_count"),
     )
-
-
-def drifted(measure: Column, limit: float) -> Column:
-    return measure > limit

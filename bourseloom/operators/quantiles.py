@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 BUCKETS_PER_OCTAVE = 256
 
 
+def known(value: Column) -> Column:
+    """Neither null nor NaN."""
+    return value.isNotNull() & ~F.isnan(value)
+
+
 def value_bucket(value: Column, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
     """A bucket number that never decreases with the value; about 0.3 % wide by default."""
     return F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * per_octave)
@@ -59,13 +64,13 @@ def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
     per_octave: int = BUCKETS_PER_OCTAVE, weight: str | None = None,
 ) -> DataFrame:
-    """(keys, prob, quantile, n): linear-interpolation quantiles of the non-null values.
+    """(keys, prob, quantile, n): linear-interpolation quantiles of the values, missing ones left out.
 
     ``weight`` names a column of repeat counts. ``keys`` must not be null.
     """
     repeats = F.sum(weight) if weight else F.count(F.lit(1))
     counts = (
-        df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v"))
+        df.filter(known(F.col(value))).groupBy(*keys, F.col(value).alias("_v"))
         .agg(repeats.alias("_n"))
     )
     ranked = running_counts(counts, keys, "_v", ["_n"], per_octave)

@@ -38,6 +38,16 @@ def train_sentiment(labelled: DataFrame, text: str, label: str) -> PipelineModel
     ]).fit(rows)
 
 
+def stored(model: PipelineModel, folder: str) -> PipelineModel:
+    """The model as saved and loaded again: what scores is what was kept.
+
+    A freshly trained model drags its training summary, and with it the session, into every
+    task; a loaded one does not.
+    """
+    model.write().overwrite().save(folder)
+    return PipelineModel.load(folder)
+
+
 def score_sentiment(
     model: PipelineModel, docs: DataFrame, key: str, text: str, band: float = NEUTRAL_BAND
 ) -> DataFrame:

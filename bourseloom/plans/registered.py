@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {}
 # Alert windows wide enough for events minutes apart; the library defaults are minutes.
 WINDOW, SLIDE, SLIDE_SECONDS, HOLD_SECONDS = "6 hours", "1 hour", 3600, 10_800
 LATENCY_LIMIT, ERROR_LIMIT = 150.0, 0.00085
+LATENCY_BOUNDS = [1.0, 10.0, 50.0, 100.0, 200.0, 400.0]
 AS_OF = "2024-02-01 09:00:00"
 STAMP = "2024-02-01T09:00:00+05:30"
 NEWS_HOST = "news.example"
@@ -481,6 +482,13 @@ def alert_latency_p95(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def alert_latency_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    made = alerts.histogram_alert(V.table(spark, sf, "events"), "ts", "value", LATENCY_BOUNDS,
+                                  WINDOW, SLIDE, limit=LATENCY_LIMIT)
+    return made.withColumn("latency", F.round("latency", 4))
+
+
 @query
 def alert_error_rate(spark: SparkSession, sf: str) -> DataFrame:
     return _errors(spark, sf).select(
@@ -532,7 +540,8 @@ def tfidf_terms(spark: SparkSession, sf: str) -> DataFrame:
 def sentiment_scores(spark: SparkSession, sf: str) -> DataFrame:
     documents = V.table(spark, sf, "documents")
     labelled = documents.join(V.table(spark, sf, "labels"), "doc_id")
-    model = modeling.train_sentiment(labelled, "text", "quality")
+    trained = modeling.train_sentiment(labelled, "text", "quality")
+    model = modeling.stored(trained, work_dir(spark, "sentiment-model"))
     return modeling.score_sentiment(model, documents, "doc_id", "text")
 
 
@@ -542,7 +551,9 @@ def _direction_scores(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_dir(spark, "direction-inputs")
     write_table(modeling.direction_inputs(vectors), folder)
     inputs = read_table(spark, folder)
-    return modeling.score_direction(modeling.train_direction(inputs), inputs)
+    trained = modeling.train_direction(inputs)
+    model = modeling.stored(trained, work_dir(spark, "direction-model"))
+    return modeling.score_direction(model, inputs)
 
 
 @query

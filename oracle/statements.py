@@ -555,6 +555,28 @@ SQL["alert_latency_p95"] = f"""
 WITH {LATENCY}
 SELECT window_start, window_end, n, round(latency, 4) AS latency, breached FROM latency"""
 
+SQL["alert_latency_histogram"] = f"""
+WITH {WINDOWS},
+bounds AS (
+  SELECT * FROM (VALUES (0.0, 1.0), (1.0, 10.0), (10.0, 50.0), (50.0, 100.0), (100.0, 200.0),
+                        (200.0, 400.0)) AS b(low, high)),
+totals AS (SELECT window_start, window_end, count(*) AS n FROM spans GROUP BY ALL),
+cums AS (
+  SELECT window_start, window_end, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high,
+         count_if(value <= low) AS under, count_if(value <= high) AS upto
+  FROM spans, bounds GROUP BY ALL),
+holding AS (
+  SELECT c.*, n * 0.95::DOUBLE AS rank FROM cums c JOIN totals USING (window_start, window_end)
+  WHERE upto >= n * 0.95::DOUBLE
+  QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY high) = 1),
+read AS (
+  SELECT t.window_start, t.window_end, t.n,
+         coalesce(low + (high - low) * (rank - CASE WHEN low = 0 THEN 0 ELSE under END)
+                    / (upto - CASE WHEN low = 0 THEN 0 ELSE under END), 400.0) AS latency
+  FROM totals t LEFT JOIN holding USING (window_start, window_end))
+SELECT window_start, window_end, n, round(latency, 4) AS latency, latency > 150.0 AS breached
+FROM read"""
+
 SQL["alert_error_rate"] = f"""
 WITH {WINDOWS}, {ERRORS}
 SELECT window_start, window_end, n, CAST(errors AS BIGINT) AS errors,
