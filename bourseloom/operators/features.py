@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourseloom.functions.text import clean_text
+from bourseloom.operators.lookup import split_lookup
 
 FLAT_BAND = 0.001
 LAGS = [1, 2, 5]
 AVERAGES = [5, 20]
 VOLATILITY_DAYS = 20
-TERM_SALTS = 16
 
 
 def with_direction(prices: DataFrame, band: float = FLAT_BAND) -> DataFrame:
@@ -91,22 +91,18 @@ def document_frequency(docs: DataFrame, text: str) -> DataFrame:
     )
 
 
-def tfidf(docs: DataFrame, doc_id: str, text: str, salts: int = TERM_SALTS) -> DataFrame:
+def tfidf(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, term, tf, df, idf, tfidf), idf = ln((N + 1) / (df + 1)); one row per document.
 
-    A frequent term stands in nearly every document. Its rows are split over ``salts`` join
-    keys, and the vocabulary (one row per term) is repeated per salt.
+    A frequent term stands in nearly every document. Its document frequency is also its weight
+    in the join, so the split into heavy and light terms costs no further count.
     """
-    tf = term_counts(docs, doc_id, text).withColumn(
-        "_salt", F.pmod(F.xxhash64(doc_id), F.lit(salts)).cast("int")
-    )
-    repeated = document_frequency(docs, text).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    tf = term_counts(docs, doc_id, text)
+    vocabulary = document_frequency(docs, text)
     total = docs.agg(F.count(F.lit(1))).scalar()
-    joined = tf.join(repeated, ["term", "_salt"]).select(
-        doc_id, "term", "tf", "df", F.log((total + 1) / (F.col("df") + 1)).alias("idf")
-    )
+    joined = split_lookup(
+        tf, vocabulary, "term", weights=vocabulary.withColumnRenamed("df", "n")
+    ).withColumn("idf", F.log((total + 1) / (F.col("df") + 1)))
     return joined.withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 

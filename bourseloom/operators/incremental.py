@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourseloom.functions.times import epoch_seconds, parse_history_time
+from bourseloom.operators.lookup import lookup
 from bourseloom.session import MARKET_ZONE
 
 # Bars asked for beyond the gap, least request, and the first-load depth.
@@ -35,10 +36,12 @@ def latest_bar(df: DataFrame, time_col: str, symbol: str = "symbol") -> DataFram
 def newer_than(
     df: DataFrame, latest: DataFrame, time: Column, symbol: str = "symbol"
 ) -> DataFrame:
-    """Rows strictly after their symbol's ``latest``; unknown symbols and unreadable times stay."""
-    cut = latest.select(F.col(symbol).alias("_cut_symbol"), F.col("latest").alias("_cut"))
-    stamped = df.withColumn("_t", time)
-    kept = stamped.join(cut, stamped[symbol] == cut["_cut_symbol"], "left").filter(
+    """Rows strictly after their symbol's ``latest``; unknown symbols and unreadable times stay.
+
+    A symbol may hold any share of the rows: see :func:`bourseloom.operators.lookup.lookup`.
+    """
+    cut = latest.select(symbol, F.col("latest").alias("_cut"))
+    kept = lookup(df.withColumn("_t", time), cut, symbol).filter(
         F.col("_cut").isNull() | F.col("_t").isNull() | (F.col("_t") > F.col("_cut"))
     )
     return kept.select(*df.columns)

@@ -1,8 +1,4 @@
-"""The stock dimension and symbol resolution.
-
-Dimension sides carry no broadcast hint: Spark broadcasts them once it has measured that
-they are small, and sorts, merges and splits skewed keys otherwise.
-"""
+"""The stock dimension and symbol resolution."""
 
 from __future__ import annotations
 
@@ -10,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bourseloom.functions.text import exchange_ticker, news_page_url
+from bourseloom.operators.lookup import lookup
 
 
 def usable_stocks(df: DataFrame, name_col: str) -> DataFrame:
@@ -38,9 +35,9 @@ def resolve_symbol(
     """
     names = (
         dim.filter(F.col(from_col).isNotNull())
-        .groupBy(F.col(from_col).alias("_from")).agg(F.min(to_col).alias("_to"))
+        .groupBy(F.col(from_col).alias(symbol)).agg(F.min(to_col).alias("_to"))
     )
     rest = [c for c in df.columns if c != symbol]
-    return df.join(names, df[symbol] == names["_from"], "left").select(
+    return lookup(df, names, symbol).select(
         F.col("_to").alias(symbol), F.col(symbol).alias(f"source_{symbol}"), *rest
     )

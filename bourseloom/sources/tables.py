@@ -64,14 +64,17 @@ def write_jdbc(
     ).mode(mode).save()
 
 
-def write_by_day(df: DataFrame, path: str, day: str, order: list[Column]) -> int:
-    """One partition per trading day, replacing only the days present in ``df``.
+def write_by_day(
+    df: DataFrame, path: str, day: str, order: list[Column], full: bool = False
+) -> int:
+    """One partition per day; only the days present in ``df`` are replaced, or all with ``full``.
 
     Rows are range-partitioned on the day and the order inside it, so a heavy day is written
     by several tasks and files follow the order.
     """
     ranged = df.repartitionByRange(F.col(day), *order).sortWithinPartitions(F.col(day), *order)
-    return write_table(ranged, path, partition_by=[day], partitionOverwriteMode="dynamic")
+    return write_table(ranged, path, partition_by=[day],
+                       partitionOverwriteMode="static" if full else "dynamic")
 
 
 def print_json(df: DataFrame, n: int = 10) -> None:
