@@ -449,22 +449,32 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
-@query
-def stream_alert_error_rate(spark: SparkSession, sf: str) -> DataFrame:
-    """Error rule as a stream; windows the watermark has not passed are not out yet."""
+def _evaluated_errors(spark: SparkSession, sf: str) -> str:
+    """The error rule run as a stream; windows the watermark has not passed are not out yet."""
     base = work_dir(spark, "stream-errors")
     events = _file_stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     rates = stream_alerts.error_alert_stream(
         events, "ts", F.col("event_type") == "error", "1 hour", WINDOW, SLIDE, ERROR_LIMIT
     )
-    (rates.writeStream.format("parquet").option("path", f"{base}/out")
-     .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
-     .start().awaitTermination())
-    return spark.read.parquet(f"{base}/out").select(
+    stream_alerts.start_evaluations(rates, f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    return f"{base}/log"
+
+
+@query
+def stream_alert_error_rate(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(_evaluated_errors(spark, sf)).select(
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n", "errors", "breached"
     )
 
 
+@query
+def stream_alert_firing(spark: SparkSession, sf: str) -> DataFrame:
+    runs = stream_alerts.fired_alerts(spark, _evaluated_errors(spark, sf), "errors",
+                                      SLIDE_SECONDS, HOLD_SECONDS)
+    wall = {c: F.col(c).cast("timestamp_ntz") for c in ("pending_from", "last_breach")}
+    return runs.withColumns(wall)
+
+
 def _latency(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.latency_alert(V.table(spark, sf, "events"), "ts", "value", WINDOW, SLIDE,
                                 limit=LATENCY_LIMIT)

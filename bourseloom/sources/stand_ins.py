@@ -19,6 +19,7 @@ HISTORY_END = "2024-01-20"
 PAYLOAD_ITEMS = 500
 SYMBOLS_WITH_NEWS = 15
 NO_HISTORY_SYMBOL = "U3"
+NO_BARS_FROM = "U5"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,25 +75,21 @@ def raw_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_headlines(table(spark, sf_dir, "documents"))
 
 
-def _again(documents: DataFrame) -> DataFrame:
-    """Every tenth headline, scraped again a day later."""
-    later = document_headlines(documents.filter("doc_id % 10 = 0"))
-    return later.withColumn("scraped_at", F.col("scraped_at") + _hours(F.lit(24)))
+def _second_scrape(headlines: DataFrame) -> DataFrame:
+    return headlines.withColumn("scraped_at", F.col("scraped_at") + _hours(F.lit(24)))
 
 
 def repeated_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All headlines plus second scrapes of some."""
-    documents = table(spark, sf_dir, "documents")
-    return document_headlines(documents).unionByName(_again(documents))
+    """All headlines, and all of them scraped again a day later."""
+    first = raw_headlines(spark, sf_dir)
+    return first.unionByName(_second_scrape(first))
 
 
 def staged_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All headlines, second scrapes, and extra rows without text."""
-    documents = table(spark, sf_dir, "documents")
-    blank = document_headlines(documents.filter("doc_id % 17 = 0")).withColumn(
-        "headline", F.lit("")
-    )
-    return document_headlines(documents).unionByName(_again(documents)).unionByName(blank)
+    """All headlines, and a second scrape in which some have lost their text."""
+    first = raw_headlines(spark, sf_dir)
+    lost = F.when(F.col("headline_id").like("f%"), F.lit("")).otherwise(F.col("headline"))
+    return first.unionByName(_second_scrape(first).withColumn("headline", lost))
 
 
 def headline_history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -156,18 +153,18 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bar_history(bars: DataFrame) -> DataFrame:
-    """Stored bars: to a day, and only for stocks with an even number."""
-    number = F.substring("symbol", 2, 20).cast("long")
-    return bars.filter((F.col("date") <= F.lit(HISTORY_END).cast("date")) & (number % 2 == 0))
+    """Stored bars: to a day, and nothing yet for stocks late in the alphabet."""
+    return bars.filter(
+        (F.col("date") <= F.lit(HISTORY_END).cast("date")) & (F.col("symbol") < NO_BARS_FROM)
+    )
 
 
 def fetched_bars(bars: DataFrame) -> DataFrame:
-    """Vendor delivery: every bar once, bars of even volume again with a later close."""
+    """Vendor delivery: every bar, then every bar again with a corrected close."""
     first = bars.withColumn("arrival", F.lit(0))
-    again = bars.filter("volume % 2 = 0").withColumns(
-        {"close": F.col("close") + 0.5, "arrival": F.lit(1)}
+    return first.unionByName(
+        bars.withColumns({"close": F.col("close") + 0.5, "arrival": F.lit(1)})
     )
-    return first.unionByName(again)
 
 
 def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:

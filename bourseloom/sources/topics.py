@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from bourseloom.functions.codec import encode
 
@@ -30,9 +31,11 @@ def topic_table(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     ).load().select("value", *PASS_THROUGH)
 
 
-def write_topic(df: DataFrame, servers: str, topic: str, key: str | None = None) -> None:
-    """Rows as JSON messages; ``key`` keeps the messages of one key in order."""
-    messages = encode(df, key)
+def write_topic(df: DataFrame, servers: str, topic: str, key: str | None = None) -> int:
+    """Rows as JSON messages, and how many were sent; ``key`` keeps one key's messages in order."""
+    sent = Observation()
+    messages = encode(df, key).observe(sent, F.count(F.lit(1)).alias("sent"))
     messages.write.format("kafka").options(
         **{"kafka.bootstrap.servers": servers, "topic": topic}
     ).save()
+    return sent.get["sent"]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from bourseloom.operators.alerts import (
-    ERROR_RATE_LIMIT, LATENCY_LIMIT, LATENCY_QUANTILE, RULE_SLIDE, RULE_WINDOW, error_rates,
+    ERROR_RATE_LIMIT, HOLD_SECONDS, LATENCY_LIMIT, LATENCY_QUANTILE, RULE_SLIDE, RULE_WINDOW,
+    error_rates, firing,
 )
 
 
@@ -37,3 +39,21 @@ def latency_alert_stream(
         F.count(latency).alias("n"), sketch.alias("latency")
     ).select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
              "n", "latency", (F.col("latency") > limit).alias("breached"))
+
+
+def start_evaluations(
+    rates: DataFrame, log: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Keep every finished window of a rule; each window comes out once, when it is final."""
+    writer = rates.writeStream.format("parquet").outputMode("append").option("path", log)
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if every is None
+            else writer.trigger(processingTime=every)).start()
+
+
+def fired_alerts(
+    spark: SparkSession, log: str, alert: str, slide_seconds: int,
+    hold_seconds: int = HOLD_SECONDS,
+) -> DataFrame:
+    """Runs of breached windows kept so far: pending or fired."""
+    return firing(spark.read.parquet(log), alert, slide_seconds, hold_seconds)

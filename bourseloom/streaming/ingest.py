@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from bourseloom.functions.codec import decode
+from bourseloom.functions.times import iso_market, market_now
 from bourseloom.operators.dedupe import keep_first, keep_latest
 from bourseloom.operators.quality import valid_headlines, valid_prices
 from bourseloom.schemas import HEADLINE_MESSAGE, PRICE_MESSAGE
@@ -24,9 +25,17 @@ from bourseloom.schemas import HEADLINE_MESSAGE, PRICE_MESSAGE
 BATCH = "batch_id"
 
 
-def accepted_headlines(messages: DataFrame, limit: int | None = None) -> DataFrame:
-    """Decoded messages that carry the required fields, at most ``limit`` of them (batch only)."""
+def accepted_headlines(
+    messages: DataFrame, limit: int | None = None, fill_scraped_at: bool = True
+) -> DataFrame:
+    """Decoded messages that carry the required fields, at most ``limit`` of them (batch only).
+
+    A headline without a scrape time would belong to no day; it gets the ingest time unless
+    ``fill_scraped_at`` is off.
+    """
     good = valid_headlines(decode(messages, HEADLINE_MESSAGE))
+    if fill_scraped_at:
+        good = good.withColumn("scraped_at", F.coalesce("scraped_at", iso_market(market_now())))
     return good if limit is None else good.limit(limit)
 
 

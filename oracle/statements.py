@@ -52,12 +52,13 @@ STAGED_HEADLINES = RAW_HEADLINES + """,
 repeated_headlines AS (
   SELECT * FROM raw_headlines
   UNION ALL
-  SELECT * REPLACE (scraped_at + INTERVAL 1 DAY AS scraped_at)
-  FROM raw_headlines WHERE doc_id % 10 = 0),
+  SELECT * REPLACE (scraped_at + INTERVAL 1 DAY AS scraped_at) FROM raw_headlines),
 staged_headlines AS (
-  SELECT * FROM repeated_headlines
+  SELECT * FROM raw_headlines
   UNION ALL
-  SELECT * REPLACE ('' AS headline) FROM raw_headlines WHERE doc_id % 17 = 0)"""
+  SELECT * REPLACE (scraped_at + INTERVAL 1 DAY AS scraped_at,
+                    CASE WHEN headline_id LIKE 'f%' THEN '' ELSE headline END AS headline)
+  FROM raw_headlines)"""
 
 
 def clean(text: str) -> str:
@@ -93,11 +94,11 @@ utc_daily AS (
 daily_bars AS (SELECT * EXCLUDE (datetime), CAST(datetime AS DATE) AS date FROM utc_daily),
 bar_history AS (
   SELECT * FROM daily_bars
-  WHERE date <= DATE '2024-01-20' AND CAST(substr(symbol, 2) AS BIGINT) % 2 = 0),
+  WHERE date <= DATE '2024-01-20' AND symbol < 'U5'),
 fetched_bars AS (
   SELECT *, 0 AS arrival FROM daily_bars
   UNION ALL BY NAME
-  SELECT * REPLACE (close + 0.5 AS close), 1 AS arrival FROM daily_bars WHERE volume % 2 = 0),
+  SELECT * REPLACE (close + 0.5 AS close), 1 AS arrival FROM daily_bars),
 new_bars AS (
   SELECT f.symbol, f.date, f.open, f.high, f.low, f.close, f.volume
   FROM fetched_bars f
@@ -551,6 +552,12 @@ WITH {WINDOWS}, {ERRORS}
 SELECT window_end, n, CAST(errors AS BIGINT) AS errors, breached FROM errors
 WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""
 
+SQL["stream_alert_firing"] = f"""
+WITH {WINDOWS}, {ERRORS},
+finished AS (
+  SELECT * FROM errors WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events))
+{last_run('errors', 'finished')}"""
+
 SQL["alert_latency_p95"] = f"""
 WITH {LATENCY}
 SELECT window_start, window_end, n, round(latency, 4) AS latency, breached FROM latency"""
