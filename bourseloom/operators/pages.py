@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bourseloom.functions.text import (
-    NEWS_HOST, first_external_link, headline_id, longest_text, strip_source,
+    MIN_FALLBACK_CHARS, NEWS_HOST, first_external_link, headline_id, longest_text, strip_source,
 )
 from bourseloom.functions.times import iso_market, parse_news_time
 from bourseloom.session import MARKET_ZONE
@@ -26,6 +26,7 @@ VOID_TAGS = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
     "track", "wbr",
 }
+SILENT_TAGS = {"script", "style", "template"}
 
 
 @dataclass(frozen=True)
@@ -61,6 +62,7 @@ class _CardWalk(HTMLParser):
         self.want = selectors
         self.open: list[dict] = []
         self.cards: list[dict] = []
+        self.run: list[str] = []
 
     def _fits(self, rule: tuple[str, str], tag: str, classes: str) -> bool:
         return tag == rule[0] and re.search(rule[1], classes) is not None
@@ -69,6 +71,7 @@ class _CardWalk(HTMLParser):
         return [n for n in self.open if role in n["roles"]]
 
     def handle_starttag(self, tag, attrs):
+        self._end_run()
         given = {k: v or "" for k, v in attrs}
         classes = given.get("class", "")
         node = {"tag": tag, "roles": set(), "texts": []}
@@ -99,14 +102,27 @@ class _CardWalk(HTMLParser):
             self.open.append(node)
 
     def handle_endtag(self, tag):
+        self._end_run()
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth]["tag"] == tag:
                 del self.open[depth:]
                 return
 
     def handle_data(self, data):
-        text = data.strip()
-        if not text:
+        self.run.append(data)
+
+    def handle_comment(self, data):
+        self._end_run()
+
+    def close(self):
+        super().close()
+        self._end_run()
+
+    def _end_run(self):
+        """One text between two tags, however many pieces the parser gave it in."""
+        text = "".join(self.run).strip()
+        self.run.clear()
+        if not text or any(node["tag"] in SILENT_TAGS for node in self.open):
             return
         for node in self.open:
             if node["roles"] & {"block", "title"}:
@@ -162,7 +178,7 @@ def card_headlines(
     from text and time.
     """
     long_blocks = F.filter(
-        F.col("blocks"), lambda b, i: F.get(F.col("block_chars"), i) > 20
+        F.col("blocks"), lambda b, i: F.get(F.col("block_chars"), i) > MIN_FALLBACK_CHARS
     )
     timed = cards.select(
         "page_key", "card",

@@ -387,8 +387,9 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def news_cards(spark: SparkSession, sf: str) -> DataFrame:
-    """Articles of the test pages read as cards; these pages carry no times."""
-    layout = pages.Selectors(card=("article", ""), title=("h1", ""), header=("p", ""), block="p")
+    """Articles of the test pages read as cards; these pages carry no times and no source line."""
+    layout = pages.Selectors(card=("article", ""), title=("h1", ""), header=("header", ""),
+                             block="p")
     read = spread(V.table(spark, sf, "pages").select("page_id", "html"))
     cards = pages.news_cards(read, "page_id", "html", layout)
     return pages.card_headlines(cards, F.lit(STAMP), need_time=False)

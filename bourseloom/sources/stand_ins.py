@@ -199,7 +199,7 @@ def preopen_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_suppkey", "l_partkey",
             F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"),
             prev.alias("previousClose"), F.col("last").alias("iep"), "change",
-            F.round(F.col("change") / prev * 100, 2).alias("pChange"),
+            (F.col("change") / prev * 100).alias("pChange"),
             F.col("last").alias("lastPrice"), F.col("quantity").alias("finalQuantity"),
             F.col("turnover").alias("totalTurnover"),
             F.when(F.col("l_partkey") % 2 == 1, F.col("turnover") * 100).alias("marketCap"),

@@ -136,7 +136,7 @@ priced AS (
 moved AS (SELECT *, round(last - prev, 2) AS change FROM priced),
 preopen AS (
   SELECT 'P' || l_partkey AS symbol, prev AS prev_close, last AS iep, change,
-         round(change / prev * 100, 2) AS pct_change, last AS final_price,
+         change / prev * 100 AS pct_change, last AS final_price,
          quantity AS final_quantity,
          round(turnover / 1e7, 2) AS value_crores,
          CASE WHEN l_partkey % 2 = 1 THEN round(turnover * 100 / 1e7, 2) ELSE 0.0 END
@@ -532,6 +532,16 @@ SELECT page_id, coalesce(list_filter(found,
          lambda x: starts_with(x, 'http') AND NOT contains(x, 'example.org'))[1], '') AS link
 FROM links"""
 
+SQL["news_cards"] = """
+WITH titles AS (
+  SELECT CAST(page_id AS VARCHAR) AS symbol,
+         trim(regexp_replace(regexp_replace(regexp_extract(html, '<article><h1>(.*?)</h1>', 1),
+                             '&quot;?', '"', 'g'), '&amp;?', '&', 'g')) AS headline
+  FROM pages)
+SELECT substr(sha256(headline), 1, 16) AS headline_id, symbol, '' AS published_at, '' AS source,
+       headline, '' AS article_url, '2024-02-01T09:00:00+05:30' AS scraped_at
+FROM titles WHERE headline <> ''"""
+
 SQL["stream_headlines"] = f"""
 WITH {RAW_HEADLINES}
 SELECT headline_id, symbol, published_at, source, headline, article_url,

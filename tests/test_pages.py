@@ -47,3 +47,15 @@ def test_time_may_be_optional(spark):
 
 def test_pages_without_cards(spark):
     assert parse(spark, None) == [] and parse(spark, "<p>x") == []
+
+
+def test_text_pieces(spark):
+    html = ('<div class="stockNews_newsRow"><time datetime="2026-06-07T07:25:51Z"></time>'
+            '<div class="BoxItemTitle">P<5 &lt; A&amp;B<script>var x = "no";</script><!-- no --> up</div></div>')
+    assert parse(spark, html)[0]["headline"] == "P<5 < A&B up"
+
+
+def test_last_label_before_the_time_is_the_source(spark):
+    html = ('<div class="stockNews_newsRow"><div class="BoxHeaderText">One<b>skip</b> Two ·<time '
+            'datetime="2026-06-07T07:25:51Z"></time>after</div><div class="BoxItemTitle">t</div></div>')
+    assert parse(spark, html)[0]["source"] == "Two"

@@ -19,7 +19,7 @@ def db(sf_dir):
 
 def test_every_statement_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert ROWS_ONLY == ["batch_predict", "direction_model", "news_cards", "sentiment_scores"]
+    assert ROWS_ONLY == ["batch_predict", "direction_model", "sentiment_scores"]
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -67,9 +67,3 @@ def test_sentiment_covers_every_document(spark, sf_dir):
     rows = QUERIES["sentiment_scores"](spark, sf_dir).collect()
     assert len(rows) == V.table(spark, sf_dir, "documents").count()
     assert {r["sentiment"] for r in rows} <= {"positive", "negative", "neutral"}
-
-
-def test_cards_cover_every_page(spark, sf_dir):
-    rows = QUERIES["news_cards"](spark, sf_dir).collect()
-    assert len({r["symbol"] for r in rows}) == V.table(spark, sf_dir, "pages").count()
-    assert all(r["headline"] for r in rows)
