@@ -21,7 +21,10 @@ LATENCY_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.
 
 
 def windowed(df: DataFrame, time: str, window: str, slide: str) -> DataFrame:
-    """Each row once per sliding window it falls into."""
+    """Each row once per sliding window it falls into.
+
+    Panes fall into windows whole when ``window`` is a multiple of ``slide``, as the rules here are.
+    """
     spans = df.withColumn("_w", F.window(time, window, slide))
     return spans.withColumns({
         "window_start": F.col("_w.start"), "window_end": F.col("_w.end")
