@@ -7,16 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseloom.llm import jaccard_join, line_dedup
+from bourseloom.llm import jaccard_join, lengths, line_dedup, packing
 from bourseloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lexical_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf, "documents"))
 
 
+def op8_length_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    return lengths.limit_table(lengths.length_histogram(table(spark, sf, "documents")))
+
+
 def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = line_dedup.drop_repeated_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "n_lines", "n_dropped",
@@ -24,7 +32,8 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_ngram_jaccard_join, op10_line_dedup)}
+    return {f.__name__: f for f in (
+        op1_lexical_packing, op3_ngram_jaccard_join, op8_length_histogram, op10_line_dedup)}
 
 
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
