@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseloom.llm import jaccard_join, lengths, line_dedup, packing
+from bourseloom.llm import jaccard_join, lengths, line_dedup, mixing, packing
 from bourseloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,14 @@ def op1_lexical_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
 
 
+def op2_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.mix(docs).select(
+        "doc_id", F.col("__mix_source").alias("source"), F.col("__mix_lang").alias("lang"),
+        F.col("__mix_topic").alias("topic"), F.col("__mix_tokens").alias("tokens"),
+        F.round("__mix_probability", 6).alias("probability"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf, "documents"))
 
@@ -33,7 +41,8 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_lexical_packing, op3_ngram_jaccard_join, op8_length_histogram, op10_line_dedup)}
+        op1_lexical_packing, op2_source_mixing, op3_ngram_jaccard_join,
+        op8_length_histogram, op10_line_dedup)}
 
 
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -60,4 +69,4 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-SQL: dict[str, str] = {"op10_line_dedup": OP10_SQL}
+SQL: dict[str, str] = {"op2_source_mixing": mixing.mix_sql(), "op10_line_dedup": OP10_SQL}
