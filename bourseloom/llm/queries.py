@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseloom.llm import jaccard_join, lengths, line_dedup, mixing, packing
+from bourseloom.llm import jaccard_join, lengths, line_dedup, mixing, packing, quality
 from bourseloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,14 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf, "documents"))
 
 
+def op5_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents that stay."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    kept = quality.resample(docs, table(spark, sf, "labels"))
+    return kept.select("doc_id", F.col("__quality_weight").alias("log_weight"),
+                       F.col("__quality_score").alias("score"))
+
+
 def op8_length_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return lengths.limit_table(lengths.length_histogram(table(spark, sf, "documents")))
 
@@ -42,7 +50,8 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_lexical_packing, op2_source_mixing, op3_ngram_jaccard_join,
-        op8_length_histogram, op10_line_dedup)}
+        op5_importance_resampling, op8_length_histogram,
+        op10_line_dedup)}
 
 
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
