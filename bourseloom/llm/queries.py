@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseloom.llm import jaccard_join, lengths, line_dedup, mixing, packing, quality
+from bourseloom.llm import jaccard_join, lengths, line_dedup, mixing, packing, quality, syncmers
 from bourseloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf, "documents"))
 
 
+def op4_syncmer_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return syncmers.edited_neighbours(table(spark, sf, "documents"))
+
+
 def op5_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
     """The documents that stay."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -50,7 +54,7 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_lexical_packing, op2_source_mixing, op3_ngram_jaccard_join,
-        op5_importance_resampling, op8_length_histogram,
+        op4_syncmer_fingerprints, op5_importance_resampling, op8_length_histogram,
         op10_line_dedup)}
 
 
