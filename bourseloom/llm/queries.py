@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseloom.llm import jaccard_join, lengths, line_dedup, mixing, packing, quality, syncmers
+from bourseloom.llm import extraction, jaccard_join, lengths, line_dedup, mixing, packing, quality, syncmers
 from bourseloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op5_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("__quality_score").alias("score"))
 
 
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    text = extraction.extract(table(spark, sf, "pages"))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_length_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return lengths.limit_table(lengths.length_histogram(table(spark, sf, "documents")))
 
@@ -54,8 +59,8 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_lexical_packing, op2_source_mixing, op3_ngram_jaccard_join,
-        op4_syncmer_fingerprints, op5_importance_resampling, op8_length_histogram,
-        op10_line_dedup)}
+        op4_syncmer_fingerprints, op5_importance_resampling,
+        op7_html_extraction, op8_length_histogram, op10_line_dedup)}
 
 
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
