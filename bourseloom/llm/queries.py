@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseloom.llm import extraction, jaccard_join, lengths, line_dedup, mixing, packing, quality, syncmers
+from bourseloom.llm import extraction, hashing_search, jaccard_join, lengths, line_dedup, mixing, packing, quality, syncmers
 from bourseloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def op8_length_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return lengths.limit_table(lengths.length_histogram(table(spark, sf, "documents")))
 
 
+def op9_multi_index_hashing(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    return hashing_search.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = line_dedup.drop_repeated_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "n_lines", "n_dropped",
@@ -60,7 +65,8 @@ def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_lexical_packing, op2_source_mixing, op3_ngram_jaccard_join,
         op4_syncmer_fingerprints, op5_importance_resampling,
-        op7_html_extraction, op8_length_histogram, op10_line_dedup)}
+        op7_html_extraction, op8_length_histogram, op9_multi_index_hashing,
+        op10_line_dedup)}
 
 
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
