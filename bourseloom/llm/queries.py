@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseloom.llm import extraction, hashing_search, jaccard_join, lengths, line_dedup, mixing, packing, quality, syncmers
+from bourseloom.llm import chunks, extraction, hashing_search, jaccard_join, lengths, line_dedup, mixing, packing, quality, syncmers
 from bourseloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op5_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("__quality_score").alias("score"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return chunks.repeated_spans(table(spark, sf, "documents"))
+
+
 def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     text = extraction.extract(table(spark, sf, "pages"))
     return text.withColumn("n_chars", F.length("text").cast("long"))
@@ -64,7 +68,7 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_lexical_packing, op2_source_mixing, op3_ngram_jaccard_join,
-        op4_syncmer_fingerprints, op5_importance_resampling,
+        op4_syncmer_fingerprints, op5_importance_resampling, op6_substring_dedup,
         op7_html_extraction, op8_length_histogram, op9_multi_index_hashing,
         op10_line_dedup)}
 
