@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from bourseloom.plans import pipeline
 from bourseloom.schemas import TOPICS
-from bourseloom.session import use_utc
+from bourseloom.session import CLUSTER_CONF, use_utc
 from bourseloom.sources import files, tables, topics
 from bourseloom.streaming import ingest
 
@@ -19,7 +19,7 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
     read = files.read_headlines_csv if args.feed == "headlines" else files.read_prices_csv
     rows = read(spark, args.csv)
     if args.dry_run:
-        tables.print_json(rows, args.preview)
+        print(tables.write_json(rows, args.dry_run))
     else:
         topics.write_topic(rows, args.servers, TOPICS[args.feed], key="symbol")
 
@@ -29,9 +29,9 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.dry_run:
         accept = ingest.accepted_headlines if headlines else ingest.accepted_prices
         messages = topics.topic_table(spark, args.servers, TOPICS[args.feed])
-        tables.print_json(accept(messages, args.max_messages), args.preview)
+        print(tables.write_json(accept(messages), args.dry_run))
         return
-    stream = topics.topic_stream(spark, args.servers, TOPICS[args.feed], args.max_messages)
+    stream = topics.topic_stream(spark, args.servers, TOPICS[args.feed], args.max_per_trigger)
     start = ingest.start_headlines if headlines else ingest.start_prices
     start(stream, args.log, args.checkpoint, POSITION, every=args.every).awaitTermination()
 
@@ -57,19 +57,19 @@ def _parser() -> argparse.ArgumentParser:
         sub = job(name, *needed)
         sub.add_argument("feed", choices=["headlines", "prices"])
         sub.add_argument("--servers", default="localhost:9092")
-        sub.add_argument("--dry-run", action="store_true")
-        sub.add_argument("--preview", type=int, default=10)
+        sub.add_argument("--dry-run", metavar="FOLDER", help="write all records there as JSON, send none")
         if name == "ingest":
             sub.add_argument("--log")
             sub.add_argument("--checkpoint")
-            sub.add_argument("--max-messages", type=int)
+            sub.add_argument("--max-per-trigger", type=int, help="offsets per micro-batch; none is left out")
             sub.add_argument("--every", help="trigger interval; without it take what is there")
     return parser
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = use_utc(SparkSession.builder.appName(f"bourseloom-{args.job}").getOrCreate())
+    builder = SparkSession.builder.appName(f"bourseloom-{args.job}").config(map=CLUSTER_CONF)
+    spark = use_utc(builder.getOrCreate())
     if args.job == "clean-headlines":
         print(pipeline.run_clean_headlines(spark, args.raw, args.out))
     elif args.job == "clean-prices":

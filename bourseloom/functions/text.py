@@ -15,7 +15,6 @@ NA_TEXTS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 MIN_FALLBACK_CHARS = 20
-SNIPPET_CHARS = 500
 DEFAULT_EXCHANGE = "NSE"
 NEWS_PAGE_TEMPLATE = "https://groww.in/stocks/%s/market-news"
 NEWS_HOST = "groww.in"
@@ -65,11 +64,6 @@ def first_external_link(links: Column, host: str = NEWS_HOST) -> Column:
     )
 
 
-def snippet(c: Column, chars: int = SNIPPET_CHARS) -> Column:
-    """The declared length of the body-snippet field; the body itself is kept whole elsewhere."""
-    return F.substring(c, 1, chars)
-
-
 def content_id(c: Column) -> Column:
     """First 16 hex digits of the SHA-256 of the text."""
     return F.substring(F.sha2(c, 256), 1, 16)

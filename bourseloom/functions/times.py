@@ -42,8 +42,12 @@ def coerce_time(c: Column) -> Column:
 
 
 def parse_instant(c: Column, zone: str = MARKET_ZONE) -> Column:
-    """ISO text with an offset -> market wall clock. Text without an offset counts as UTC."""
-    text = F.trim(c)
+    """ISO text with an offset -> market wall clock. Text without an offset counts as UTC.
+
+    Missing seconds are zero, and so is a missing clock.
+    """
+    text = F.regexp_replace(F.trim(c), _ISO_DATE + "$", "$0T00:00:00")
+    text = F.regexp_replace(text, f"({_ISO_DATE}[T ]\\d{{2}}:\\d{{2}})({_ISO_OFFSET}?)$", "$1:00$2")
     zoned = F.when(text.rlike(_ISO_OFFSET + "$"), text).otherwise(F.concat(text, F.lit("Z")))
     return F.when(text.rlike(ISO_ANY), to_market(zoned.try_cast("timestamp"), zone))
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,26 +23,29 @@ LATENCY_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.
 
 
 def windowed(df: DataFrame, time: str, window: str, slide: str) -> DataFrame:
-    """Each row once per sliding window it falls into.
-
-    Panes fall into windows whole when ``window`` is a multiple of ``slide``, as the rules here are.
-    """
+    """Each row once per sliding window it falls into."""
     spans = df.withColumn("_w", F.window(time, window, slide))
     return spans.withColumns({
         "window_start": F.col("_w.start"), "window_end": F.col("_w.end")
     }).drop("_w")
 
 
+def pane_of(time: str, window: str, slide: str) -> Column:
+    """Start of the pane of a time: the longest panes that tile every window whole."""
+    seconds = [int(pd.Timedelta(x).total_seconds()) for x in (window, slide)]
+    return F.window(time, f"{math.gcd(*seconds)} seconds")["start"]
+
+
 def latency_alert(
     df: DataFrame, time: str, latency: str, window: str = RULE_WINDOW, slide: str = RULE_SLIDE,
     quantile: float = LATENCY_QUANTILE, limit: float = LATENCY_LIMIT,
 ) -> DataFrame:
     """(window, n, p95, breached): exact latency quantile per sliding window.
 
-    Values are counted per ``slide``-long pane before they are spread to windows, so an
+    Values are counted per pane before they are spread to windows, so an
     event is shuffled once, not once per window.
     """
-    pane = F.window(time, slide)["start"]
+    pane = pane_of(time, window, slide)
     panes = (
         df.filter(F.col(time).isNotNull() & known(F.col(latency)))
         .groupBy(pane.alias("_pane"), F.col(latency).alias("_latency"))
@@ -66,7 +71,7 @@ def histogram_alert(
     interpolated inside the bucket that holds its rank; the first bucket starts at 0, and a
     rank beyond the last bound gives that bound. Windows hold one row of bucket counts.
     """
-    pane = F.window(time, slide)["start"]
+    pane = pane_of(time, window, slide)
     panes = (
         df.filter(F.col(time).isNotNull() & known(F.col(latency)))
         .groupBy(pane.alias("_pane"))
@@ -101,7 +106,7 @@ def error_alert(
     The rule is on errors per second; the share of failed requests stands beside it.
     Counts are taken per pane and then summed over the panes of each window.
     """
-    pane = F.window(time, slide)["start"]
+    pane = pane_of(time, window, slide)
     panes = df.groupBy(pane.alias("_pane")).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(is_error).alias("_errors")
     )

@@ -25,5 +25,6 @@ def keep_first(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFra
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Last row per key by ``by`` descending, nulls oldest."""
-    return keep_one(df, keys, [F.col(c).desc_nulls_last() for c in by])
+    """Last row per key by ``by`` descending, nulls oldest; ties fall to the largest remaining values."""
+    rest = [c for c in df.columns if c not in keys and c not in by]
+    return keep_one(df, keys, [F.col(c).desc_nulls_last() for c in (*by, *rest)])

@@ -31,9 +31,13 @@ def crores(c: Column) -> Column:
 
 
 def flatten_preopen(df: DataFrame) -> DataFrame:
-    """Payload rows -> one flat row per quoted symbol, envelope kept; no item gives no row."""
+    """Payload rows -> one flat row per quoted symbol, envelope kept; no item gives no row.
+
+    A ``payload_id`` column of ``df`` (a file name, a hash of the document) stays beside the rows.
+    """
+    named = ["payload_id"] if "payload_id" in df.columns else []
     items = df.select(
-        F.explode("data").alias("_item"), "advances", "declines",
+        *named, F.explode("data").alias("_item"), "advances", "declines",
         F.col("timestamp").alias("payload_time"),
     )
     flat = []
@@ -44,7 +48,7 @@ def flatten_preopen(df: DataFrame) -> DataFrame:
         elif out.endswith("_crores"):
             c = crores(c)
         flat.append(c.alias(out))
-    return items.select(*flat, "advances", "declines", "payload_time")
+    return items.select(*named, *flat, "advances", "declines", "payload_time")
 
 
 def with_trade_date(df: DataFrame, fallback: Column | None = None) -> DataFrame:
@@ -54,8 +58,8 @@ def with_trade_date(df: DataFrame, fallback: Column | None = None) -> DataFrame:
 
 
 def by_move(df: DataFrame) -> DataFrame:
-    """Largest absolute percent change first, unknown last, then symbol."""
-    return df.orderBy(F.abs("pct_change").desc_nulls_last(), "symbol")
+    """Largest absolute percent change first, unknown last, then symbol, price and quantity."""
+    return df.orderBy(F.abs("pct_change").desc_nulls_last(), "symbol", "final_price", "final_quantity")
 
 
 def top_movers(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
@@ -63,8 +67,8 @@ def top_movers(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
 
 
 def breadth(df: DataFrame) -> DataFrame:
-    """Advances and declines counted from the items, next to what each payload claims."""
-    return df.groupBy("payload_time", "advances", "declines").agg(
+    """Advances and declines counted from the items of each payload, next to what it claims."""
+    return df.groupBy("payload_id", "payload_time", "advances", "declines").agg(
         F.count_if(F.col("change") > 0).alias("counted_advances"),
         F.count_if(F.col("change") < 0).alias("counted_declines"),
         F.count(F.lit(1)).alias("items"),

@@ -23,8 +23,13 @@ def known(value: Column) -> Column:
 
 
 def value_bucket(value: Column, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
-    """A bucket number that never decreases with the value; about 0.3 % wide by default."""
-    return F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * per_octave)
+    """A bucket number that never decreases with the value; about 0.3 % wide at any magnitude.
+
+    Magnitudes below 2 ** -1000 share a bucket with zero.
+    """
+    size = F.floor((F.log2(F.abs(value)) + 1000) * per_octave) + 1
+    return F.when(F.abs(value) < 2.0 ** -1000, F.lit(0)).otherwise(
+        F.signum(value).cast("long") * size)
 
 
 def running_counts(

@@ -7,6 +7,8 @@ the step it was lost in.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from bourseloom.operators.preopen import with_trade_date, flatten_preopen
 from bourseloom.operators.quality import contract_violations
 from bourseloom.plans import jobs
 from bourseloom.schemas import CLEAN_HEADLINE, CLEAN_PRICE, CONTRACTS, RAW_HEADLINE, RAW_PRICE
-from bourseloom.session import MARKET_ZONE
+from bourseloom.session import MARKET_ZONE, work_dir
 from bourseloom.sources.files import read_bar_files, read_preopen_json
 from bourseloom.sources.tables import read_table, write_by_day, write_table
 
@@ -32,27 +34,44 @@ def checked(df: DataFrame, contract: str) -> None:
         ))
 
 
+def published(
+    rows: DataFrame, contract: str, publish: Callable[[DataFrame], int]
+) -> int:
+    """Write ``rows`` beside the table, check them against their contract, then publish them."""
+    spark = rows.sparkSession
+    beside = work_dir(spark, contract)
+    write_table(rows, beside)
+    written = read_table(spark, beside, rows.schema)
+    checked(written, contract)
+    return publish(written)
+
+
 def run_clean_headlines(spark: SparkSession, raw: str, out: str) -> int:
+    """Rows written; an empty input leaves the stored table as it is and writes none."""
     staged = read_table(spark, raw, RAW_HEADLINE)
-    return write_table(jobs.clean_headlines(staged), out)
+    if staged.isEmpty():
+        return 0
+    return published(jobs.clean_headlines(staged), "clean_headlines", lambda rows: write_table(rows, out))
 
 
 def run_clean_prices(spark: SparkSession, raw: str, out: str) -> int:
     staged = read_table(spark, raw, RAW_PRICE)
-    return write_by_day(jobs.clean_prices(staged), out, "date", [F.col("symbol")], full=True)
+    if staged.isEmpty():
+        return 0
+    return published(jobs.clean_prices(staged), "clean_prices", lambda rows: write_by_day(
+        rows, out, "date", [F.col("symbol")], full=True))
 
 
 def run_feature_vectors(
     spark: SparkSession, prices: str, headlines: str, out: str, date_from: str = "scraped_at",
     zone: str = MARKET_ZONE,
 ) -> int:
-    joined = jobs.feature_vectors(
-        read_table(spark, prices, CLEAN_PRICE), read_table(spark, headlines, CLEAN_HEADLINE),
-        date_from, zone,
-    )
-    rows = write_by_day(joined, out, "date", [F.col("symbol")], full=True)
-    checked(read_table(spark, out, joined.schema), "feature_vectors")
-    return rows
+    stored = read_table(spark, prices, CLEAN_PRICE)
+    if stored.isEmpty():
+        return 0
+    joined = jobs.feature_vectors(stored, read_table(spark, headlines, CLEAN_HEADLINE), date_from, zone)
+    return published(joined, "feature_vectors", lambda rows: write_by_day(
+        rows, out, "date", [F.col("symbol")], full=True))
 
 
 def run_daily(spark: SparkSession, raw_headlines: str, raw_prices: str, out: str) -> dict[str, int]:

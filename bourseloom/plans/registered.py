@@ -149,12 +149,10 @@ def message_encode(spark: SparkSession, sf: str) -> DataFrame:
     rows = V.raw_prices(spark, sf).select(
         "event_id", "symbol", F.date_format("date", "yyyy-MM-dd").alias("date"), *OHLCV
     )
-    keyed = codec.encode(rows, key="event_id")
+    keyed = codec.encode(rows, key="event_id").withColumn(
+        "has_null", F.col("value").contains("null"))
     back = codec.decode(keyed, PRICE_MESSAGE).drop("fetched_at")
-    has_null = keyed.select(F.col("key").alias("_k"), F.col("value").contains("null").alias("has_null"))
-    return back.join(has_null, F.col("key") == F.col("_k")).drop("_k").withColumn(
-        "key", F.col("key").cast("long")
-    )
+    return back.withColumn("key", F.col("key").cast("long"))
 
 
 @query
@@ -190,13 +188,15 @@ def unmatched_headlines(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def latest_per_symbol(spark: SparkSession, sf: str) -> DataFrame:
-    stored, _ = V.headline_history(spark, sf)
-    return incremental.latest_per_symbol(stored).orderBy("symbol")
+    """Newest time of each symbol over all headlines."""
+    _, fetched = V.headline_history(spark, sf)
+    return incremental.latest_per_symbol(fetched).orderBy("symbol")
 
 
 @query
 def latest_bar(spark: SparkSession, sf: str) -> DataFrame:
-    return incremental.latest_bar(V.bar_history(V.daily_bars(spark, sf)), "date")
+    """Newest day of each symbol over all bars."""
+    return incremental.latest_bar(V.daily_bars(spark, sf), "date")
 
 
 @query
@@ -318,20 +318,17 @@ def preopen_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def preopen_movers(spark: SparkSession, sf: str) -> DataFrame:
     """Top ten by absolute move; price and payload time settle ties of one part's suppliers."""
-    rows = _preopen(spark, sf)
-    order = [F.abs("pct_change").desc_nulls_last(), "symbol", "final_price", "final_quantity"]
-    return rows.orderBy(*order).limit(preopen.PREVIEW_ROWS).select(
+    return preopen.top_movers(_preopen(spark, sf)).select(
         "symbol", "pct_change", "final_price", "final_quantity"
     )
 
 
 @query
 def preopen_breadth(spark: SparkSession, sf: str) -> DataFrame:
-    """Counted against claimed advances and declines, added up per payload time."""
-    return preopen.breadth(_preopen(spark, sf)).groupBy("payload_time").agg(
-        F.sum("counted_advances").alias("counted_advances"),
-        F.sum("counted_declines").alias("counted_declines"), F.sum("items").alias("items"),
-    )
+    """Counted beside claimed advances and declines, one row per payload."""
+    payloads = files.parse_preopen(V.preopen_payloads(spark, sf), "payload", with_id=True)
+    return preopen.breadth(preopen.flatten_preopen(payloads)).drop("payload_id").withColumns({
+        "advances": F.col("advances").cast("long"), "declines": F.col("declines").cast("long")})
 
 
 @query
@@ -371,7 +368,6 @@ def text_fields(spark: SparkSession, sf: str) -> DataFrame:
     padded = F.concat(F.lit(" "), F.col("source"), F.lit(" •· "))
     return V.table(spark, sf, "documents").select(
         "doc_id", X.strip_source(padded).alias("source_label"),
-        X.snippet(F.col("text")).alias("body_snippet"),
         X.longest_text(F.split("text", "\n")).alias("longest_line"),
     )
 

@@ -22,6 +22,8 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

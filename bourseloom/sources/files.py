@@ -123,6 +123,7 @@ def read_preopen_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).schema(PREOPEN_PAYLOAD).json(path)
 
 
-def parse_preopen(df: DataFrame, text: str) -> DataFrame:
-    """Payload documents held in a text column."""
-    return parsed(df.select(text), PREOPEN_PAYLOAD, text)
+def parse_preopen(df: DataFrame, text: str, with_id: bool = False) -> DataFrame:
+    """Payload documents held in a text column; ``with_id`` adds the document's hash."""
+    kept = [F.sha2(text, 256).alias("payload_id")] if with_id else []
+    return parsed(df.select(*kept, text), PREOPEN_PAYLOAD, text)

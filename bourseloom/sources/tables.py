@@ -77,7 +77,6 @@ def write_by_day(
                        partitionOverwriteMode="static" if full else "dynamic")
 
 
-def print_json(df: DataFrame, n: int = 10) -> None:
-    """Preview: the first ``n`` records as JSON, one per line."""
-    for row in df.limit(n).toJSON().collect():
-        print(row)
+def write_json(df: DataFrame, path: str) -> int:
+    """Dry run: every record as a line of JSON text in a folder."""
+    return write_table(df, path, fmt="json", ignoreNullFields="false")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from bourseloom.functions.codec import decode
-from bourseloom.functions.times import iso_market, market_now
+from bourseloom.functions.times import iso_market, market_now, to_market
 from bourseloom.operators.dedupe import keep_first, keep_latest
 from bourseloom.operators.quality import valid_headlines, valid_prices
 from bourseloom.schemas import HEADLINE_MESSAGE, PRICE_MESSAGE
@@ -25,23 +25,23 @@ from bourseloom.schemas import HEADLINE_MESSAGE, PRICE_MESSAGE
 BATCH = "batch_id"
 
 
-def accepted_headlines(
-    messages: DataFrame, limit: int | None = None, fill_scraped_at: bool = True
-) -> DataFrame:
-    """Decoded messages that carry the required fields, at most ``limit`` of them (batch only).
+def accepted_headlines(messages: DataFrame, fill_scraped_at: bool = True) -> DataFrame:
+    """Decoded messages that carry the required fields.
 
-    A headline without a scrape time would belong to no day; it gets the ingest time unless
-    ``fill_scraped_at`` is off.
+    A headline without a scrape time would belong to no day; unless ``fill_scraped_at`` is off
+    it gets the message's own ``timestamp``, which a replay repeats, or where messages have none
+    the clock's.
     """
     good = valid_headlines(decode(messages, HEADLINE_MESSAGE))
     if fill_scraped_at:
-        good = good.withColumn("scraped_at", F.coalesce("scraped_at", iso_market(market_now())))
-    return good if limit is None else good.limit(limit)
+        arrived = (to_market(F.col("timestamp").cast("timestamp")) if "timestamp" in messages.columns
+                   else market_now())
+        good = good.withColumn("scraped_at", F.coalesce("scraped_at", iso_market(arrived)))
+    return good
 
 
-def accepted_prices(messages: DataFrame, limit: int | None = None) -> DataFrame:
-    good = valid_prices(decode(messages, PRICE_MESSAGE))
-    return good if limit is None else good.limit(limit)
+def accepted_prices(messages: DataFrame) -> DataFrame:
+    return valid_prices(decode(messages, PRICE_MESSAGE))
 
 
 def _start(stream: DataFrame, write, checkpoint: str, every: str | None) -> StreamingQuery:

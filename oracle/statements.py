@@ -370,10 +370,14 @@ WITH {CLEAN_PRICES}, {STAGED_HEADLINES}, {CLEAN_HEADLINES},
 daily AS ({DAILY_OF.format(source='clean_headlines')})
 SELECT d.* FROM daily d ANTI JOIN clean_prices p USING (symbol, date)"""
 
-SQL["latest_per_symbol"] = f"WITH {HISTORY} SELECT * FROM cutoffs ORDER BY symbol"
+SQL["latest_per_symbol"] = f"""
+WITH {HISTORY}
+SELECT symbol, max(try_strptime(published_at, '%Y-%m-%dT%H:%M:%S')) AS latest
+FROM fetched GROUP BY symbol
+HAVING max(try_strptime(published_at, '%Y-%m-%dT%H:%M:%S')) IS NOT NULL ORDER BY symbol"""
 
 SQL["latest_bar"] = (
-    f"WITH {DAILY_BARS} SELECT symbol, max(date) AS latest FROM bar_history GROUP BY symbol"
+    f"WITH {DAILY_BARS} SELECT symbol, max(date) AS latest FROM daily_bars GROUP BY symbol"
 )
 
 SQL["incremental_headlines"] = f"WITH {HISTORY} SELECT * EXCLUDE (doc_id) FROM newer"
@@ -462,9 +466,14 @@ ORDER BY abs(pct_change) DESC NULLS LAST, symbol, final_price, final_quantity LI
 
 SQL["preopen_breadth"] = f"""
 WITH {PREOPEN}
-SELECT payload_time, CAST(count_if(change > 0) AS BIGINT) AS counted_advances,
+SELECT CASE WHEN l_suppkey % 7 = 0 THEN 'pending'
+            ELSE strftime(DATE '2026-06-01' + CAST(l_suppkey % 28 AS INTEGER), '%d-%b-%Y')
+                 || ' 09:07:55' END AS payload_time,
+       CAST(count_if(change > 0) AS BIGINT) AS advances,
+       CAST(count_if(change < 0) AS BIGINT) AS declines,
+       CAST(count_if(change > 0) AS BIGINT) AS counted_advances,
        CAST(count_if(change < 0) AS BIGINT) AS counted_declines, count(*) AS items
-FROM preopen GROUP BY payload_time"""
+FROM moved GROUP BY l_suppkey, l_partkey // 500"""
 
 SQL["headline_ids"] = f"""
 WITH {RAW_HEADLINES},
@@ -522,7 +531,7 @@ longest AS (
   SELECT doc_id, line FROM lines WHERE length(line) > 20
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(line) DESC, pos) = 1)
 SELECT d.doc_id, regexp_replace(trim(' ' || source || ' •· '), '[ •·]+$', '') AS source_label,
-       substr(text, 1, 500) AS body_snippet, coalesce(line, '') AS longest_line
+       coalesce(line, '') AS longest_line
 FROM documents d LEFT JOIN longest USING (doc_id)"""
 
 SQL["page_links"] = """

@@ -60,7 +60,6 @@ def test_field_choice(spark):
     assert one(spark, "", lambda _: X.longest_text(F.array(F.lit("short")))) == ""
     assert one(spark, " Mint • ·", X.strip_source) == "Mint"
     assert one(spark, "A/B C", X.safe_name) == "A_B_C"
-    assert one(spark, "x" * 600, X.snippet) == "x" * 500
     assert one(spark, " abc ", X.news_page_url) == "https://groww.in/stocks/abc/market-news"
 
 

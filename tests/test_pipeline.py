@@ -9,7 +9,7 @@ import __spark_entry__ as driver
 from bourseloom.__main__ import main
 from bourseloom.plans import pipeline
 from bourseloom.schemas import CONTRACTS, FEATURE_VECTOR
-from bourseloom.sources import stand_ins as V
+from bourseloom.sources import stand_ins as V, tables
 from bourseloom.sources.tables import read_table
 
 
@@ -49,6 +49,27 @@ def test_broken_contract_stops_the_run(spark):
         pipeline.checked(df, "feature_vectors")
 
 
+def test_broken_rows_are_not_published(spark, tmp_path):
+    good = spark.createDataFrame([("a", "S", "2026-01-01", "s", "t", "u", None)], "headline_id string, symbol string, "
+                                 "published_at string, source string, headline string, article_url string, scraped_at timestamp_ntz")
+    out = str(tmp_path / "clean")
+    publish = lambda rows: tables.write_table(rows, out)
+    assert pipeline.published(good, "clean_headlines", publish) == 1
+    with pytest.raises(pipeline.ContractError):
+        pipeline.published(good.withColumn("symbol", F.lit(None).cast("string")), "clean_headlines", publish)
+    assert [r["symbol"] for r in spark.read.parquet(out).collect()] == ["S"]
+
+
+def test_empty_input_leaves_stored_tables(spark, staged, tmp_path):
+    out = str(tmp_path)
+    counts = pipeline.run_daily(spark, f"{staged}/h", f"{staged}/p", out)
+    for name in ("h", "p"):
+        read_table(spark, f"{staged}/{name}").limit(0).write.parquet(f"{out}/none/{name}")
+    pipeline.run_clean_headlines(spark, f"{out}/none/h", f"{out}/clean_headlines")
+    pipeline.run_clean_prices(spark, f"{out}/none/p", f"{out}/clean_prices")
+    assert {n: read_table(spark, f"{out}/{n}").count() for n in counts} == counts
+
+
 def test_command_line(spark, staged, tmp_path, capsys):
     main(["clean-headlines", "--raw", f"{staged}/h", "--out", str(tmp_path / "h")])
     assert capsys.readouterr().out.strip() == "200"
@@ -61,5 +82,7 @@ def test_command_line(spark, staged, tmp_path, capsys):
     (tmp_path / "bars" / "A_daily_data.csv").write_text("symbol,date,open,high,low,close,volume\nA,2026-01-01,1,1,1,1,5\n")
     main(["merge-bars", "--folder", str(tmp_path / "bars"), "--out", str(tmp_path / "m")])
     (tmp_path / "h.csv").write_text("headline_id,symbol,published_at,source,headline,article_url,scraped_at\na,S,p,s,t,u,n\n")
-    main(["publish", "headlines", "--csv", str(tmp_path / "h.csv"), "--dry-run"])
-    assert '"headline_id":"a"' in capsys.readouterr().out
+    capsys.readouterr()
+    main(["publish", "headlines", "--csv", str(tmp_path / "h.csv"), "--dry-run", str(tmp_path / "dry")])
+    assert capsys.readouterr().out.strip() == "1"
+    assert [r["headline_id"] for r in spark.read.json(str(tmp_path / "dry")).collect()] == ["a"]

@@ -90,9 +90,9 @@ def test_write_counts_without_a_second_pass(spark, tmp_path):
     assert tables.read_table(spark, str(tmp_path / "t")).count() == 7
 
 
-def test_preview(spark, capsys):
-    tables.print_json(spark.range(20).toDF("id").orderBy("id"), 2)
-    assert capsys.readouterr().out == '{"id":0}\n{"id":1}\n'
+def test_dry_run_writes_every_record(spark, tmp_path):
+    assert tables.write_json(spark.range(20).toDF("id"), str(tmp_path / "dry")) == 20
+    assert sorted(r["id"] for r in spark.read.json(str(tmp_path / "dry")).collect()) == list(range(20))
 
 
 def test_scratch_follows_the_session_setting(spark, tmp_path):

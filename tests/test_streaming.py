@@ -92,9 +92,12 @@ def test_last_price_wins_and_compaction_agrees(spark, feed):
     assert sorted((r["symbol"], r["close"]) for r in packed.collect()) == want
 
 
-def test_message_cap_counts_accepted_only(spark):
+def test_missing_scrape_time_is_the_messages_own(spark):
     df = spark.createDataFrame([("{", 0), headline("a", "x", 1), headline("b", "y", 2)], VALUE)
-    assert ingest.accepted_headlines(df, limit=2).count() == 2
+    stamped = df.withColumn("timestamp", F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    got = ingest.accepted_headlines(stamped).select("scraped_at").distinct().collect()
+    assert len(ingest.accepted_headlines(df).collect()) == 2
+    assert [r[0] for r in got] == ["2026-01-01T05:30:00+05:30"]
 
 
 def test_stream_equals_batch_for_errors(spark, tmp_path):
