@@ -71,13 +71,25 @@ def histogram_alert(
     interpolated inside the bucket that holds its rank; the first bucket starts at 0, and a
     rank beyond the last bound gives that bound. Windows hold one row of bucket counts.
     """
-    pane = pane_of(time, window, slide)
-    panes = (
-        df.filter(F.col(time).isNotNull() & known(F.col(latency)))
-        .groupBy(pane.alias("_pane"))
-        .agg(F.count(F.lit(1)).alias("_all"),
-             *[F.count_if(F.col(latency) <= b).alias(f"_le{i}") for i, b in enumerate(bounds)])
-    )
+    panes = histogram_panes(df, time, latency, bounds, window, slide)
+    return histogram_windows(panes, bounds, window, slide, quantile, limit)
+
+
+def histogram_panes(
+    df: DataFrame, time: str, latency: str, bounds: Sequence[float] = LATENCY_BOUNDS,
+    window: str = RULE_WINDOW, slide: str = RULE_SLIDE,
+) -> DataFrame:
+    """(_pane, _all, _le0..): values up to each bound per pane; sums of such rows may be summed again."""
+    known_rows = df.filter(F.col(time).isNotNull() & known(F.col(latency)))
+    return known_rows.groupBy(pane_of(time, window, slide).alias("_pane")).agg(
+        F.count(F.lit(1)).alias("_all"),
+        *[F.count_if(F.col(latency) <= b).alias(f"_le{i}") for i, b in enumerate(bounds)])
+
+
+def histogram_windows(
+    panes: DataFrame, bounds: Sequence[float] = LATENCY_BOUNDS, window: str = RULE_WINDOW,
+    slide: str = RULE_SLIDE, quantile: float = LATENCY_QUANTILE, limit: float = LATENCY_LIMIT,
+) -> DataFrame:
     totals = windowed(panes, "_pane", window, slide).groupBy("window_start", "window_end").agg(
         F.sum("_all").alias("n"), F.array(*[F.sum(f"_le{i}") for i in range(len(bounds))])
         .alias("_cum")
@@ -106,10 +118,21 @@ def error_alert(
     The rule is on errors per second; the share of failed requests stands beside it.
     Counts are taken per pane and then summed over the panes of each window.
     """
-    pane = pane_of(time, window, slide)
-    panes = df.groupBy(pane.alias("_pane")).agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if(is_error).alias("_errors")
-    )
+    return error_windows(error_panes(df, time, is_error, window, slide), window, slide, limit)
+
+
+def error_panes(
+    df: DataFrame, time: str, is_error: Column, window: str = RULE_WINDOW, slide: str = RULE_SLIDE
+) -> DataFrame:
+    """(_pane, _n, _errors); sums of such rows may be summed again."""
+    return df.groupBy(pane_of(time, window, slide).alias("_pane")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(is_error).alias("_errors"))
+
+
+def error_windows(
+    panes: DataFrame, window: str = RULE_WINDOW, slide: str = RULE_SLIDE,
+    limit: float = ERROR_RATE_LIMIT,
+) -> DataFrame:
     return error_rates(
         windowed(panes, "_pane", window, slide).groupBy("window_start", "window_end")
         .agg(F.sum("_n").alias("n"), F.sum("_errors").alias("errors")), limit,
@@ -117,7 +140,7 @@ def error_alert(
 
 
 def error_rates(counts: DataFrame, limit: float = ERROR_RATE_LIMIT) -> DataFrame:
-    """Rates from per-window ``n`` and ``errors``; shared with the streaming form."""
+    """Rates from per-window ``n`` and ``errors``."""
     seconds = F.unix_timestamp(F.col("window_end").cast("timestamp")) - F.unix_timestamp(
         F.col("window_start").cast("timestamp")
     )

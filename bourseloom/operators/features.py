@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourseloom.functions.text import clean_text
-from bourseloom.operators.lookup import split_lookup
+from bourseloom.operators.lookup import split_lookup, stored
 
 FLAT_BAND = 0.001
 LAGS = [1, 2, 5]
@@ -83,22 +83,15 @@ def term_counts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def document_frequency(docs: DataFrame, text: str) -> DataFrame:
-    """(term, df): rows that hold the term. Repeats go inside the row, copies on the map side."""
-    return (
-        docs.select(F.explode(F.array_distinct(_terms(text))).alias("term"))
-        .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    )
-
-
 def tfidf(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, term, tf, df, idf, tfidf), idf = ln((N + 1) / (df + 1)); one row per document.
 
+    The terms are written once; frequencies, weights and both halves of the join read them.
     A frequent term stands in nearly every document. Its document frequency is also its weight
     in the join, so the split into heavy and light terms costs no further count.
     """
-    tf = term_counts(docs, doc_id, text)
-    vocabulary = document_frequency(docs, text)
+    tf = stored(term_counts(docs, doc_id, text), "terms")
+    vocabulary = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = docs.agg(F.count(F.lit(1))).scalar()
     joined = split_lookup(
         tf, vocabulary, "term", weights=vocabulary.withColumnRenamed("df", "n")

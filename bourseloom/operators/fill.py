@@ -60,3 +60,26 @@ def forward_fill_chunked(
     return joined.select(
         *[F.coalesce(c, f"_in_{c}").alias(c) if c in columns else F.col(c) for c in df.columns]
     )
+
+
+def forward_fill_counted(
+    df: DataFrame, partition_col: str, order_col: str, columns: Sequence[str], unit: str = "minute",
+    chunk_rows: int = 100_000,
+) -> DataFrame:
+    """The same fill with chunks cut by count: runs of time units of about ``chunk_rows`` rows.
+
+    Units are counted first, a small table; a unit is never split, so ``unit`` must be short
+    enough for its rows to fit a task.
+    """
+    unit_of = F.date_trunc(unit, F.col(order_col))
+    rows = df.withColumn("_unit", unit_of)
+    sizes = rows.groupBy(partition_col, "_unit").agg(F.count(F.lit(1)).alias("_n"))
+    before = (
+        Window.partitionBy(partition_col).orderBy("_unit")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    cut = sizes.select(
+        partition_col, "_unit",
+        F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / chunk_rows).alias("_cut"))
+    placed = rows.join(cut, [partition_col, "_unit"]).drop("_unit").select(*df.columns, "_cut")
+    return forward_fill_chunked(placed, partition_col, order_col, columns, F.col("_cut")).drop("_cut")

@@ -103,6 +103,27 @@ def join_features(prices: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
+def join_parts(
+    prices: DataFrame, headlines: DataFrame, part_rows: int = 10_000, date_from: str = "scraped_at",
+    zone: str = MARKET_ZONE,
+) -> DataFrame:
+    """(price row, headline_count of the day, part, headlines_json of the part).
+
+    The day's count is an aggregate of its own, so no task holds a day's texts. A day without
+    headlines is one part, 0, with ``[]``.
+    """
+    counts = dated(headlines, date_from, zone).groupBy(*KEYS).agg(
+        F.count("headline_id").alias("headline_count"))
+    parts = headline_parts(headlines, part_rows, date_from, zone).drop("headline_count")
+    joined = prices.join(counts, KEYS, "left").join(parts, KEYS, "left")
+    return joined.select(
+        *[prices[c] for c in prices.columns],
+        F.coalesce("headline_count", F.lit(0)).alias("headline_count"),
+        F.coalesce("part", F.lit(0)).alias("part"),
+        F.coalesce("headlines_json", F.lit("[]")).alias("headlines_json"),
+    )
+
+
 def unmatched_headlines(daily: DataFrame, prices: DataFrame) -> DataFrame:
     """Headline days the feature join leaves out because no price row has their key."""
     return daily.join(prices.select(*KEYS), KEYS, "left_anti")

@@ -18,6 +18,13 @@ MAX_BROADCAST_ROWS = 500_000
 HOT_SHARE = 1e-4
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared folder and read back."""
+    folder = work_dir(df.sparkSession, name)
+    write_table(df, folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def measured(df: DataFrame) -> tuple[DataFrame, int]:
     """The frame written once to the shared folder, and its row count seen while writing."""
     folder = work_dir(df.sparkSession, "lookup")
@@ -44,6 +51,7 @@ def split_lookup(
     ``weights`` has (key, n), the rows of ``df`` per key; it is counted if not given.
     """
     if weights is None:
+        df = stored(df, "lookup-rows")
         weights = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = weights.agg(F.sum("n")).scalar()
     hot = weights.filter(F.col("n") >= total * share).select(F.col(key).alias("_hot"))

@@ -77,11 +77,9 @@ def dedupe_first(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def forward_fill(spark: SparkSession, sf: str) -> DataFrame:
-    """Event-level fill, where a series has no calendar bound: filled day by day, then carried."""
+    """Event-level fill, where a series has no calendar bound; chunks this small show the cutting."""
     raw = V.raw_prices(spark, sf)
-    filled = fill.forward_fill_chunked(raw, "symbol", "inserted_at", OHLCV,
-                                       chunk=F.date_trunc("day", "inserted_at"))
-    return filled.drop("date")
+    return fill.forward_fill_counted(raw, "symbol", "inserted_at", OHLCV, "hour", chunk_rows=5).drop("date")
 
 
 @query
@@ -95,6 +93,12 @@ def headline_parts(spark: SparkSession, sf: str) -> DataFrame:
     return headlines.headline_parts(V.raw_headlines(spark, sf), part_rows=2)
 
 
+@query
+def feature_vector_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature join for days of any size: a price row once per bounded part of its headlines."""
+    return headlines.join_parts(_clean_prices(spark, sf), V.raw_headlines(spark, sf), part_rows=2)
+
+
 @query
 def clean_text_pages(spark: SparkSession, sf: str) -> DataFrame:
     read = spread(V.table(spark, sf, "pages").select("page_id", "html"))
@@ -439,37 +443,73 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
         events = _file_stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
         return events.select("event_id", "ts", "event_type", "value")
 
-    once = ingest.dedupe_stream(delivery().unionByName(delivery()), ["event_id"], "ts", "60 days")
+    once = ingest.dedupe_stream(delivery().unionByName(delivery()), ["event_id"], "ts", "6 hours")
     (once.drop("ts").writeStream.format("parquet").option("path", f"{base}/out")
      .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
      .start().awaitTermination())
     return spark.read.parquet(f"{base}/out")
 
 
-def _evaluated_errors(spark: SparkSession, sf: str) -> str:
-    """The error rule run as a stream; windows the watermark has not passed are not out yet."""
+def _logged_errors(spark: SparkSession, sf: str) -> DataFrame:
     base = work_dir(spark, "stream-errors")
-    events = _file_stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    rates = stream_alerts.error_alert_stream(
-        events, "ts", F.col("event_type") == "error", "1 hour", WINDOW, SLIDE, ERROR_LIMIT
-    )
-    stream_alerts.start_evaluations(rates, f"{base}/log", f"{base}/checkpoint").awaitTermination()
-    return f"{base}/log"
+    stream_alerts.start_error_panes(
+        _file_stream(spark, sf, "events"), "ts", F.col("event_type") == "error", f"{base}/log",
+        f"{base}/checkpoint", WINDOW, SLIDE,
+    ).awaitTermination()
+    return stream_alerts.logged_errors(spark, f"{base}/log", WINDOW, SLIDE, ERROR_LIMIT)
 
 
 @query
 def stream_alert_error_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(_evaluated_errors(spark, sf)).select(
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n", "errors", "breached"
-    )
+    return _logged_errors(spark, sf).select("window_end", "n", "errors", "breached")
 
 
 @query
 def stream_alert_firing(spark: SparkSession, sf: str) -> DataFrame:
-    runs = stream_alerts.fired_alerts(spark, _evaluated_errors(spark, sf), "errors",
-                                      SLIDE_SECONDS, HOLD_SECONDS)
-    wall = {c: F.col(c).cast("timestamp_ntz") for c in ("pending_from", "last_breach")}
-    return runs.withColumns(wall)
+    return stream_alerts.fired_alerts(_logged_errors(spark, sf), "errors", SLIDE_SECONDS, HOLD_SECONDS)
+
+
+@query
+def stream_alert_latency(spark: SparkSession, sf: str) -> DataFrame:
+    base = work_dir(spark, "stream-latency")
+    stream_alerts.start_latency_panes(
+        _file_stream(spark, sf, "events"), "ts", "value", f"{base}/log", f"{base}/checkpoint",
+        LATENCY_BOUNDS, WINDOW, SLIDE,
+    ).awaitTermination()
+    made = stream_alerts.logged_latency(spark, f"{base}/log", LATENCY_BOUNDS, WINDOW, SLIDE,
+                                        limit=LATENCY_LIMIT)
+    return made.withColumn("latency", F.round("latency", 4))
+
+
+def _delivered(spark: SparkSession, messages: list[DataFrame], name: str) -> DataFrame:
+    """Messages as JSON lines, read as a stream with one delivery per micro-batch."""
+    folder = work_dir(spark, name)
+    for number, part in enumerate(messages):
+        part.select("value").write.text(f"{folder}/delivery={number}")
+    return (spark.readStream.schema("value string").option("maxFilesPerTrigger", 1)
+            .option("recursiveFileLookup", True).text(folder))
+
+
+@query
+def stream_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages in several micro-batches, ids repeated -> logs -> raw tables -> feature table."""
+    base = work_dir(spark, "stream-features")
+    news = V.raw_headlines(spark, sf).withColumn("scraped_at", F.date_format("scraped_at", C.ISO_SECONDS))
+    late = news.withColumn("headline", F.lit("a later text")).withColumn(
+        "scraped_at", F.lit("2030-01-01T00:00:00"))
+    news_stream = _delivered(spark, [codec.encode(x) for x in (news, late)], "news-messages")
+    ingest.start_headlines(news_stream, f"{base}/news", f"{base}/news-checkpoint",
+                           ["scraped_at"]).awaitTermination()
+    last = dedupe.keep_latest(V.raw_prices(spark, sf).filter(F.col("close").isNotNull()),
+                              ["symbol", "date"], ["inserted_at", "event_id"])
+    early = last.withColumns({"close": F.col("close") + 1, "inserted_at": F.lit("2000-01-01").cast("timestamp_ntz")})
+    price_stream = _delivered(spark, [V.price_messages(x) for x in (early, last)], "price-messages")
+    ingest.start_prices(price_stream, f"{base}/prices", f"{base}/price-checkpoint",
+                        ["fetched_at"]).awaitTermination()
+    return jobs.feature_vectors(
+        jobs.clean_prices(ingest.settled_prices(spark, f"{base}/prices")),
+        jobs.clean_headlines(ingest.settled_headlines(spark, f"{base}/news")),
+    )
 
 
 def _latency(spark: SparkSession, sf: str) -> DataFrame:

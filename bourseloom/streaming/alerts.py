@@ -1,59 +1,71 @@
-"""Alert rules as streaming aggregations."""
+"""Alert rules over streams.
+
+A stream keeps a log of pane counts: each micro-batch adds one small row per pane it has events
+of, and a replayed batch replaces its own rows. Windows are evaluated from the log by the batch
+operators, so they equal the batch rule, open windows and late events included, and the stream
+holds no state.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from bourseloom.operators.alerts import (
-    ERROR_RATE_LIMIT, HOLD_SECONDS, LATENCY_LIMIT, LATENCY_QUANTILE, RULE_SLIDE, RULE_WINDOW,
-    error_rates, firing,
+    ERROR_RATE_LIMIT, HOLD_SECONDS, LATENCY_BOUNDS, LATENCY_LIMIT, LATENCY_QUANTILE, RULE_SLIDE,
+    RULE_WINDOW, error_panes, error_windows, firing, histogram_panes, histogram_windows,
 )
+from bourseloom.streaming.ingest import keep_batches, read_log
 
 
-def _by_window(stream: DataFrame, time: str, delay: str, window: str, slide: str):
-    return stream.withWatermark(time, delay).groupBy(F.window(time, window, slide).alias("_w"))
+def _panes(counts: Sequence[str], time_type: str) -> T.StructType:
+    return T.StructType([T.StructField("_pane", T.TimestampNTZType() if time_type == "timestamp_ntz" else T.TimestampType()),
+                         *[T.StructField(c, T.LongType()) for c in counts]])
 
 
-def error_alert_stream(
-    stream: DataFrame, time: str, is_error: Column, delay: str = "1 minute",
-    window: str = RULE_WINDOW, slide: str = RULE_SLIDE, limit: float = ERROR_RATE_LIMIT,
-) -> DataFrame:
-    """Error counts and rates per window, final once the watermark has passed it."""
-    counts = _by_window(stream, time, delay, window, slide).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(is_error).alias("errors")
-    ).select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-             "n", "errors")
-    return error_rates(counts, limit)
+def start_error_panes(
+    stream: DataFrame, time: str, is_error: Column, log: str, checkpoint: str,
+    window: str = RULE_WINDOW, slide: str = RULE_SLIDE, every: str | None = None,
+) -> StreamingQuery:
+    return keep_batches(stream, lambda batch: error_panes(batch, time, is_error, window, slide),
+                        log, checkpoint, every)
 
 
-def latency_alert_stream(
-    stream: DataFrame, time: str, latency: str, delay: str = "1 minute",
-    window: str = RULE_WINDOW, slide: str = RULE_SLIDE, quantile: float = LATENCY_QUANTILE,
-    limit: float = LATENCY_LIMIT, accuracy: int = 10_000,
+def start_latency_panes(
+    stream: DataFrame, time: str, latency: str, log: str, checkpoint: str,
+    bounds: Sequence[float] = LATENCY_BOUNDS, window: str = RULE_WINDOW, slide: str = RULE_SLIDE,
+    every: str | None = None,
+) -> StreamingQuery:
+    return keep_batches(
+        stream, lambda batch: histogram_panes(batch, time, latency, bounds, window, slide),
+        log, checkpoint, every)
+
+
+def logged_errors(
+    spark: SparkSession, log: str, window: str = RULE_WINDOW, slide: str = RULE_SLIDE,
+    limit: float = ERROR_RATE_LIMIT, time_type: str = "timestamp_ntz",
 ) -> DataFrame:
-    """Latency quantile per window from a mergeable sketch, so state per window is bounded."""
-    sketch = F.percentile_approx(latency, quantile, accuracy)
-    return _by_window(stream, time, delay, window, slide).agg(
-        F.count(latency).alias("n"), sketch.alias("latency")
-    ).select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-             "n", "latency", (F.col("latency") > limit).alias("breached"))
+    """The error rule over all that the log holds."""
+    rows = read_log(spark, log, _panes(["_n", "_errors"], time_type))
+    return error_windows(rows, window, slide, limit)
 
 
-def start_evaluations(
-    rates: DataFrame, log: str, checkpoint: str, every: str | None = None
-) -> StreamingQuery:
-    """Keep every finished window of a rule; each window comes out once, when it is final."""
-    writer = rates.writeStream.format("parquet").outputMode("append").option("path", log)
-    writer = writer.option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if every is None
-            else writer.trigger(processingTime=every)).start()
+def logged_latency(
+    spark: SparkSession, log: str, bounds: Sequence[float] = LATENCY_BOUNDS,
+    window: str = RULE_WINDOW, slide: str = RULE_SLIDE, quantile: float = LATENCY_QUANTILE,
+    limit: float = LATENCY_LIMIT, time_type: str = "timestamp_ntz",
+) -> DataFrame:
+    """The latency rule over all that the log holds."""
+    counts = ["_all", *(f"_le{i}" for i in range(len(bounds)))]
+    return histogram_windows(read_log(spark, log, _panes(counts, time_type)), bounds, window, slide,
+                             quantile, limit)
 
 
 def fired_alerts(
-    spark: SparkSession, log: str, alert: str, slide_seconds: int,
-    hold_seconds: int = HOLD_SECONDS,
+    evaluated: DataFrame, alert: str, slide_seconds: int, hold_seconds: int = HOLD_SECONDS
 ) -> DataFrame:
-    """Runs of breached windows kept so far: pending or fired."""
-    return firing(spark.read.parquet(log), alert, slide_seconds, hold_seconds)
+    """Runs of breached windows so far: pending or fired."""
+    return firing(evaluated, alert, slide_seconds, hold_seconds)

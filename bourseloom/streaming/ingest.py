@@ -9,7 +9,8 @@ rescans the table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from bourseloom.functions.codec import decode
-from bourseloom.functions.times import iso_market, market_now, to_market
+from bourseloom.functions.times import iso_market, market_now, parse_history_time, to_market
 from bourseloom.operators.dedupe import keep_first, keep_latest
 from bourseloom.operators.quality import valid_headlines, valid_prices
-from bourseloom.schemas import HEADLINE_MESSAGE, PRICE_MESSAGE
+from bourseloom.schemas import HEADLINE_MESSAGE, PRICE_MESSAGE, RAW_HEADLINE, RAW_PRICE
 
 BATCH = "batch_id"
 
@@ -55,6 +56,14 @@ def _write_batch(batch: DataFrame, log: str, epoch: int) -> None:
     batch.write.mode("overwrite").parquet(f"{log}/{BATCH}={epoch}")
 
 
+def keep_batches(
+    stream: DataFrame, shrink: Callable[[DataFrame], DataFrame], log: str, checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Each micro-batch, reduced, as a partition of a log."""
+    return _start(stream, lambda batch, epoch: _write_batch(shrink(batch), log, epoch), checkpoint, every)
+
+
 def start_headlines(
     messages: DataFrame, log: str, checkpoint: str, arrival: Sequence[str],
     key: Sequence[str] = ("headline_id",), every: str | None = None,
@@ -101,6 +110,26 @@ def latest_arrivals(rows: DataFrame, key: Sequence[str], arrival: Sequence[str])
     return keep_latest(rows, list(key), [BATCH, *arrival]).drop(BATCH)
 
 
+def settled_headlines(spark: SparkSession, *logs: str) -> DataFrame:
+    """raw_headlines from message logs (a compacted one and later ones): first arrival per id.
+
+    Times are market wall clocks; ``inserted_at`` is the time of the scrape, which a replay repeats.
+    """
+    rows = [read_log(spark, log, HEADLINE_MESSAGE) for log in logs]
+    first = first_arrivals(reduce(DataFrame.unionByName, rows), ["headline_id"], ["scraped_at"])
+    scraped = parse_history_time(F.col("scraped_at"))
+    return first.withColumns({"scraped_at": scraped, "inserted_at": scraped}).select(*RAW_HEADLINE.names)
+
+
+def settled_prices(spark: SparkSession, *logs: str) -> DataFrame:
+    """raw_prices from message logs: last arrival per stock and day."""
+    rows = [read_log(spark, log, PRICE_MESSAGE) for log in logs]
+    last = latest_arrivals(reduce(DataFrame.unionByName, rows), ["symbol", "date"], ["fetched_at"])
+    return last.withColumns({
+        "date": F.to_date("date"), "inserted_at": parse_history_time(F.col("fetched_at")),
+    }).select(*RAW_PRICE.names)
+
+
 def compact(
     spark: SparkSession, log: str, target: str, schema: T.StructType, settle, upto: int
 ) -> None:

@@ -568,14 +568,20 @@ SQL["stream_dedupe"] = "SELECT event_id, event_type, value FROM events"
 
 SQL["stream_alert_error_rate"] = f"""
 WITH {WINDOWS}, {ERRORS}
-SELECT window_end, n, CAST(errors AS BIGINT) AS errors, breached FROM errors
-WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""
+SELECT window_end, n, CAST(errors AS BIGINT) AS errors, breached FROM errors"""
 
 SQL["stream_alert_firing"] = f"""
-WITH {WINDOWS}, {ERRORS},
-finished AS (
-  SELECT * FROM errors WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events))
-{last_run('errors', 'finished')}"""
+WITH {WINDOWS}, {ERRORS} {last_run('errors', 'errors')}"""
+
+VALID_PRICES = CLEAN_PRICES.replace("FROM raw_prices\n", "FROM raw_prices WHERE close IS NOT NULL\n")
+
+SQL["stream_features"] = f"""
+WITH {VALID_PRICES}, {STAGED_HEADLINES}, {CLEAN_HEADLINES},
+daily AS ({DAILY_OF.format(source="clean_headlines WHERE headline_id IN (SELECT headline_id "
+                           "FROM raw_headlines WHERE headline <> '')")})
+SELECT p.*, coalesce(headline_count, 0) AS headline_count,
+       coalesce(headlines_json, '[]') AS headlines_json
+FROM clean_prices p LEFT JOIN daily USING (symbol, date)"""
 
 SQL["alert_latency_p95"] = f"""
 WITH {LATENCY}
@@ -733,3 +739,14 @@ SELECT round(max(abs(fb - fc)), 8) AS ks,
        (SELECT count(*) FROM base) AS baseline_count,
        (SELECT count(*) FROM curr) AS current_count
 FROM cums"""
+
+SQL["stream_alert_latency"] = SQL["alert_latency_histogram"]
+
+SQL["feature_vector_parts"] = f"""
+WITH {CLEAN_PRICES},
+parts AS ({SQL["headline_parts"]}),
+counts AS (SELECT symbol, date, CAST(sum(headline_count) AS BIGINT) AS headline_count
+           FROM parts GROUP BY ALL)
+SELECT p.*, coalesce(c.headline_count, 0) AS headline_count, coalesce(h.part, 0) AS part,
+       coalesce(h.headlines_json, '[]') AS headlines_json
+FROM clean_prices p LEFT JOIN counts c USING (symbol, date) LEFT JOIN parts h USING (symbol, date)"""

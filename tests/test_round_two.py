@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bourseloom.functions import times as C
-from bourseloom.operators import alerts, dedupe, preopen, quantiles
+from bourseloom.operators import alerts, dedupe, fill, headlines, preopen, quantiles
 
 
 @pytest.mark.parametrize("text,want", [
@@ -60,3 +60,27 @@ def test_small_values_spread_over_buckets(spark, scale):
     assert ordered == sorted(ordered)
     q = quantiles.exact_quantiles(values.withColumn("k", F.lit(1)), ["k"], "v", [0.25]).first()["quantile"]
     assert q == pytest.approx(-0.5 * scale, rel=1e-4)
+
+
+def test_counted_chunks_fill_like_one_window(spark):
+    first = dt.datetime(2026, 1, 1)
+    rows = [("A" if i % 3 else "B", first + dt.timedelta(seconds=7 * i), float(i) if i % 5 == 0 else None)
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "s string, t timestamp_ntz, v double")
+    got = fill.forward_fill_counted(df, "s", "t", ["v"], "minute", chunk_rows=20)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, fill.forward_fill(df, "s", "t", ["v"]).collect()))
+
+
+def test_hot_day_is_cut_into_parts(spark):
+    """A third of the headlines on one stock and day: no part, and so no cell, holds that day."""
+    day = dt.datetime(2026, 1, 5)
+    rows = [(f"{i * 2654435761 % 2**32:08x}", "HOT" if i % 3 == 0 else f"S{i % 50}", f"text {i}", day + dt.timedelta(
+        seconds=i if i % 3 == 0 else i * 60)) for i in range(3000)]
+    news = spark.createDataFrame(rows, "headline_id string, symbol string, headline string, scraped_at timestamp_ntz")
+    prices = spark.createDataFrame([("HOT", day.date()), ("S1", day.date()), ("NONE", day.date())], "symbol string, date date")
+    got = headlines.join_parts(prices, news, part_rows=100).collect()
+    hot = [r for r in got if r["symbol"] == "HOT"]
+    assert {r["headline_count"] for r in hot} == {1000} and len(hot) >= 10
+    assert max(r["headlines_json"].count("text") for r in hot) <= 110
+    assert sum(r["headlines_json"].count("text") for r in hot) == 1000
+    assert [(r["headline_count"], r["headlines_json"]) for r in got if r["symbol"] == "NONE"] == [(0, "[]")]

@@ -100,32 +100,28 @@ def test_missing_scrape_time_is_the_messages_own(spark):
     assert [r[0] for r in got] == ["2026-01-01T05:30:00+05:30"]
 
 
-def test_stream_equals_batch_for_errors(spark, tmp_path):
-    first = dt.datetime(2026, 1, 1)
-    rows = [(first + dt.timedelta(seconds=20 * i), "error" if i % 4 == 0 else "ok") for i in range(200)]
-    df = spark.createDataFrame(rows, "ts timestamp_ntz, kind string").withColumn("ts", F.col("ts").cast("timestamp"))
-    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
-    df.coalesce(1).write.parquet(folder)
-    is_error = F.col("kind") == "error"
-    stream = stream_alerts.error_alert_stream(spark.readStream.schema(df.schema).parquet(folder), "ts", is_error)
-    (stream.writeStream.format("parquet").option("path", out)
-     .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination())
-    got = {r["window_end"]: r["errors"] for r in spark.read.parquet(out).collect()}
-    want = {r["window_end"]: r["errors"] for r in alerts.error_alert(df, "ts", is_error).collect()}
-    assert len(got) > 50 and all(want[k] == v for k, v in got.items())
-
-
-def test_latency_sketch_stream(spark, tmp_path):
+def file_stream(spark, df, folder, parts=3):
+    """The rows as a stream of several micro-batches."""
+    df.repartition(parts).write.parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_stream_windows_equal_batch_windows(spark, tmp_path):
     first = dt.datetime(2026, 1, 1)
-    rows = [(first + dt.timedelta(seconds=i), float(i % 100)) for i in range(3600)]
-    df = spark.createDataFrame(rows, "ts timestamp_ntz, v double").withColumn("ts", F.col("ts").cast("timestamp"))
-    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
-    df.coalesce(1).write.parquet(folder)
-    stream = stream_alerts.latency_alert_stream(spark.readStream.schema(df.schema).parquet(folder), "ts", "v", limit=90.0)
-    (stream.writeStream.format("parquet").option("path", out)
-     .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination())
-    full = [r for r in spark.read.parquet(out).collect() if r["n"] == 300]
-    assert full and all(abs(r["latency"] - 94.0) <= 1.0 and r["breached"] for r in full)
+    rows = [(first + dt.timedelta(seconds=20 * i), float(i % 100), i % 4 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, v double, bad boolean")
+    stream = file_stream(spark, df, str(tmp_path / "in"))
+    log = [str(tmp_path / x) for x in ("errors", "latency", "c1", "c2")]
+    stream_alerts.start_error_panes(stream, "ts", F.col("bad"), log[0], log[2]).awaitTermination()
+    stream_alerts.start_latency_panes(stream, "ts", "v", log[1], log[3], [10.0, 50.0, 90.0]).awaitTermination()
+    assert len(list((tmp_path / "errors").glob("batch_id=*"))) == 3
+    key = lambda df: sorted(map(tuple, df.collect()))
+    errors = stream_alerts.logged_errors(spark, log[0])
+    assert key(errors) == key(alerts.error_alert(df, "ts", F.col("bad")))
+    latency = stream_alerts.logged_latency(spark, log[1], [10.0, 50.0, 90.0])
+    assert key(latency) == key(alerts.histogram_alert(df, "ts", "v", [10.0, 50.0, 90.0]))
+    runs = stream_alerts.fired_alerts(errors, "e", 60)
+    assert key(runs) == key(alerts.firing(alerts.error_alert(df, "ts", F.col("bad")), "e", 60))
 
 
 def test_encoded_rows_can_be_read_back(spark):
