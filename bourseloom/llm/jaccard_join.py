@@ -9,9 +9,12 @@ fragments by hash. The first fragments (``ORDER_SHARE`` of the hash range) choos
   two sets that link share one of them. A passage in many documents stands late in the order, so
   its long list is used by hardly any of them. A node with fewer shingles than that in the first
   fragments takes its smallest hashes beyond them, last in the order.
-* In each kept list every node is paired with the list's smallest node: pairs grow with the
-  postings, not with the square of a list. A second step pairs what a list has left in different
-  components; within a component no further pair is needed to know it.
+* In each kept list every node is paired with the list's smallest node, then with a node drawn
+  for the list: pairs grow with the postings, not with the square of a list. A last step pairs
+  what a list still has in different components; within a component no further pair is needed to
+  know it. Pairs are dropped before they are made if sizes and bitmaps show that they can't link.
+
+Only shingles that a bounded Bloom filter has seen twice are posted.
 
 Pairs are verified by partial overlaps: all fragments of both sets are intersected separately and
 the counts are summed per pair. A pair links when 100 * overlap >= 75 * union.
@@ -40,8 +43,11 @@ from bourseloom.llm.store import settle
 ORDER_SHARE = 0.375
 #: Fragments for the partial overlaps.
 FRAGMENTS = 8
+WORD_NAMES = [f"w{k}" for k in range(FRAGMENTS)]
 #: Lists up to this length give all their pairs at once.
 SMALL_LIST = 8
+#: A node's first lists that are looked at to make a pair once.
+FIRST_LISTS = 8
 WORDS, PERCENT = 5, 75
 _EMPTY = 0
 
@@ -74,31 +80,50 @@ def sets(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n_shingles long, node long")
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """(s, node, n, r): shingles of the first fragments; r is how many of them the node posts.
+def _posted(own: np.ndarray) -> np.ndarray:
+    """A set's shingles in the first fragments, or its smallest hashes where these are too few."""
+    k = max(int(np.searchsorted(own, np.uint64(int(ORDER_SHARE * 2**64)))),
+            min(len(own), _prefix(len(own))))
+    return own[:k]
+
+
+def repeated_shingles(docs: DataFrame, members: DataFrame) -> np.ndarray:
+    """Bounded Bloom bitmap of the posted shingles that two rows or more have."""
+    total = members.agg(F.sum("n_shingles")).first()[0] or 1
+
+    def hashes(batch):
+        found = [_posted(own) for _, own in row_sets(batch.column(0), WORDS)]
+        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+    return seen_twice(docs.select("text"), hashes, filter_bits(int(total * ORDER_SHARE) + 1, 8))
+
+
+def postings(docs: DataFrame, repeated: np.ndarray) -> DataFrame:
+    """(s, node, n, r): posted shingles that may repeat; r is how many the node posts in all.
 
     A task posts equal sets once, so a group of copies sends a row per task, not per copy.
     """
-    bound = np.uint64(int(ORDER_SHARE * 2**64))
+    shared = docs.sparkSession.sparkContext.broadcast(repeated)
 
     def run(batches):
         done: set[int] = set()
         for batch in batches:
-            s, node, n, r = [], [], [], []
+            s, node, n, r, sizes = [], [], [], [], []
             for _, own in row_sets(batch.column(0), WORDS):
                 name = _digest(own)
                 if name == _EMPTY or name in done:
                     continue
                 done.add(name)
-                k = max(int(np.searchsorted(own, bound)), min(len(own), _prefix(len(own))))
-                s.append(own[:k])
+                posted = _posted(own)
+                again = posted[contains(shared.value, posted)]
+                s.append(again)
+                sizes.append(len(again))
                 node.append(name)
                 n.append(len(own))
-                r.append(k)
-            posted = np.concatenate(s) if s else np.zeros(0, np.uint64)
-            counts = np.array(r, np.int64)
+                r.append(len(posted))
+            counts = np.array(sizes, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(posted.view(np.int64)),
+                [pa.array((np.concatenate(s) if s else np.zeros(0, np.uint64)).view(np.int64)),
                  pa.array(np.repeat(np.array(node, np.int64), counts)),
                  pa.array(np.repeat(np.array(n, np.int32), counts)),
                  pa.array(np.repeat(np.array(r, np.int32), counts))], names=["s", "node", "n", "r"])
@@ -106,102 +131,160 @@ def postings(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "s long, node long, n int, r int")
 
 
+def kept_postings(posted: DataFrame) -> DataFrame:
+    """(s, node): the first shingles of each node in the order, where two nodes or more meet."""
+    lists = posted.groupBy("s").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    shared = settle(posted.join(lists, "s").distinct(), "shared-postings")
+    single = shared.groupBy("node").agg(
+        (F.first("r") - F.count(F.lit(1))).alias("alone"),
+        (F.first("n") - F.ceil(F.first("n") * F.lit(PERCENT) / 100) + 1).alias("prefix"))
+    room = single.filter("prefix > alone").select("node", (F.col("prefix") - F.col("alone")).alias("room"))
+    rank = F.row_number().over(W.partitionBy("node").orderBy("k", "s"))
+    first = settle(shared.join(room, "node").withColumn("at", rank).filter("at <= room")
+                   .select("s", "node"), "kept-postings")
+    meet = first.groupBy("s").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    return first.join(meet, "s")
+
+
 def fragments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, f, hashes) of the wanted nodes' whole sets, one row per fragment.
+    """(node, n, w0.., parts) of the wanted nodes: the whole set, cut into its fragments.
 
-    A bounded Bloom filter keeps other nodes from leaving the task; the join is exact.
+    ``w<k>`` has a bit for each hash of fragment k: a bitmap of one word per fragment. A bounded
+    Bloom filter keeps other nodes from leaving the task; the join is exact.
     """
-    spark = docs.sparkSession
     bits = filter_bits(wanted.count() or 1)
-    held = spark.sparkContext.broadcast(
+    held = docs.sparkSession.sparkContext.broadcast(
         seen_twice(wanted, lambda b: b.column(0).to_numpy(), bits, least=1))
+    cuts = np.array([k * (2**64 // FRAGMENTS) for k in range(1, FRAGMENTS)], np.uint64)
 
     def run(batches):
         done: set[int] = set()
         for batch in batches:
-            node, f, hashes = [], [], []
+            node, n, words, sizes, hashes = [], [], [], [0], []
             for _, own in row_sets(batch.column(0), WORDS):
                 name = _digest(own)
                 if name in done or not contains(held.value, np.array([name], np.int64))[0]:
                     continue
                 done.add(name)
-                cuts = np.searchsorted(own, np.array(
-                    [k * (2**64 // FRAGMENTS) for k in range(1, FRAGMENTS)], np.uint64))
-                for k, part in enumerate(np.split(own.view(np.int64), cuts)):
-                    if len(part):
-                        node.append(name)
-                        f.append(k)
-                        hashes.append(part)
+                node.append(name)
+                n.append(len(own))
+                hashes.append(own.view(np.int64))
+                at = [0, *np.searchsorted(own, cuts).tolist(), len(own)]
+                bit = np.uint64(1) << (own & np.uint64(63))
+                for lo, hi in zip(at, at[1:], strict=False):
+                    sizes.append(hi - lo)
+                    words.append(np.bitwise_or.reduce(bit[lo:hi], initial=np.uint64(0)))
+            flat = np.concatenate(hashes) if hashes else np.zeros(0, np.int64)
+            inner = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(flat))
+            outer = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(node) + 1) * FRAGMENTS, pa.int32()), inner)
+            bitmap = np.array(words, np.uint64).view(np.int64).reshape(-1, FRAGMENTS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(node, pa.int64()), pa.array(f, pa.int32()),
-                 pa.ListArray.from_arrays(
-                     pa.array(np.concatenate([[0], np.cumsum([len(h) for h in hashes])]), pa.int32()),
-                     pa.array(np.concatenate(hashes) if hashes else np.zeros(0, np.int64)))],
-                names=["node", "f", "hashes"])
+                [pa.array(node, pa.int64()), pa.array(n, pa.int64()),
+                 *(pa.array(np.ascontiguousarray(bitmap[:, k])) for k in range(FRAGMENTS)), outer],
+                names=["node", "n", *WORD_NAMES, "parts"])
 
-    made = docs.select("text").mapInArrow(run, "node long, f int, hashes array<long>")
-    return made.join(wanted, "node", "left_semi").dropDuplicates(["node", "f"])
+    schema = ", ".join(["node long, n long", *(f"{w} long" for w in WORD_NAMES), "parts array<array<long>>"])
+    made = docs.select("text").mapInArrow(run, schema)
+    return made.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
-def kept_postings(docs: DataFrame) -> DataFrame:
-    """(s, node, n): the first shingles of each node in the order, where two nodes or more meet."""
-    posted = postings(docs)
-    lists = posted.groupBy("s").agg(F.count_distinct("node").alias("k")).filter("k > 1")
-    shared = settle(posted.join(lists, "s").distinct(), "shared-postings")
-    single = shared.groupBy("node").agg(
-        (F.first("r") - F.count(F.lit(1))).alias("alone"),
-        (F.first("n") - F.ceil(F.first("n") * F.lit(PERCENT) / 100) + 1).alias("prefix"))
-    room = single.filter("prefix > alone").select("node", (F.col("prefix") - F.col("alone")).alias("room"))
-    rank = F.row_number().over(W.partitionBy("node").orderBy("k", "s"))
-    first = shared.join(room, "node").withColumn("at", rank).filter("at <= room")
-    return settle(first.select("s", "node", "n"), "kept-postings")
+def described(kept: DataFrame, parts: DataFrame) -> DataFrame:
+    """(s, k, node, a): kept postings, each with its node's size and bitmap in the struct ``a``."""
+    nodes = parts.select("node", "n", *WORD_NAMES)
+    whole = F.struct("node", "n", *WORD_NAMES).alias("a")
+    return settle(kept.join(nodes, "node").select("s", "k", "node", whole), "lists")
+
 
+def may_link(a: str, b: str):
+    """False only for pairs that can't link, by the sizes and the bits that one side has alone."""
+    def at_most(x: str, y: str):
+        alone = [F.bit_count(F.col(f"{x}.{w}").bitwiseAND(F.bitwise_not(f"{y}.{w}"))) for w in WORD_NAMES]
+        return F.col(f"{x}.n") - sum(alone[1:], alone[0])
 
-def _long_enough(a: str, b: str):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return F.least(at_most(a, b), at_most(b, a)) * (100 + PERCENT) >= both * PERCENT
 
 
-def first_pairs(kept: DataFrame) -> DataFrame:
+def _named(a: str, b: str) -> list:
+    swap = F.col(f"{a}.node") < F.col(f"{b}.node")
+    pick = lambda c, first: F.when(swap, F.col(f"{first}.{c}")).otherwise(
+        F.col(f"{b if first == a else a}.{c}"))
+    return [pick("node", a).alias("x"), pick("n", a).alias("nx"),
+            pick("node", b).alias("y"), pick("n", b).alias("ny")]
+
+
+def first_pairs(lists: DataFrame) -> DataFrame:
     """(x, nx, y, ny): every pair of a short list; in a long one, each node with the smallest."""
-    sizes = kept.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("node", "n")).alias("c"))
-    sized = kept.join(sizes.filter("k > 1"), "s")
-    star = sized.filter(F.col("k") > SMALL_LIST).select(
-        F.col("c.node").alias("x"), F.col("c.n").alias("nx"), F.col("node").alias("y"),
-        F.col("n").alias("ny")).filter("x <> y")
-    short = sized.filter(F.col("k") <= SMALL_LIST).groupBy("s").agg(
-        F.array_sort(F.collect_list(F.struct("node", "n"))).alias("l"))
+    long = lists.filter(F.col("k") > SMALL_LIST)
+    centre = long.groupBy("s").agg(F.min("a").alias("b"))
+    star = long.join(centre, "s").filter("a.node <> b.node").filter(may_link("a", "b"))
+    short = lists.filter(F.col("k") <= SMALL_LIST).groupBy("s").agg(
+        F.array_sort(F.collect_list("a")).alias("l"))
     short = short.select(F.posexplode("l").alias("i", "a"), "l").select(
-        "a", F.explode(F.slice("l", F.col("i") + 2, F.lit(SMALL_LIST))).alias("b")).select(
-        F.col("a.node").alias("x"), F.col("a.n").alias("nx"),
-        F.col("b.node").alias("y"), F.col("b.n").alias("ny"))
-    return star.union(short).filter(_long_enough("nx", "ny")).distinct()
-
-
-def left_pairs(kept: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of long lists whose nodes stand in different components of the links so far."""
-    named = kept.join(found, "node", "left").select(
-        "s", "node", "n", F.coalesce("component", "node").alias("c"))
-    groups = named.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("lo"),
-                                    F.max("c").alias("hi"))
-    open_lists = groups.filter((F.col("k") > SMALL_LIST) & (F.col("lo") < F.col("hi"))).select("s")
-    rows = named.join(open_lists, "s", "left_semi")
-    a = rows.select("s", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"))
-    b = rows.select("s", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"))
-    return a.join(b, "s").filter((F.col("cx") < F.col("cy")) & _long_enough("nx", "ny")).select(
-        "x", "nx", "y", "ny").distinct()
-
-
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that link: partial overlaps per fragment, summed."""
-    wanted = settle(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "pair-nodes")
-    parts = settle(fragments(docs, wanted), "fragments")
-    left = parts.select(F.col("node").alias("x"), "f", F.col("hashes").alias("hx"))
-    right = parts.select(F.col("node").alias("y"), "f", F.col("hashes").alias("hy"))
-    partial = pairs.join(left, "x").join(right, ["y", "f"]).select(
-        "x", "nx", "y", "ny", F.size(F.array_intersect("hx", "hy")).alias("part"))
-    total = partial.groupBy("x", "nx", "y", "ny").agg(F.sum("part").alias("both"))
-    return total.filter(
-        F.col("both") * 100 >= (F.col("nx") + F.col("ny") - F.col("both")) * PERCENT).select("x", "y")
+        "a", F.explode(F.slice("l", F.col("i") + 2, F.lit(SMALL_LIST))).alias("b")).filter(
+        may_link("a", "b"))
+    return star.select(_named("a", "b")).union(short.select(_named("a", "b"))).distinct()
+
+
+def open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of the long lists whose nodes are in different components so far, with these as ``c``."""
+    rows = lists.filter(F.col("k") > SMALL_LIST).join(found, "node", "left").select(
+        "s", "a", F.coalesce("component", "node").alias("c"))
+    ends = rows.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    return settle(rows.join(ends.filter("lo < hi").select("s"), "s", "left_semi"), "open-lists")
+
+
+def centre_pairs(rows: DataFrame) -> DataFrame:
+    """Each node with its list's centre, another one in each list: pairs grow with the postings."""
+    centre = rows.groupBy("s").agg(
+        F.min_by(F.struct("a", "c"), F.xxhash64("s", F.col("a.node"))).alias("z"))
+    centre = centre.select("s", F.col("z.a").alias("b"), F.col("z.c").alias("cb"))
+    met = rows.join(centre, "s").filter(F.col("c") != F.col("cb")).filter(may_link("a", "b"))
+    return met.select(_named("a", "b")).distinct()
+
+
+def left_pairs(rows: DataFrame) -> DataFrame:
+    """All that is left: pairs of nodes of one list in different components that may link.
+
+    A pair is not made in a list if both nodes have the same earlier list among their first ones;
+    it is made in the first list that both have.
+    """
+    earliest = rows.groupBy(F.col("a.node").alias("node")).agg(
+        F.slice(F.array_sort(F.collect_list("s")), 1, FIRST_LISTS).alias("e"))
+    rows = rows.withColumn("node", F.col("a.node")).join(earliest, "node").select(
+        "s", "a", "c", F.filter("e", lambda x: x < F.col("s")).alias("e"))
+    other = rows.select("s", F.col("a").alias("b"), F.col("c").alias("cb"), F.col("e").alias("eb"))
+    met = rows.join(other, [rows.s == other.s, rows.c < other.cb, ~F.arrays_overlap("e", "eb"),
+                            may_link("a", "b")])
+    return met.select(_named("a", "b")).distinct()
+
+
+def verified(parts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that link: partial overlaps, counted in each fragment and summed per pair."""
+    left = parts.select(F.col("node").alias("x"), F.col("parts").alias("px"))
+    right = parts.select(F.col("node").alias("y"), F.col("parts").alias("py"))
+    partial = F.zip_with("px", "py", lambda a, b: F.size(F.array_intersect(a, b)))
+    total = pairs.join(left, "x").join(right, "y").select(
+        "x", "nx", "y", "ny", F.aggregate(partial, F.lit(0), lambda a, b: a + b).alias("both"))
+    return settle(total.filter(
+        F.col("both") * 100 >= (F.col("nx") + F.col("ny") - F.col("both")) * PERCENT
+    ).select("x", "y"), "links")
+
+
+def all_links(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(x, y) links that span every component, and (node, component)."""
+    kept = kept_postings(postings(docs, repeated_shingles(docs, members)))
+    parts = settle(fragments(docs, settle(kept.select("node").distinct(), "list-nodes")), "fragments")
+    lists = described(kept, parts)
+    links = verified(parts, settle(first_pairs(lists), "pairs"))
+    found = components(links, "x", "y")
+    for step in (centre_pairs, left_pairs):
+        pairs = settle(step(open_lists(lists, found)), "pairs")
+        if not pairs.isEmpty():
+            links = links.union(verified(parts, pairs))
+            found = components(links, "x", "y")
+    return links.distinct(), found
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
@@ -211,16 +294,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     ``n_links`` is the number of links that were verified for its set, copies left out.
     """
     members = settle(sets(docs), "members")
-    kept = kept_postings(docs)
-    pairs = settle(first_pairs(kept), "pairs")
-    links = settle(verified(docs, pairs), "links")
-    found = components(links, "x", "y")
-    more = settle(left_pairs(kept, found), "left-pairs")
-    if not more.isEmpty():
-        extra = settle(verified(docs, more), "links")
-        if not extra.isEmpty():
-            links = links.union(extra)
-            found = components(links, "x", "y")
+    links, found = all_links(docs, members)
     n_links = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(
         F.count(F.lit(1)).alias("n_links"))
     named = members.join(found, "node", "left").join(n_links, "node", "left").select(
@@ -235,6 +309,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 
 
 def one_per_class(docs: DataFrame) -> DataFrame:
-    """Documents without those whose class has a row of a smaller id; rows with one id stay together."""
-    classes = jaccard_classes(docs).filter(F.col("doc_id") == F.col("component_id"))
-    return docs.join(classes.select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
+    """Documents whose id is their class's smallest one; rows with one id stay or go together."""
+    classes = jaccard_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = classes.select(F.col("doc_id").alias("__jaccard_id")).distinct()
+    return docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(stay["__jaccard_id"]), "left_semi")
