@@ -14,7 +14,7 @@ from bourseloom.operators import (
 )
 from bourseloom.plans import jobs, modeling
 from bourseloom.schemas import (
-    CONTRACTS, HEADLINE_MESSAGE, HEADLINE_REQUIRED, OHLCV, PRICE_MESSAGE, PRICE_REQUIRED,
+    CONTRACTS, DAILY_BAR, HEADLINE_MESSAGE, HEADLINE_REQUIRED, OHLCV, PRICE_MESSAGE, PRICE_REQUIRED,
 )
 from bourseloom.session import use_utc, work_dir
 from bourseloom.sources import files, stand_ins as V
@@ -335,6 +335,22 @@ def preopen_breadth(spark: SparkSession, sf: str) -> DataFrame:
         "advances": F.col("advances").cast("long"), "declines": F.col("declines").cast("long")})
 
 
+@query
+def history_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Accepted and rejected lines of a stored history in which some lines have too many fields."""
+    bars_ = V.daily_bars(spark, sf)
+    fields = [F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in DAILY_BAR]
+    line = F.concat_ws(",", *fields)
+    folder = work_dir(spark, "history")
+    bars_.select(F.when(F.col("symbol").endswith("7"), F.concat(line, F.lit(",x,y"))).otherwise(line)
+                 ).write.text(folder)
+    good = files.read_history(spark, folder, DAILY_BAR, header="false")
+    bad = files.rejected_lines(spark, folder, DAILY_BAR, header="false")
+    return good.groupBy("symbol").agg(F.count("date").alias("lines")).withColumn("accepted", F.lit(True)).union(
+        bad.groupBy(F.split_part("line", F.lit(","), F.lit(1)).alias("symbol"))
+        .agg(F.count("line").alias("lines")).withColumn("accepted", F.lit(False)))
+
+
 @query
 def headline_ids(spark: SparkSession, sf: str) -> DataFrame:
     raw = V.raw_headlines(spark, sf)

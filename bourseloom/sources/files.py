@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from bourseloom.sources.tables import write_table
 # Fixed value: file name ending of stored bars per interval.
 BAR_SUFFIX = "_%s_data.csv"
 CORRUPT = "_corrupt_record"
+SOURCE_FILE = "source_file"
 
 
 def _as_text(schema: T.StructType) -> T.StructType:
@@ -70,12 +71,10 @@ def read_stock_list(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, STOCK)
 
 
-def read_history(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
-    """Stored history; an absent folder or file is an empty history, not an error.
-
-    A byte-order mark before the header does no harm, since columns go by position. Lines of
-    another shape than the header and lines without any value are left out.
-    """
+def _history_lines(
+    spark: SparkSession, path: str, schema: T.StructType, **options: str
+) -> DataFrame | None:
+    """All lines as text columns, with the line itself where its shape is wrong, and the file."""
     layout = _as_text(schema).add(CORRUPT, T.StringType())
     try:
         raw = (
@@ -86,9 +85,42 @@ def read_history(spark: SparkSession, path: str, schema: T.StructType, **options
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e.getCondition()):
             raise
-        return spark.createDataFrame([], schema)
-    sound = F.col(CORRUPT).isNull() & F.coalesce(*schema.names).isNotNull()
-    return typed(raw.filter(sound), schema)
+        return None
+    return raw.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+
+
+def _sound(schema: T.StructType) -> Column:
+    return F.col(CORRUPT).isNull() & F.coalesce(*schema.names).isNotNull()
+
+
+def read_history(
+    spark: SparkSession, path: str, schema: T.StructType, with_file: bool = False, **options: str
+) -> DataFrame:
+    """Stored history; an absent folder or file is an empty history, not an error.
+
+    A byte-order mark before the header does no harm, since columns go by position. Lines of
+    another shape than the header and lines without any value are left out here; they are what
+    :func:`rejected_lines` gives. ``with_file`` adds the name of each row's file.
+    """
+    raw = _history_lines(spark, path, schema, **options)
+    if raw is None:
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn(SOURCE_FILE, F.lit("")) if with_file else empty
+    kept = raw.filter(_sound(schema))
+    if not with_file:
+        return typed(kept, schema)
+    return typed(kept, T.StructType([*schema.fields, T.StructField(SOURCE_FILE, T.StringType())]))
+
+
+def rejected_lines(
+    spark: SparkSession, path: str, schema: T.StructType, **options: str
+) -> DataFrame:
+    """(source_file, line) of what :func:`read_history` leaves out; a line without values is ''."""
+    raw = _history_lines(spark, path, schema, **options)
+    if raw is None:
+        return spark.createDataFrame([], f"{SOURCE_FILE} string, line string")
+    return raw.filter(~_sound(schema)).select(
+        SOURCE_FILE, F.coalesce(CORRUPT, F.lit("")).alias("line"))
 
 
 def bar_schema(interval: str) -> T.StructType:

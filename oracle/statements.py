@@ -750,3 +750,7 @@ counts AS (SELECT symbol, date, CAST(sum(headline_count) AS BIGINT) AS headline_
 SELECT p.*, coalesce(c.headline_count, 0) AS headline_count, coalesce(h.part, 0) AS part,
        coalesce(h.headlines_json, '[]') AS headlines_json
 FROM clean_prices p LEFT JOIN counts c USING (symbol, date) LEFT JOIN parts h USING (symbol, date)"""
+
+SQL["history_lines"] = f"""
+WITH {DAILY_BARS}
+SELECT symbol, count(*) AS lines, symbol NOT LIKE '%7' AS accepted FROM daily_bars GROUP BY symbol"""
