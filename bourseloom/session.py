@@ -51,11 +51,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediates and stream checkpoints.
 
     Lives under ``spark.checkpoint.dir``, the folder all executors share. Where that is not
-    set, a local session (a test) gets a temporary folder; a cluster must name one.
+    set, a session in one process (a test) gets a temporary folder; any cluster must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="bourseloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
