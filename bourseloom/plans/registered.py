@@ -659,6 +659,16 @@ def batch_predict(spark: SparkSession, sf: str) -> DataFrame:
                                     F.lit(STAMP))
 
 
+@query
+def batch_predict_seeded(spark: SparkSession, sf: str) -> DataFrame:
+    """The same requests answered from stored seeded scores, the baseline where there are none."""
+    requests = V.raw_prices(spark, sf).select(
+        "symbol", F.date_format("date", "yyyy-MM-dd").alias("date")).distinct()
+    scores = signals.baseline_signals(_clean_prices(spark, sf), F.lit(AS_OF).cast("timestamp_ntz"))
+    scores = scores.select("symbol", "date", F.col("signal").alias("direction"), "confidence")
+    return signals.predict_requests(requests, scores, "seeded-1", F.lit(STAMP))
+
+
 def registered() -> dict[str, Query]:
     def pinned(run: Query) -> Query:
         def call(spark: SparkSession, sf: str) -> DataFrame:

@@ -754,3 +754,13 @@ FROM clean_prices p LEFT JOIN counts c USING (symbol, date) LEFT JOIN parts h US
 SQL["history_lines"] = f"""
 WITH {DAILY_BARS}
 SELECT symbol, count(*) AS lines, symbol NOT LIKE '%7' AS accepted FROM daily_bars GROUP BY symbol"""
+
+SQL["batch_predict_seeded"] = f"""
+WITH {CLEAN_PRICES},
+requests AS (SELECT DISTINCT symbol, date FROM raw_prices)
+SELECT symbol, strftime(date, '%Y-%m-%d') AS date,
+       ['high', 'low', 'flat'][CAST(floor({uniform('direction')} * 3) AS INTEGER) + 1] AS direction,
+       round(0.3 + (0.9 - 0.3) * {uniform('confidence')}, 2) AS confidence,
+       CASE WHEN known THEN 'seeded-1' ELSE 'baseline' END AS model_version,
+       '2024-02-01T09:00:00+05:30' AS timestamp
+FROM requests LEFT JOIN (SELECT symbol, date, true AS known FROM clean_prices) USING (symbol, date)"""
