@@ -1,20 +1,24 @@
-"""Substring dedup by content-defined chunking.
-
-A gear rolling hash runs over a text's UTF-8 bytes; a chunk ends where the hash's low bits are
-zero and at least ``MIN_CHUNK`` bytes have passed. The hash depends on the last bytes alone, so
-after an insertion the cuts, and with them the chunks, fall into step again. Chunks are compared
-by 64-bit digest: a chunk is a repeat where a document of a smaller id has it too. Repeats that
-lie end to end make a span; spans of at least ``MIN_SPAN`` bytes are reported, each with the
-smallest id that has one of its chunks. With chunks of 32 bytes on average, a passage of 50 words
-keeps such a span whatever stands around it.
-
-A bounded Bloom filter of the digests seen twice keeps other chunks from being shuffled. Counts
-and first holders are partial aggregates; a hot chunk sends one row per task there, and its join
-partition can be split.
-
-Defined cases: a null or empty text has no chunks; rows with one id are one document, whose own
-repeats don't count; a null id counts as the smallest and is reported as null; a run without cuts
-is one long chunk; an empty table gives an empty table; helper columns start with ``__chunk_``.
+"""Substring dedup by windows of whole words, exact to a 64-bit digest.
+
+A document's windows are its shortest runs of whole words, from each word on and up to each word,
+that have ``MIN_SPAN`` bytes. A window is a repeat where a document of a smaller id
+has it too; its holder is the smallest such id. Windows that overlap in a document and lie at the
+same distance in the same text of the same holder make a span. So the holder has the whole span
+byte for byte, no document of a smaller id has it, and every passage of whole words of that size is
+found whole, whatever stands around it. Spans of different holders may overlap; one that lies
+inside others is left out.
+
+A word of more than ``LONG_WORD`` bytes (text without blanks) has windows at each code point.
+
+A window is posted only if the smallest of its hashes of 32 bytes (a gear hash, of which a window
+and its copies have the same) is in two documents, by a bounded Bloom filter. A document posts a
+window once, with all its places, so repeated phrases stay linear: the n-th place in a document is
+compared with the n-th place in the holder. Holders are partial aggregates; a hot window sends one
+row per task there, and its join partition can be split.
+
+Defined cases: a null or empty text has no windows; rows with one id are one document, whose own
+repeats don't count; a null id counts as the smallest and is reported as null; an empty table
+gives an empty table; helper columns start with ``__chunk_``.
 """
 
 from __future__ import annotations
@@ -26,11 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from bourseloom.llm.arrays import span_hashes, text_slices
+from bourseloom.llm.arrays import mix, span_hashes, text_slices, word_spans
 from bourseloom.llm.bloom import contains, filter_bits, seen_twice
 from bourseloom.llm.store import settle
 
 MIN_CHUNK, CUT_BITS, MIN_SPAN = 16, 4, 140
+LONG_WORD, GRAM = 32, 32
 _GEAR = np.random.default_rng(3).integers(0, 1 << 32, 256, dtype=np.uint32)
 _NULL_ID = -(1 << 63)
 
@@ -64,62 +69,172 @@ def cuts(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(starts, np.int64), np.array(ends, np.int64)
 
 
-def _chunks(texts: pa.Array):
-    """Per slice: digest, row, byte offset in the row, length."""
-    for lo, _, data, offs in text_slices(texts):
-        starts, ends = cuts(data, offs)
-        if len(starts):
-            row = np.searchsorted(offs, starts, "right") - 1
-            yield span_hashes(data, starts, ends).view(np.int64), row + lo, starts - offs[row], ends - starts
+def _units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and word numbers of the units: words, and the code points of long words."""
+    words = np.arange(len(starts))
+    long = ends - starts > LONG_WORD
+    if not long.any():
+        return starts, ends, words
+    depth = np.zeros(len(data) + 1, np.int32)
+    depth[starts[long]] += 1
+    depth[ends[long]] -= 1
+    mark = (np.cumsum(depth[:-1]) > 0) & ((data & 0xC0) != 0x80)
+    mark[starts] = True
+    begin = np.flatnonzero(mark)
+    word = np.searchsorted(starts, begin, "right") - 1
+    return begin, np.minimum(np.append(begin[1:], len(data)), ends[word]), word
+
+
+def _least_grams(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The smallest hash of ``GRAM`` bytes inside each span; a shorter span's own hash."""
+    low = mix(gear(data).astype(np.uint64))
+    least = span_hashes(data, begin, end)
+    n = end - begin - GRAM + 1
+    level = np.where(n > 0, np.frexp(np.maximum(n, 1).astype(float))[1] - 1, -1)
+    for k in range(int(level.max(initial=-1)) + 1):
+        own = level == k
+        least[own] = np.minimum(low[begin[own] + GRAM - 1], low[end[own] - (1 << k)])
+        low[:-(1 << k)] = np.minimum(low[:-(1 << k)], low[1 << k:])
+    return least
+
+
+def _windows(texts: pa.Array, min_span: int):
+    """Per slice: row, byte offset in the row, length, digest and least gram of every window."""
+    for lo, hi, data, offs in text_slices(texts):
+        starts, ends, counts = word_spans(data, offs)
+        if not len(starts):
+            continue
+        begin, stop, word = _units(data, starts, ends)
+        row = np.repeat(np.arange(hi - lo), counts)[word]
+        last = np.searchsorted(stop, begin + min_span)
+        beyond = np.searchsorted(begin, offs[1:])[row]
+        has = last < beyond
+        begin, row, last, beyond = begin[has], row[has], last[has], beyond[has]
+        following = np.append(last[1:], 0)
+        following = np.where(np.append(row[1:] == row[:-1], False)[:len(row)], following[:len(row)], beyond)
+        n = np.maximum(following - last, 1)
+        at = np.repeat(np.arange(len(n)), n)
+        end = stop[last[at] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)]
+        begin, row = begin[at], row[at]
+        if len(begin):
+            yield (row + lo, begin - offs[row], end - begin, span_hashes(data, begin, end).view(np.int64),
+                   _least_grams(data, begin, end))
+
 
+def _grams(texts: pa.Array, min_span: int) -> np.ndarray:
+    """The windows' least grams, each once per row."""
+    found = [np.zeros(0, np.uint64)]
+    for row, _, _, _, gram in _windows(texts, min_span):
+        new = np.append(True, (gram[1:] != gram[:-1]) | (row[1:] != row[:-1]))
+        row, gram = row[new], gram[new]
+        order = np.lexsort((gram, row))
+        row, gram = row[order], gram[order]
+        found.append(gram[np.append(True, (gram[1:] != gram[:-1]) | (row[1:] != row[:-1]))])
+    return np.concatenate(found)
 
-def _digests(batch: pa.RecordBatch) -> np.ndarray:
-    found = [c[0] for c in _chunks(batch.column(0))]
-    return np.concatenate(found) if found else np.zeros(0, np.int64)
 
+def repeated_windows(docs: DataFrame, min_span: int) -> DataFrame:
+    """(id, doc, at, size, first, first_doc, first_at): windows that a smaller id has too.
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(id, at, size, first): chunks that a smaller id has too."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), "text")
+    ``doc`` is the text's hash: rows of one id with different texts have places of their own.
+    """
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"),
+                       F.xxhash64("text").alias("doc"), "text")
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 1
-    bitmap = seen_twice(docs.select("text"), _digests, filter_bits(total // (2 * MIN_CHUNK) + 1, 8))
+    bitmap = seen_twice(docs.select("text"), lambda batch: _grams(batch.column(0), min_span),
+                        filter_bits(total // GRAM + 1, 8))
     held = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for digest, row, at, size in _chunks(batch.column(1)):
-                keep = contains(held.value, digest)
+            ids, names = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for row, at, size, digest, gram in _windows(batch.column(2), min_span):
+                keep = np.flatnonzero(contains(held.value, gram))
+                if not len(keep):
+                    continue
+                order = keep[np.lexsort((digest[keep], row[keep]))]
+                row, at, size, digest = row[order], at[order], size[order], digest[order]
+                first = np.flatnonzero(np.append(True, (digest[1:] != digest[:-1]) | (row[1:] != row[:-1])))
+                n = np.diff(np.append(first, len(row)))
+                further = np.ones(len(row), bool)
+                further[first] = False
+                more = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(n - 1)).astype(np.int32)),
+                    pa.array(at[further].astype(np.int32)), mask=pa.array(n == 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest[keep]), pa.array(ids[row[keep]]), pa.array(at[keep]), pa.array(size[keep])],
-                    names=["digest", "id", "at", "size"])
+                    [pa.array(digest[first]), pa.array(ids[row[first]]), pa.array(names[row[first]]),
+                     pa.array(at[first].astype(np.int32)), pa.array(size[first].astype(np.int32)), more],
+                    names=["digest", "id", "doc", "at", "size", "more"])
+
+    seen = settle(rows.mapInArrow(
+        run, "digest long, id long, doc long, at int, size int, more array<int>"), "windows")
+    first = seen.groupBy("digest").agg(
+        F.min(F.struct("id", "doc", "at", "more")).alias("h"), F.max("id").alias("last"))
+    met = seen.join(first.filter("h.id < last").select("digest", "h"), "digest").filter("id > h.id")
+    places = lambda at, more: F.concat(F.array(at), F.coalesce(more, F.array().cast("array<int>")))
+    met = met.select("id", "doc", "size", "h", F.posexplode(places("at", "more")).alias("k", "at"))
+    there = F.when(F.col("h.more").isNull() | (F.col("k") == 0), F.col("h.at")).otherwise(
+        F.get("h.more", F.least("k", F.size("h.more")) - 1))
+    return met.select("id", "doc", "at", "size", F.col("h.id").alias("first"), F.col("h.doc").alias("first_doc"),
+                      there.alias("first_at"))
+
+
+def _cover(spans: list[dict]) -> list[dict]:
+    """The fewest spans that hold all bytes of spans sorted by their start."""
+    kept, done, i = [], -1, 0
+    while i < len(spans):
+        if spans[i]["stop"] <= done:
+            i += 1
+            continue
+        best, limit = spans[i], max(done, spans[i]["start"])
+        while i < len(spans) and spans[i]["start"] <= limit:
+            if spans[i]["stop"] > best["stop"]:
+                best = spans[i]
+            i += 1
+        kept.append(best)
+        done = best["stop"]
+    return kept
+
+
+def _spans(docs: DataFrame, min_span: int) -> DataFrame:
+    """(id, doc, start, length, first): repeated spans; none lies inside others."""
+    held = ["id", "doc", "first", "first_doc", "shift"]
+    order = W.partitionBy(held).orderBy("at")
+    found = repeated_windows(docs, min_span).withColumn("shift", F.col("at") - F.col("first_at"))
+    before = F.max(F.col("at") + F.col("size")).over(order.rowsBetween(W.unboundedPreceding, -1))
+    marked = found.withColumn("new", F.when(F.col("at") <= before, 0).otherwise(1)).withColumn(
+        "span", F.sum("new").over(order))
+    spans = marked.groupBy(*held, "span").agg(
+        F.min("at").alias("start"), F.max(F.col("at") + F.col("size")).alias("stop"))
+    lists = spans.groupBy("id", "doc").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "first"))).alias("l"))
+
+    def run(batches):
+        for batch in batches:
+            ids, names = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            out = [(i, d, s["start"], s["stop"] - s["start"], s["first"])
+                   for i, d, l in zip(ids, names, batch.column(2).to_pylist(), strict=True) for s in _cover(l)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [()] * 5)],
+                names=["id", "doc", "start", "length", "first"])
 
-    seen = settle(rows.mapInArrow(run, "digest long, id long, at long, size long"), "chunks")
-    first = seen.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    first = first.filter("first < last").select("digest", "first")
-    return seen.join(first, "digest").filter("id > first").select("id", "at", "size", "first")
+    return lists.mapInArrow(run, "id long, doc long, start long, length long, first long")
 
 
 def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     """(doc_id, start, length, first_doc_id): repeated spans in bytes of the UTF-8 text."""
-    order = W.partitionBy("id").orderBy("at")
-    marked = repeated_chunks(docs).groupBy("id", "at").agg(
-        F.max("size").alias("size"), F.min("first").alias("first"))
-    opens = F.when(F.col("at") == F.lag(F.col("at") + F.col("size")).over(order), 0).otherwise(1)
-    spans = marked.withColumn("new", opens).withColumn("span", F.sum("new").over(order)).groupBy(
-        "id", "span").agg(F.min("at").alias("start"), F.sum("size").alias("length"), F.min("first").alias("first"))
     named = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
-    return spans.filter(F.col("length") >= min_span).select(
+    return _spans(docs, min_span).select(
         named("id").alias("doc_id"), "start", "length", named("first").alias("first_doc_id"))
 
 
 def without_repeats(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     """Documents whose repeated spans are cut out of the text."""
-    spans = repeated_spans(docs, min_span).groupBy(
-        F.coalesce("doc_id", F.lit(_NULL_ID)).alias("__chunk_id")).agg(
+    spans = _spans(docs, min_span).groupBy(F.col("id").alias("__chunk_id"), F.col("doc").alias("__chunk_doc")).agg(
         F.array_sort(F.collect_list(F.struct("start", "length"))).alias("__chunk_spans"))
-    keyed = docs.withColumn("__chunk_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)))
-    joined = keyed.join(settle(spans, "spans").hint("shuffle_hash"), "__chunk_id", "left").drop("__chunk_id")
+    keyed = docs.withColumns({"__chunk_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)),
+                              "__chunk_doc": F.xxhash64("text")})
+    joined = keyed.join(settle(spans, "spans").hint("shuffle_hash"), ["__chunk_id", "__chunk_doc"], "left").drop(
+        "__chunk_id", "__chunk_doc")
     names = docs.columns
 
     def run(batches):
@@ -130,7 +245,7 @@ def without_repeats(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
                 if drop:
                     raw, at, kept = text.encode(), 0, []
                     for d in drop:
-                        kept.append(raw[at:d["start"]])
+                        kept.append(raw[at:max(at, d["start"])])
                         at = d["start"] + d["length"]
                     text = b"".join([*kept, raw[at:]]).decode(errors="ignore")
                 texts.append(text)

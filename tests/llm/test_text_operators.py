@@ -353,3 +353,20 @@ def test_repeats_of_odd_rows(odd_docs, no_docs):
     assert {r["doc_id"] for r in rows} == {1, 2, 3} and {r["first_doc_id"] for r in rows} <= {None, 1}
     assert chunks.without_repeats(odd_docs).count() == odd_docs.count()
     assert chunks.repeated_spans(no_docs).count() == 0
+
+
+def test_spans_lie_in_the_document_named(spark):
+    """Parts of a passage that stand alone in smaller ids don't take its holder's place."""
+    rng = np.random.default_rng(8)
+    words = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), size=int(rng.integers(3, 9)))) for _ in range(n))
+    passage = words(60)
+    part = " ".join(passage.split()[20:35])
+    rows = [(1, f"{words(30)} {part} {words(30)}"), (2, f"{words(9)} {part}"), (5, f"{words(20)} {passage} {words(9)}"),
+            (7, f"{words(40)} {passage}"), (8, f"{passage} {words(8)}"), (8, f"{words(3)} {passage}")]
+    spans = chunks.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(r["doc_id"], r["first_doc_id"]) for r in spans} == {(7, 5), (8, 5)} and len(spans) == 3
+    assert all(r["length"] == len(passage) for r in spans)
+    texts = dict(rows)
+    for r in spans:
+        if r["doc_id"] == 7:
+            assert texts[7].encode()[r["start"]:r["start"] + r["length"]] == passage.encode()
