@@ -1,7 +1,7 @@
 """Substring dedup by windows of whole words, exact to a 64-bit digest.
 
 A document's windows are its shortest runs of whole words, from each word on and up to each word,
-that have ``MIN_SPAN`` bytes. A window is a repeat where a document of a smaller id
+that have ``MIN_SPAN`` bytes or ``MIN_WORDS`` words. A window is a repeat where a document of a smaller id
 has it too; its holder is the smallest such id. Windows that overlap in a document and lie at the
 same distance in the same text of the same holder make a span. So the holder has the whole span
 byte for byte, no document of a smaller id has it, and every passage of whole words of that size is
@@ -34,7 +34,7 @@ from bourseloom.llm.arrays import mix, span_hashes, text_slices, word_spans
 from bourseloom.llm.bloom import contains, filter_bits, seen_twice
 from bourseloom.llm.store import settle
 
-MIN_CHUNK, CUT_BITS, MIN_SPAN = 16, 4, 140
+MIN_CHUNK, CUT_BITS, MIN_SPAN, MIN_WORDS = 16, 4, 140, 50
 LONG_WORD, GRAM = 32, 32
 _GEAR = np.random.default_rng(3).integers(0, 1 << 32, 256, dtype=np.uint32)
 _NULL_ID = -(1 << 63)
@@ -107,6 +107,8 @@ def _windows(texts: pa.Array, min_span: int):
         begin, stop, word = _units(data, starts, ends)
         row = np.repeat(np.arange(hi - lo), counts)[word]
         last = np.searchsorted(stop, begin + min_span)
+        last = np.minimum(last, np.searchsorted(stop, np.append(ends, len(data) + 1)[
+            np.minimum(word + MIN_WORDS - 1, len(ends))]))
         beyond = np.searchsorted(begin, offs[1:])[row]
         has = last < beyond
         begin, row, last, beyond = begin[has], row[has], last[has], beyond[has]

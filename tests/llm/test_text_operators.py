@@ -370,3 +370,45 @@ def test_spans_lie_in_the_document_named(spark):
     for r in spans:
         if r["doc_id"] == 7:
             assert texts[7].encode()[r["start"]:r["start"] + r["length"]] == passage.encode()
+
+
+def test_passages_of_51_words_are_found_whatever_surrounds_them(spark):
+    """Of short words, of repeated phrases, in another script: each whole."""
+    rng = np.random.default_rng(9)
+    words = lambda n, least, most: ["".join(rng.choice(list("abcdefghij"), size=int(rng.integers(least, most)))) for _ in range(n)]
+    passages = [" ".join(words(51, 1, 2 + i % 7)) for i in range(60)]
+    passages += [" ".join((words(k, 1, 8) * 51)[:51]) for k in range(1, 13)]
+    passages += ["".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 5000, 60))]
+    rows = [(k * 1000 + i, " ".join([*words(int(rng.integers(5, 60)), 3, 9), p, *words(int(rng.integers(5, 60)), 3, 9)]))
+            for i, p in enumerate(passages) for k in (1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spans = {r["doc_id"]: r for r in chunks.repeated_spans(docs).collect()}
+    texts = dict(rows)
+    for i, p in enumerate(passages):
+        r = spans[2000 + i]
+        assert r["first_doc_id"] == 1000 + i
+        assert texts[2000 + i].encode()[r["start"]:r["start"] + r["length"]] == p.encode()
+
+
+def test_spans_hold_all_repeated_windows(sf_docs):
+    """Against all windows of whole words of the table, by their bytes."""
+    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in sf_docs.collect()]
+    first, own = {}, defaultdict(list)
+    for i, raw in rows:
+        at = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+        fits = lambda k, j: j - k >= chunks.MIN_WORDS - 1 or at[j][1] - at[k][0] >= chunks.MIN_SPAN
+        runs = {(k, next((j for j in range(k, len(at)) if fits(k, j)), -1)) for k in range(len(at))}
+        runs |= {(next((k for k in range(j, -1, -1) if fits(k, j)), -1), j) for j in range(len(at))}
+        for k, j in runs:
+            if k >= 0 and j >= 0:
+                own[i].append((at[k][0], at[j][1], raw[at[k][0]:at[j][1]]))
+                first[own[i][-1][2]] = min(i, first.get(own[i][-1][2], i))
+    texts, got = dict(rows), defaultdict(list)
+    for r in chunks.repeated_spans(sf_docs).collect():
+        got[r["doc_id"]].append((r["start"], r["start"] + r["length"]))
+        assert r["first_doc_id"] < r["doc_id"]
+        assert texts[r["doc_id"]][slice(*got[r["doc_id"]][-1])] in texts[r["first_doc_id"]]
+    covered = lambda spans: {x for a, b in spans for x in range(a, b)}
+    for i in texts:
+        assert covered(got[i]) >= covered((a, b) for a, b, w in own[i] if first[w] < i)
+    assert got
