@@ -7,12 +7,17 @@ and words of class, id and role around it). Edges between neighbours in page ord
 block before it under the same parent, cost more the nearer the two are in the DOM. The maximum
 flow's cut is the cheapest labelling; content blocks are joined in page order.
 
+A boilerplate mark holds for all below it, but not for a wrapper of half of the page's text with the
+content landmark in it (or of nine tenths, where the page has no such landmark), and not for a
+``main``, an ``article`` in a form, or the page's only ``article``.
+
 The classifier is a linear discriminant over a block's shape (words, links, marks, place), fitted
 on all pages from sums per task, where landmarks give the labels. Landmarks outweigh it; it
 decides where a page has none.
 
 Defined cases: a null or empty page has an empty text; broken or unclosed markup is read as far as
-it goes; a text without any markup is one block; rows are independent, so repeated rows give
+it goes: a hidden element that is never closed ends at the first block tag inside it, or with the
+element around it, and a head ends at the first block; a text without any markup is one block; rows are independent, so repeated rows give
 repeated results; an empty table gives an empty table; other columns are not read.
 """
 
@@ -31,7 +36,7 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body caption center d
  fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p
  pre section summary table tbody td tfoot th thead tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_TAGS = frozenset("""audio button canvas head iframe noscript object script select style svg template
+HIDDEN_TAGS = frozenset("""audio button canvas iframe noscript object script select style svg template
  textarea title video""".split())
 BOILER_TAGS = frozenset("aside dialog footer form menu nav".split())
 CONTENT_TAGS = frozenset(["article", "main"])
@@ -44,6 +49,8 @@ CONTENT_WORDS = frozenset("article content entry main post story".split())
 HEAD_MARKS = frozenset(["header", "masthead"])
 
 LANDMARK, SHAPE_LIMIT, SMOOTH = 8.0, 3.0, 1.0
+#: Least share of the text in a wrapper that holds the content landmark, and where there is none.
+WRAPPER, WHOLE = 0.5, 0.9
 _SPLIT = re.compile(r"[^a-z]+")
 _SPACE = re.compile(r"\s+")
 SHAPES = 7
@@ -57,87 +64,156 @@ class Block:
         self.words = text.count(" ") + 1
 
 
-class BlockReader(HTMLParser):
-    """Blocks with the DOM path above them and a landmark: 1 content, -1 boilerplate, 0 none."""
+class TagReader(HTMLParser):
+    """Events (kind, tag or text, attributes) in page order: 1 start, 0 start and end, -1 end, 2 text."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
+        self.events: list[tuple[int, str, list]] = []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.events.append((1, tag, attrs))
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.events.append((0, tag, attrs))
+
+    def handle_endtag(self, tag: str) -> None:
+        self.events.append((-1, tag, []))
+
+    def handle_data(self, data: str) -> None:
+        self.events.append((2, data, []))
+
+
+def hidden_ends(events: list[tuple[int, str, list]]) -> dict[int, int]:
+    """For the start of each hidden element that is closed: the place of its own end tag."""
+    open_, count, ends = [], {}, {}
+    for at, (kind, tag, _) in enumerate(events):
+        if kind not in (1, -1) or tag in VOID_TAGS or (tag not in BLOCK_TAGS and tag not in HIDDEN_TAGS):
+            continue
+        if kind == 1:
+            open_.append((tag, at))
+            count[tag] = count.get(tag, 0) + 1
+        elif count.get(tag):
+            while True:
+                last, start = open_.pop()
+                count[last] -= 1
+                if last == tag:
+                    break
+            if tag in HIDDEN_TAGS:
+                ends[start] = at
+    return ends
+
+
+class BlockReader:
+    """Blocks with the DOM path above them and a landmark: 1 content, -1 boilerplate, 0 none."""
+
+    def __init__(self) -> None:
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, int, int]] = []
-        self.count = self.hidden = self.links = self.linked = 0
+        self.open: list[tuple[str, int]] = []
+        #: Parent, tag and attribute words of each element on a path; 0 is the page.
+        self.elements: list[tuple[int, str, set[str]]] = [(0, "", set())]
+        self.links = self.linked = 0
         self.parts: list[str] = []
 
-    def _mark(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
-        above = self.open[-1][2] if self.open else 0
-        if above < 0:
-            return above
-        words = set()
-        for name, value in attrs:
-            if name in ("class", "id", "role") and value:
-                words.update(_SPLIT.split(value.lower()))
-        if tag in BOILER_TAGS or words & BOILER_WORDS:
-            return -1
-        if above == 0 and (tag in HEAD_MARKS or words & HEAD_MARKS):
-            return -1
-        if tag in CONTENT_TAGS or words & CONTENT_WORDS:
-            return 1
-        return above
+    def read(self, events: list[tuple[int, str, list]]) -> None:
+        ends, until, unclosed = hidden_ends(events), -1, -1
+        for at, (kind, tag, attrs) in enumerate(events):
+            hidden = at <= until or unclosed >= 0
+            if kind == 2:
+                if not hidden:
+                    self.parts.append(tag)
+                    if self.links:
+                        self.linked += len(tag)
+            elif tag == "a":
+                self.links = max(0, self.links + kind)
+            elif at <= until:
+                continue
+            elif tag in HIDDEN_TAGS:
+                if kind == 1 and at in ends:
+                    until = ends[at]
+                elif kind == 1 and unclosed < 0:
+                    unclosed = len(self.open)
+            elif tag == "br" and kind >= 0:
+                if not hidden:
+                    self.parts.append(" ")
+            elif tag in BLOCK_TAGS:
+                self.close_block()
+                if kind == 1:
+                    unclosed = -1
+                    self.start(tag, attrs)
+                elif kind == -1:
+                    self.end(tag)
+                    if len(self.open) < unclosed:
+                        unclosed = -1
+        self.close_block()
+        self.mark()
 
     def close_block(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            tag, _, mark = self.open[-1] if self.open else ("", 0, 0)
-            self.blocks.append(Block(text, tag, tuple(n for _, n, _ in self.open), mark, self.linked))
+            tag = self.open[-1][0] if self.open else ""
+            self.blocks.append(Block(text, tag, tuple(n for _, n in self.open), 0, self.linked))
         self.parts, self.linked = [], 0
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in HIDDEN_TAGS:
-            self.hidden += 1
-            return
-        if tag == "br":
-            self.parts.append(" ")
-        elif tag == "a":
-            self.links += 1
-        elif tag in BLOCK_TAGS:
-            self.close_block()
-            if tag == "p" or (tag == "li" and self.open and self.open[-1][0] == "li"):
-                if self.open and self.open[-1][0] in ("p", "li") and (tag == self.open[-1][0]):
-                    self.open.pop()
-            elif self.open and self.open[-1][0] == "p":
+    def start(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.open and self.open[-1][0] == "head":
+            self.open.pop()
+        if tag == "p" or (tag == "li" and self.open and self.open[-1][0] == "li"):
+            if self.open and self.open[-1][0] in ("p", "li") and (tag == self.open[-1][0]):
                 self.open.pop()
-            if tag not in VOID_TAGS:
-                self.count += 1
-                self.open.append((tag, self.count, self._mark(tag, attrs)))
-
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag == "br":
-            self.parts.append(" ")
-        elif tag in BLOCK_TAGS:
-            self.close_block()
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in HIDDEN_TAGS:
-            self.hidden = max(0, self.hidden - 1)
-        elif tag == "a":
-            self.links = max(0, self.links - 1)
-        elif tag in BLOCK_TAGS:
-            self.close_block()
-            at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
-            if at is not None:
-                del self.open[at:]
-
-    def handle_data(self, data: str) -> None:
-        if not self.hidden:
-            self.parts.append(data)
-            if self.links:
-                self.linked += len(data)
+        elif self.open and self.open[-1][0] == "p":
+            self.open.pop()
+        if tag not in VOID_TAGS:
+            words: set[str] = set()
+            for name, value in attrs:
+                if name in ("class", "id", "role") and value:
+                    words.update(_SPLIT.split(value.lower()))
+            self.elements.append((self.open[-1][1] if self.open else 0, tag, words))
+            self.open.append((tag, len(self.elements) - 1))
+
+    def end(self, tag: str) -> None:
+        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
+        if at is not None:
+            del self.open[at:]
+
+    def mark(self) -> None:
+        """The landmarks, from the elements with the text and the content landmarks inside them."""
+        n = len(self.elements)
+        size, content = [0] * n, [False] * n
+        for b in self.blocks:
+            size[b.path[-1] if b.path else 0] += len(b.text)
+        boiler = [tag in BOILER_TAGS or bool(words & BOILER_WORDS) for _, tag, words in self.elements]
+        for i in range(n - 1, 0, -1):
+            parent, tag, words = self.elements[i]
+            content[i] |= not boiler[i] and (tag in CONTENT_TAGS or bool(words & CONTENT_WORDS))
+            size[parent] += size[i]
+            content[parent] |= content[i]
+        articles = sum(tag == "article" for _, tag, _ in self.elements)
+        marks, by_form = [0] * n, [False] * n
+        for i in range(1, n):
+            parent, tag, words = self.elements[i]
+            above = marks[parent]
+            least = WRAPPER if content[i] else 2.0 if content[0] else WHOLE
+            wrapper = size[i] >= least * size[0] and (tag == "form" or tag not in BOILER_TAGS)
+            own = boiler[i] or (above == 0 and (tag in HEAD_MARKS or bool(words & HEAD_MARKS)))
+            lifted = not boiler[i] and (tag == "main" or (tag == "article" and (articles == 1 or by_form[parent])))
+            if above < 0 and not lifted:
+                marks[i], by_form[i] = above, by_form[parent] and not boiler[i]
+            elif own and not wrapper and not lifted:
+                marks[i], by_form[i] = -1, tag == "form" and not words & BOILER_WORDS
+            elif tag in CONTENT_TAGS or (words & CONTENT_WORDS and not own):
+                marks[i] = 1
+            else:
+                marks[i] = above
+        for b in self.blocks:
+            b.mark = marks[b.path[-1]] if b.path else 0
 
 
 def read_blocks(html: str | None) -> list[Block]:
-    reader = BlockReader()
-    reader.feed(html or "")
-    reader.close()
-    reader.close_block()
+    tags, reader = TagReader(), BlockReader()
+    tags.feed(html or "")
+    tags.close()
+    reader.read(tags.events)
     return reader.blocks
 
 

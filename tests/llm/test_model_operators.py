@@ -191,3 +191,22 @@ def test_probing_finds_every_code_in_the_radius():
         reached = hashing_search.SubstringIndex(b).within(a, np.full(len(a), radius))
         assert (reached | (far > radius)).all()
     assert hashing_search.SubstringIndex(b).within(a, np.full(len(a), 32)).mean() < 0.5
+
+
+SAID = "Prices rose on Monday, and traders said that more would follow in the week to come."
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>T</title><body><article><p>{SAID}</article>",
+    f"<html><head><meta charset=utf-8><title>T</title><p>{SAID}",
+    *(f"<body><div><{t}>Go</div><article><p>{SAID}</article>" for t in ("button", "object", "select", "noscript", "canvas")),
+    *(f"<body><{t}>Go<article><p>{SAID}</p></article></body>" for t in ("button", "object", "select", "canvas", "svg")),
+    f"<body><form action=x><nav>Home, News</nav><article><p>{SAID}</p></article><footer>Terms</footer></form>",
+    f"<body><div class='layout has-sidebar'><article><p>{SAID}</p></article><aside>See also</aside></div>",
+    f"<body><div class='layout has-sidebar'><div><p>{SAID}</p></div></div>",
+    f"<body><nav>{SAID} {SAID}</nav><form><article><p>{SAID}</p></article></form>",
+    f"<body><article><p>{SAID}</p></article><div class=related><article>Other</article></div><button><div>Buy</div></button>",
+    f"<body><article><p>{SAID}</p></article><div class=comments><article class=comment>{SAID} {SAID}</article></div>",
+])
+def test_main_text_of_unclosed_and_wrapped_pages(page):
+    assert extraction.main_text(page, (np.zeros(extraction.SHAPES), 0.1)) == SAID
