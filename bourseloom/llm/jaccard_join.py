@@ -13,6 +13,8 @@ fragments by hash. The first fragments (``ORDER_SHARE`` of the hash range) choos
   for the list: pairs grow with the postings, not with the square of a list. A last step pairs
   what a list still has in different components; within a component no further pair is needed to
   know it. Pairs are dropped before they are made if sizes and bitmaps show that they can't link.
+* Only for the number of links, all pairs of the long lists are made, in tiles of ``TILE`` nodes by
+  the list, so that no task has a long list's square to itself.
 
 Only shingles that a bounded Bloom filter has seen twice are posted.
 
@@ -48,6 +50,8 @@ WORD_NAMES = [f"w{k}" for k in range(FRAGMENTS)]
 SMALL_LIST = 8
 #: A node's first lists that are looked at to make a pair once.
 FIRST_LISTS = 8
+#: Nodes of a long list that one tile pairs with the list, on average.
+TILE = 1000
 WORDS, PERCENT = 5, 75
 _EMPTY = 0
 
@@ -260,6 +264,20 @@ def left_pairs(rows: DataFrame) -> DataFrame:
     return met.select(_named("a", "b")).distinct()
 
 
+def every_pair(lists: DataFrame) -> DataFrame:
+    """All pairs of nodes of a long list that may link, made as in ``left_pairs``."""
+    rows = lists.filter(F.col("k") > SMALL_LIST)
+    earliest = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("s")), 1, FIRST_LISTS).alias("e"))
+    rows = rows.join(earliest, "node").select(
+        "s", "node", "a", F.ceil(F.col("k") / TILE).alias("tiles"), F.filter("e", lambda x: x < F.col("s")).alias("e"))
+    left = rows.withColumn("tile", F.pmod(F.xxhash64("node"), "tiles"))
+    other = rows.select(F.col("s").alias("sb"), F.col("node").alias("nb"), F.col("a").alias("b"), F.col("e").alias("eb"),
+                        F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("tb"))
+    met = left.join(other, [F.col("s") == F.col("sb"), F.col("tile") == F.col("tb"), F.col("node") < F.col("nb"),
+                            ~F.arrays_overlap("e", "eb"), may_link("a", "b")])
+    return met.select(_named("a", "b")).distinct()
+
+
 def verified(parts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs that link: partial overlaps, counted in each fragment and summed per pair."""
     left = parts.select(F.col("node").alias("x"), F.col("parts").alias("px"))
@@ -272,8 +290,8 @@ def verified(parts: DataFrame, pairs: DataFrame) -> DataFrame:
     ).select("x", "y"), "links")
 
 
-def all_links(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(x, y) links that span every component, and (node, component)."""
+def all_links(docs: DataFrame, members: DataFrame, every: bool) -> tuple[DataFrame, DataFrame]:
+    """(x, y) links, all or such that span every component, and (node, component)."""
     kept = kept_postings(postings(docs, repeated_shingles(docs, members)))
     parts = settle(fragments(docs, settle(kept.select("node").distinct(), "list-nodes")), "fragments")
     lists = described(kept, parts)
@@ -284,17 +302,20 @@ def all_links(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame
         if not pairs.isEmpty():
             links = links.union(verified(parts, pairs))
             found = components(links, "x", "y")
+    if every:
+        links = links.union(verified(parts, settle(every_pair(lists), "pairs")))
     return links.distinct(), found
 
 
-def jaccard_classes(docs: DataFrame) -> DataFrame:
+def jaccard_classes(docs: DataFrame, every: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) per row.
 
     ``component_id`` is the smallest doc_id reachable by links, the row's own included.
-    ``n_links`` is the number of links that were verified for its set, copies left out.
+    ``n_links`` is the number of different texts' sets that its set links with, copies left out;
+    without ``every``, of those links alone that were verified to know the components.
     """
     members = settle(sets(docs), "members")
-    links, found = all_links(docs, members)
+    links, found = all_links(docs, members, every)
     n_links = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(
         F.count(F.lit(1)).alias("n_links"))
     named = members.join(found, "node", "left").join(n_links, "node", "left").select(
@@ -310,6 +331,6 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 
 def one_per_class(docs: DataFrame) -> DataFrame:
     """Documents whose id is their class's smallest one; rows with one id stay or go together."""
-    classes = jaccard_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    classes = jaccard_classes(docs, every=False).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = classes.select(F.col("doc_id").alias("__jaccard_id")).distinct()
     return docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(stay["__jaccard_id"]), "left_semi")

@@ -177,6 +177,24 @@ def test_classes_match_brute_force(spark, odd_docs, sf_docs, kind):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute_classes(docs.collect())
 
 
+def test_all_links_of_a_large_group_are_counted(spark, monkeypatch):
+    """Different near copies, in lists of many nodes and over several tiles, against brute force."""
+    monkeypatch.setattr(jaccard_join, "TILE", 7)
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(40):
+        text = [f"w{k}" for k in range(150)]
+        for at in rng.integers(0, 150, int(rng.integers(1, 4))):
+            text[int(at)] = f"e{i}"
+        rows += [(i, " ".join(text)), (100 + i, " ".join(text))][:1 + (i % 5 == 0)]
+    sets = {i: frozenset(zip(*(t.split()[k:] for k in range(5)), strict=False)) for i, t in rows}
+    different = set(sets.values())
+    want = {i: sum(s != o and 100 * len(s & o) >= 75 * len(s | o) for o in different) for i, s in sets.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["n_links"] for r in jaccard_join.jaccard_classes(docs).collect()} == want
+    assert max(want.values()) > 30
+
+
 def test_one_row_of_a_class_stays(odd_docs):
     kept = jaccard_join.one_per_class(odd_docs)
     assert kept.columns == odd_docs.columns
