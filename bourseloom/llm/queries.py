@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseloom.llm import chunks, extraction, hashing_search, jaccard_join, lengths, line_dedup, mixing, packing, quality, syncmers
+from bourseloom.llm import (
+    alignment, chunks, extraction, hashing_search, jaccard_join, lengths, line_dedup, mixing, packing, quality,
+    syncmers,
+)
 from bourseloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,12 +68,16 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
                        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(table(spark, sf, "documents"))
+
+
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_lexical_packing, op2_source_mixing, op3_ngram_jaccard_join,
         op4_syncmer_fingerprints, op5_importance_resampling, op6_substring_dedup,
         op7_html_extraction, op8_length_histogram, op9_multi_index_hashing,
-        op10_line_dedup)}
+        op10_line_dedup, op12_tokenizer_alignment)}
 
 
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
