@@ -1,18 +1,19 @@
 """Near-duplicate documents by banded MinHash, verified sequentially by posterior bounds, then exactly.
 
 1. A document's set is its distinct 4-word shingles. Equal sets are one node, named by a digest. A node
-   has ``BANDS`` x ``ROWS`` MinHash values; bands are keys over ``ROWS`` of them. Two sets that link share
-   no band with probability (1 - 0.8 ** ROWS) ** BANDS at most, 6e-7 as set.
+   has ``BANDS`` x ``ROWS`` MinHash values of 8 bits; bands are keys over ``ROWS`` of them. Two sets that
+   link share no band with probability (1 - 0.8 ** ROWS) ** BANDS at most, 6e-7 as set.
 2. Candidates: nodes of one band. Each node is first paired with its band's smallest node, so pairs grow
    with the bands and not with the square of a group.
 3. Sequential Bayesian verification: signatures are compared in batches of ``BATCH`` values. After each
    batch, a pair goes if the posterior probability that its similarity is 0.8 or more (uniform prior, so
-   far m of n values equal) is below ``MISS``. Signatures keep 8 bits of a value: chance equality can only
-   add matches, so a pair that links is not lost more often.
+   far m of n values equal) is below ``MISS``. Chance equality of 8 bits can only add matches, so a pair
+   that links is not lost more often.
 4. Survivors are verified exactly, by their whole sets: 100 * intersection >= 80 * union.
 5. Bands whose nodes are in different components after that are compared again, all pairs across
-   components, in blocks of ``TILE`` x ``TILE`` nodes inside the tasks by the same batches; only survivors
-   leave a task. They are verified exactly as well, and complete the components.
+   components, in blocks of ``TILE`` x ``TILE`` nodes inside the tasks by the same batches. Only the nodes
+   with surviving pairs leave a task; they meet again with their whole sets, each pair in the first band
+   of both, and the links that span a block's components are what is passed on. So no pairs are rows.
 
 Defined cases: a text without words (or null) has an empty set and links with nothing; fewer than four
 words are one shingle; rows of one id are separate rows, each classed by its own text; a null id names a
@@ -42,7 +43,7 @@ VALUES = ROWS * BANDS
 #: Probability, after each batch, that a dropped pair links all the same.
 MISS = 1e-5
 #: Nodes on a side of a block, and pairs of one comparison.
-TILE, AT_ONCE = 2048, 1 << 18
+TILE, AT_ONCE = 512, 1 << 18
 
 _rng = np.random.default_rng(13)
 _XOR = _rng.integers(0, 1 << 63, VALUES, dtype=np.uint64)
@@ -124,7 +125,8 @@ def described(docs: DataFrame) -> DataFrame:
                     some = np.concatenate([hashes[at[i]:at[i + 1]] for i in fresh])
                     sizes = (at[1:] - at[:-1])[fresh]
                     values = signatures_of(some, np.cumsum(sizes) - sizes)
-                    short, keys = values.astype(np.uint8), band_keys(values)
+                    short = values.astype(np.uint8)
+                    keys = band_keys(short)
                     for k, i in enumerate(fresh):
                         sig[i], bands[i] = short[k].tobytes(), keys[k]
                 yield pa.RecordBatch.from_arrays(
@@ -136,8 +138,8 @@ def described(docs: DataFrame) -> DataFrame:
 
 
 def shared_bands(rows: DataFrame) -> DataFrame:
-    """(key, node, first): nodes of the bands that two nodes or more have, and the band's smallest node."""
-    lists = rows.filter(F.col("bands").isNotNull()).select(F.explode("bands").alias("key"), "node")
+    """(key, band, node, first): nodes of the bands that two nodes or more have, and the band's smallest node."""
+    lists = rows.filter(F.col("bands").isNotNull()).select(F.posexplode("bands").alias("band", "key"), "node")
     ends = lists.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     ends = settle(ends.filter(F.col("first") < F.col("last")).select("key", "first"), "bands")
     return settle(lists.join(ends, "key"), "band-lists")
@@ -228,10 +230,7 @@ def exact(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             stay = []
             for i, (p, q) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                same = int((q[at] == p).sum())
-                if 100 * same >= PERCENT * (len(p) + len(q) - same):
+                if overlap_links(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)):
                     stay.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(stay, pa.int64())) for i in (0, 1)],
                                              names=["x", "y"])
@@ -241,9 +240,9 @@ def exact(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def open_bands(lists: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, node, c, k) of bands with nodes in different components ``c``; ``k`` is their number of nodes."""
+    """(key, band, node, c, k) of bands with nodes in different components ``c``; ``k`` is their number of nodes."""
     rows = settle(lists.join(found, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("c")), "classed-bands")
+        "key", "band", "node", F.coalesce("component", "node").alias("c")), "classed-bands")
     ends = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("k"))
     return rows.join(settle(ends.filter("lo < hi").select("key", "k"), "open-bands"), "key").distinct()
 
@@ -269,39 +268,93 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def across(rows: DataFrame, sigs: DataFrame, miss: float) -> DataFrame:
-    """(x, y): pairs of nodes of one band and different components that sequential verification keeps."""
-    least = least_matches(miss)
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows of ``open_bands`` for every block (key, i, j) that their tile ``t`` is a side of."""
     tiles = F.ceil(F.col("k") / TILE)
     own = F.pmod(F.xxhash64("node"), tiles).cast("int")
-    dealt = rows.join(sigs, "node").withColumn("t", own).withColumn(
-        "o", F.explode(F.sequence(F.lit(0), tiles.cast("int") - 1)))
-    dealt = dealt.select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"),
-                         "t", "node", "c", "n", "sig")
+    each = rows.withColumn("t", own).withColumn("o", F.explode(F.sequence(F.lit(0), tiles.cast("int") - 1)))
+    return each.select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"),
+                       "t", "band", "node", "c")
+
+
+def block_pairs(group: pa.Table, values: np.ndarray, least: list[int]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(left, right) rows of a block that sequential verification keeps, of different components.
+
+    A pair is taken in the first band that both nodes have in common, and in no other one.
+    """
+    band, i, j, t, node, c, n = (group[x].to_numpy() for x in ("band", "i", "j", "t", "node", "c", "n"))
+    left, right = np.flatnonzero(t == i), np.flatnonzero(t == j)
+    step = max(1, AT_ONCE // max(1, len(right)))
+    for lo in range(0, len(left), step):
+        part = left[lo:lo + step]
+        fit = (c[part][:, None] != c[right][None, :]) & _sized(n[part][:, None], n[right][None, :])
+        if i[0] == j[0]:
+            fit &= node[part][:, None] < node[right][None, :]
+        p, q = np.nonzero(fit)
+        p, q = part[p], right[q]
+        stay = survivors(values, values, p, q, least)
+        p, q = p[stay], q[stay]
+        common = (values[p] == values[q]).reshape(-1, BANDS, ROWS).all(axis=2)
+        first = common.argmax(axis=1) == band[0]
+        yield p[first], q[first]
+
+
+def meeting_nodes(rows: DataFrame, sigs: DataFrame, miss: float) -> DataFrame:
+    """The rows of each block that are in a pair of it that sequential verification keeps."""
+    least = least_matches(miss)
+    keep = ["key", "i", "j", "t", "band", "node", "c"]
 
     def run(batches):
         for group in groups(batches, 3):
-            group = group.combine_chunks()
-            i, j, t, node, c, n = (group.column(k).to_numpy() for k in range(1, 7))
-            values = _matrix(group.column(7))
-            right = np.flatnonzero(t == j)
-            side = np.flatnonzero(t == i)
-            step = max(1, AT_ONCE // max(1, len(right)))
-            for lo in range(0, len(side), step):
-                left = side[lo:lo + step]
-                fit = (c[left][:, None] != c[right][None, :]) & _sized(n[left][:, None], n[right][None, :])
-                if i[0] == j[0]:
-                    fit &= node[left][:, None] < node[right][None, :]
-                p, q = np.nonzero(fit)
-                p, q = left[p], right[q]
-                stay = survivors(values, values, p, q, least)
-                if len(stay):
-                    x, y = node[p[stay]], node[q[stay]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
-
-    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
-        run, "x long, y long").distinct()
+            found = [np.concatenate(x) for x in block_pairs(group, _matrix(group["sig"]), least)]
+            if found and len(met := np.unique(np.concatenate(found))):
+                yield from group.select(keep).take(pa.array(met)).combine_chunks().to_batches()
+
+    blocks = dealt(rows).join(sigs, "node").select(*keep, "n", "sig")
+    return settle(blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
+        run, "key long, i int, j int, t int, band int, node long, c long"), "meeting-nodes")
+
+
+def overlap_links(p: np.ndarray, q: np.ndarray) -> bool:
+    """Whether two sorted sets of hashes link."""
+    at = np.minimum(np.searchsorted(q, p), len(q) - 1)
+    same = int((q[at] == p).sum())
+    return 100 * same >= PERCENT * (len(p) + len(q) - same)
+
+
+def across(docs: DataFrame, met: DataFrame, sigs: DataFrame, miss: float) -> DataFrame:
+    """(x, y): exactly verified links that span, in each block, what its pairs link."""
+    least = least_matches(miss)
+    sets = whole_sets(docs, settle(met.select("node").distinct(), "wanted"))
+
+    def run(batches):
+        for group in groups(batches, 3):
+            values, node, c = _matrix(group["sig"]), group["node"].to_numpy(), group["c"].to_numpy()
+            hashes = [np.frombuffer(x, np.uint64) for x in group["hashes"].to_pylist()]
+            root = {x: x for x in c.tolist()}
+
+            def top(x):
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                return x
+
+            links = []
+            for left, right in block_pairs(group, values, least):
+                order = np.argsort(-(values[left] == values[right]).sum(axis=1), kind="stable")
+                for p, q in zip(left[order].tolist(), right[order].tolist(), strict=True):
+                    a, b = top(int(c[p])), top(int(c[q]))
+                    if a != b and overlap_links(hashes[p], hashes[q]):
+                        root[a] = b
+                        links.append((int(node[p]), int(node[q])))
+            if links:
+                x, y = np.array(links, np.int64).T
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
+
+    blocks = met.join(sigs, "node").join(sets, "node").select(
+        "key", "i", "j", "t", "band", "node", "c", "n", "sig", "hashes")
+    return settle(blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
+        run, "x long, y long"), "across")
 
 
 def linked(docs: DataFrame, rows: DataFrame, miss: float) -> DataFrame:
@@ -312,10 +365,10 @@ def linked(docs: DataFrame, rows: DataFrame, miss: float) -> DataFrame:
         F.col("first").alias("x"), F.col("node").alias("y")).distinct(), "star-pairs")
     links = exact(docs, settle(likely(star, sigs, miss), "likely"))
     found = components(links, "x", "y")
-    rest = settle(across(settle(open_bands(lists, found), "open"), sigs, miss), "across")
-    if rest.isEmpty():
+    met = meeting_nodes(settle(open_bands(lists, found), "open"), sigs, miss)
+    if met.isEmpty():
         return found
-    return components(links.union(exact(docs, rest)), "x", "y")
+    return components(links.union(across(docs, met, sigs, miss)), "x", "y")
 
 
 def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
