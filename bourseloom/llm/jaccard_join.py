@@ -13,8 +13,8 @@ fragments by hash. The first fragments (``ORDER_SHARE`` of the hash range) choos
   for the list: pairs grow with the postings, not with the square of a list. A last step pairs
   what a list still has in different components; within a component no further pair is needed to
   know it. Pairs are dropped before they are made if sizes and bitmaps show that they can't link.
-* Only for the number of links, all pairs of the long lists are made, in tiles of ``TILE`` nodes by
-  the list, so that no task has a long list's square to itself.
+* Only on request, for the number of links, all pairs of the long lists are made, in tiles of ``TILE``
+  nodes by the list, so that no task has a long list's square to itself.
 
 Only shingles that a bounded Bloom filter has seen twice are posted.
 
@@ -132,7 +132,9 @@ def postings(docs: DataFrame, repeated: np.ndarray) -> DataFrame:
                  pa.array(np.repeat(np.array(n, np.int32), counts)),
                  pa.array(np.repeat(np.array(r, np.int32), counts))], names=["s", "node", "n", "r"])
 
-    return docs.select("text").mapInArrow(run, "s long, node long, n int, r int")
+    made = settle(docs.select("text").mapInArrow(run, "s long, node long, n int, r int"), "postings")
+    shared.destroy()
+    return made
 
 
 def kept_postings(posted: DataFrame) -> DataFrame:
@@ -190,7 +192,9 @@ def fragments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     schema = ", ".join(["node long, n long", *(f"{w} long" for w in WORD_NAMES), "parts array<array<long>>"])
     made = docs.select("text").mapInArrow(run, schema)
-    return made.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    out = settle(made.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "fragments")
+    held.destroy()
+    return out
 
 
 def described(kept: DataFrame, parts: DataFrame) -> DataFrame:
@@ -293,7 +297,7 @@ def verified(parts: DataFrame, pairs: DataFrame) -> DataFrame:
 def all_links(docs: DataFrame, members: DataFrame, every: bool) -> tuple[DataFrame, DataFrame]:
     """(x, y) links, all or such that span every component, and (node, component)."""
     kept = kept_postings(postings(docs, repeated_shingles(docs, members)))
-    parts = settle(fragments(docs, settle(kept.select("node").distinct(), "list-nodes")), "fragments")
+    parts = fragments(docs, settle(kept.select("node").distinct(), "list-nodes"))
     lists = described(kept, parts)
     links = verified(parts, settle(first_pairs(lists), "pairs"))
     found = components(links, "x", "y")
@@ -307,30 +311,32 @@ def all_links(docs: DataFrame, members: DataFrame, every: bool) -> tuple[DataFra
     return links.distinct(), found
 
 
-def jaccard_classes(docs: DataFrame, every: bool = True) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) per row.
+def jaccard_classes(docs: DataFrame, every: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row, and with ``every`` also ``n_links``.
 
     ``component_id`` is the smallest doc_id reachable by links, the row's own included.
-    ``n_links`` is the number of different texts' sets that its set links with, copies left out;
-    without ``every``, of those links alone that were verified to know the components.
+    ``n_links`` is the number of different texts' sets that its set links with, copies left out.
+    It needs every link by itself: its cost grows with the square of a group of near copies, while
+    the classes need only links that span each group.
     """
     members = settle(sets(docs), "members")
     links, found = all_links(docs, members, every)
-    n_links = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(
-        F.count(F.lit(1)).alias("n_links"))
-    named = members.join(found, "node", "left").join(n_links, "node", "left").select(
-        "doc_id", "n_shingles", "node", F.coalesce("component", "node").alias("class"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    named = members.join(found, "node", "left").select(
+        "doc_id", "n_shingles", "node", F.coalesce("component", "node").alias("class"))
+    extra = ["n_links"] if every else []
+    if every:
+        n_links = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(
+            F.count(F.lit(1)).alias("n_links"))
+        named = named.join(n_links, "node", "left").fillna(0, extra)
     empty = named.filter(F.col("node") == _EMPTY).select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "n_links")
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *extra)
     full = named.filter(F.col("node") != _EMPTY)
     least = full.groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return full.join(least, "class").select(
-        "doc_id", "n_shingles", "component_id", "n_links").union(empty)
+    return full.join(least, "class").select("doc_id", "n_shingles", "component_id", *extra).union(empty)
 
 
 def one_per_class(docs: DataFrame) -> DataFrame:
     """Documents whose id is their class's smallest one; rows with one id stay or go together."""
-    classes = jaccard_classes(docs, every=False).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    classes = jaccard_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = classes.select(F.col("doc_id").alias("__jaccard_id")).distinct()
     return docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(stay["__jaccard_id"]), "left_semi")
