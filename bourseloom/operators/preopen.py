@@ -67,8 +67,13 @@ def top_movers(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
 
 
 def breadth(df: DataFrame) -> DataFrame:
-    """Advances and declines counted from the items of each payload, next to what it claims."""
-    return df.groupBy("payload_id", "payload_time", "advances", "declines").agg(
+    """Advances and declines counted from the items of each payload, next to what it claims.
+
+    With a ``payload_id`` column, payloads of one stamp are told apart by it, and one that is
+    delivered twice is one group; without it, payloads of one stamp and claim are one group.
+    """
+    named = ["payload_id"] if "payload_id" in df.columns else []
+    return df.groupBy(*named, "payload_time", "advances", "declines").agg(
         F.count_if(F.col("change") > 0).alias("counted_advances"),
         F.count_if(F.col("change") < 0).alias("counted_declines"),
         F.count(F.lit(1)).alias("items"),
