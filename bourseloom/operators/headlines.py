@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from bourseloom.functions.codec import json_array
 from bourseloom.functions.times import market_date
+from bourseloom.operators.asof import asof_join
 from bourseloom.session import MARKET_ZONE
 
 KEYS = ["symbol", "date"]
+#: Days that a headline waits for a price day at most.
+CARRY_DAYS = 7
 
 
 def explode_symbols(df: DataFrame) -> DataFrame:
@@ -45,8 +48,13 @@ def daily_headlines(
     (scraped_at, headline_id) order. The cell holds a whole day of one symbol, as the
     feature table asks; :func:`headline_parts` gives days too large for one cell.
     """
+    return daily_of(dated(df, date_from, zone))
+
+
+def daily_of(dated_rows: DataFrame) -> DataFrame:
+    """:func:`daily_headlines` of rows that have their ``date`` already."""
     return (
-        dated(df, date_from, zone).groupBy(*KEYS)
+        dated_rows.groupBy(*KEYS)
         .agg(F.count("headline_id").alias("headline_count"),
              F.collect_list(_item()).alias("_items"))
         .select(*KEYS, "headline_count", json_array(_texts(F.col("_items"))).alias("headlines_json"))
@@ -124,6 +132,37 @@ def join_parts(
     )
 
 
+def carried_headlines(
+    df: DataFrame, prices: DataFrame, days: int = CARRY_DAYS, date_from: str = "scraped_at", zone: str = MARKET_ZONE
+) -> DataFrame:
+    """Every headline once, with its market day as ``news_date`` and the price day that it counts for as ``date``.
+
+    That is the stock's first price day on or after the headline's, at most ``days`` later: news of a
+    weekend or a holiday counts for the next day of trading. ``date`` is null where there is none.
+    """
+    rows = dated(df, date_from, zone).withColumnRenamed("date", "news_date")
+    quoted = prices.select("symbol", F.col("date").alias("price_date"))
+    within = F.make_dt_interval(F.lit(days))
+    joined = asof_join(rows, quoted, ["symbol"], "news_date", "price_date", [], "next", within)
+    return joined.withColumnRenamed("matched_price_date", "date")
+
+
+def join_carried(
+    prices: DataFrame, df: DataFrame, days: int = CARRY_DAYS, date_from: str = "scraped_at", zone: str = MARKET_ZONE
+) -> DataFrame:
+    """The feature join with headlines of days without trading carried to the next price day."""
+    carried = carried_headlines(df, prices, days, date_from, zone)
+    return join_features(prices, daily_of(carried.filter(F.col("date").isNotNull())))
+
+
+def carry_audit(carried: DataFrame) -> DataFrame:
+    """(symbol, same_day, carried, without_price): where each stock's headlines went; no text is read."""
+    same = F.col("date") == F.col("news_date")
+    return carried.groupBy("symbol").agg(
+        F.count_if(same).alias("same_day"), F.count_if(~same).alias("carried"),
+        F.count_if(F.col("date").isNull()).alias("without_price"))
+
+
 def unmatched_headlines(daily: DataFrame, prices: DataFrame) -> DataFrame:
     """Headline days the feature join leaves out because no price row has their key."""
     return daily.join(prices.select(*KEYS), KEYS, "left_anti")

@@ -670,6 +670,8 @@ def batch_predict_seeded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
+    from bourseloom.plans import series  # noqa: F401  registers its queries here
+
     def pinned(run: Query) -> Query:
         def call(spark: SparkSession, sf: str) -> DataFrame:
             return run(use_utc(spark), sf)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bourseloom.functions.text import content_id
@@ -253,3 +253,19 @@ def drift_samples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     split = F.lit(SPLIT_DAY).cast("timestamp_ntz")
     return (events.filter(F.col("ts") < split).select("value"),
             events.filter(F.col("ts") >= split).select("value"))
+
+
+def counter_samples(spark: SparkSession, sf_dir: str, bounds: list[float]) -> DataFrame:
+    """(instance, ts, requests, errors, buckets): what each user's process would show after each event.
+
+    All totals start at 0 again every day, as after a restart. ``buckets`` maps an upper bound to the
+    number of values up to it, the infinite one to that of all known values.
+    """
+    events = table(spark, sf_dir, "events")
+    so_far = (Window.partitionBy("user_id", F.to_date("ts")).orderBy("ts", "event_id")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = [F.lit(float(b)) for b in (*bounds, float("inf"))]
+    buckets = F.create_map(*[x for b in counted for x in (b, F.count_if(F.col("value") <= b).over(so_far))])
+    return events.select(
+        F.concat(F.lit("host-"), "user_id").alias("instance"), "ts", F.count(F.lit(1)).over(so_far).alias("requests"),
+        F.count_if(F.col("event_type") == "error").over(so_far).alias("errors"), buckets.alias("buckets"))
