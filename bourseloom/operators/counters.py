@@ -73,20 +73,24 @@ def bucket_quantile_alert(
     """(window, n, latency, breached): the quantile from cumulative bucket counters of all series.
 
     ``le`` is a bucket's upper bound, infinite for the one that counts all. Rates of one bound are summed
-    over the series, then the rank is interpolated inside its bucket, which starts at the bound below or
+    over the series; where a restart that one bucket does not show leaves a bound with less than the bound
+    below, it gets as much. The rank is interpolated inside its bucket, which starts at the bound below or
     at 0; a rank beyond the last finite bound gives that bound. A window without increase has no quantile
     and does not breach.
     """
     grown = window_increases(increases(samples, [*keys, le], time, total, **chunks), [le], time, window, slide)
     lists = grown.groupBy("window_start", "window_end").agg(
         F.array_sort(F.collect_list(F.struct(F.col(le).alias("le"), F.col("increase").alias("n")))).alias("_b"))
+    rising = F.transform("_b", lambda x, i: F.struct(x["le"].alias("le"), F.array_max(
+        F.transform(F.slice("_b", 1, i + 1), lambda y: y["n"])).alias("n")))
+    lists = lists.withColumn("_b", rising)
     finite = F.filter("_b", lambda x: x["le"] < INFINITE)
     rows = lists.withColumns({"n": F.array_max(F.transform("_b", lambda x: x["n"])), "_b": finite})
     rank = F.col("n") * quantile
     below = F.size(F.filter("_b", lambda x: x["n"] < rank))
     lower, upper = F.get("_b", below - 1), F.get("_b", below)
     low, count = F.coalesce(lower["le"], F.lit(0.0)), F.coalesce(lower["n"], F.lit(0))
-    inside = low + (upper["le"] - low) * (rank - count) / (upper["n"] - count)
+    inside = low + (upper["le"] - low) * F.try_divide(rank - count, upper["n"] - count)
     read = F.when(F.col("n") > 0, F.when(below == F.size("_b"), F.element_at("_b", -1)["le"]).otherwise(inside))
     return rows.select("window_start", "window_end", "n", read.alias("latency"),
                        F.coalesce(read > limit, F.lit(False)).alias("breached"))

@@ -1,15 +1,20 @@
-"""Registered queries over ordered series: as-of joins, recursive indicators, counters."""
+"""Registered queries over ordered series and streams with state."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bourseloom.functions import codec, times as C
 from bourseloom.operators import asof, counters, headlines, recurrences
 from bourseloom.plans.registered import (
-    ERROR_LIMIT, LATENCY_BOUNDS, LATENCY_LIMIT, SLIDE, WINDOW, _clean_headlines, _clean_prices, query,
+    ERROR_LIMIT, HOLD_SECONDS, LATENCY_BOUNDS, LATENCY_LIMIT, SLIDE, SLIDE_SECONDS, WINDOW, _clean_headlines,
+    _clean_prices, _delivered, query,
 )
+from bourseloom.schemas import HEADLINE_MESSAGE
+from bourseloom.session import work_dir
 from bourseloom.sources import stand_ins as V
+from bourseloom.streaming import ingest, stateful
 
 
 def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
@@ -74,3 +79,62 @@ def counter_latency(spark: SparkSession, sf: str) -> DataFrame:
     made = counters.bucket_quantile_alert(buckets, ["instance"], "le", "ts", "total", WINDOW, SLIDE,
                                           limit=LATENCY_LIMIT)
     return _rounded(made, 4, "latency")
+
+
+# --- streams with state -------------------------------------------------------------------------
+
+
+def _news_messages(spark: SparkSession, sf: str) -> DataFrame:
+    rows = V.document_headlines(V.table(spark, sf, "documents"))
+    return rows.withColumn("scraped_at", F.date_format("scraped_at", C.ISO_SECONDS))
+
+
+@query
+def stream_first_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages in three micro-batches, every id again with another text in a later one: the first stays."""
+    base = work_dir(spark, "first-arrivals")
+    news = _news_messages(spark, sf)
+    again = news.withColumn("headline", F.lit("a later text"))
+    early = F.col("headline_id") < "8"
+    parts = [news.filter(early), news.filter(~early).unionByName(again.filter(early)), again]
+    stream = ingest.accepted_headlines(_delivered(spark, [codec.encode(x) for x in parts], "first-messages"))
+    stream = stream.withColumn("_at", C.parse_history_time(F.col("scraped_at")).cast("timestamp"))
+    stateful.start_first_arrivals(stream, ["headline_id"], "_at", "60 days", f"{base}/out",
+                                  f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(*HEADLINE_MESSAGE.names)
+
+
+@query
+def stream_bounded_headlines(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs over one checkpoint, the first stopped after a third of the messages: nothing is lost."""
+    base = work_dir(spark, "bounded")
+    news = _news_messages(spark, sf)
+    parts = [news.filter(F.col("headline_id").between(lo, hi)) for lo, hi in (("0", "4"), ("4", "8"), ("8", "g"))]
+    stream = _delivered(spark, [codec.encode(x) for x in parts], "bounded-messages")
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/log/{ingest.BATCH}={epoch}")
+
+    accepted = ingest.accepted_headlines(stream)
+    for wanted in (1, 1 << 62):
+        stateful.consume_until(accepted, wanted, write, f"{base}/checkpoint")
+    return ingest.read_log(spark, f"{base}/log", HEADLINE_MESSAGE).drop(ingest.BATCH)
+
+
+@query
+def stream_alert_states(spark: SparkSession, sf: str) -> DataFrame:
+    """The error rule with timers, three deliveries and a restart before each: runs of breached windows."""
+    base = work_dir(spark, "alert-states")
+    events = V.table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    cuts = [F.lit(d).cast("timestamp") for d in ("1970-01-01", "2024-01-11", "2024-01-20", "2100-01-01")]
+    for n in range(3):
+        part = events.filter((F.col("ts") >= cuts[n]) & (F.col("ts") < cuts[n + 1]))
+        part.write.parquet(f"{base}/in/delivery={n}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(f"{base}/in")
+        stateful.start_closed_windows(
+            stream, "ts", F.col("event_type") == "error", "1 hour", f"{base}/windows", f"{base}/window-checkpoint",
+            WINDOW, SLIDE, ERROR_LIMIT).awaitTermination()
+        stateful.start_transitions(spark, f"{base}/windows", f"{base}/out", f"{base}/checkpoint", SLIDE_SECONDS,
+                                   HOLD_SECONDS).awaitTermination()
+    made = stateful.runs_of(spark.read.parquet(f"{base}/out"))
+    return made.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("pending_from", "resolved_at")})

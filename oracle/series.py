@@ -102,7 +102,10 @@ paired AS (SELECT *, lag(total) OVER (PARTITION BY user_id, le ORDER BY ts, tota
 grown AS (
   SELECT le, ts, CASE WHEN before IS NULL THEN 0 WHEN total < before THEN total ELSE total - before END AS increase
   FROM paired), {_SPANS},
-sums AS (SELECT window_start, window_end, le, CAST(sum(increase) AS BIGINT) AS c FROM spans GROUP BY ALL),
+parts AS (SELECT window_start, window_end, le, CAST(sum(increase) AS BIGINT) AS own FROM spans GROUP BY ALL),
+sums AS (
+  SELECT window_start, window_end, le, max(own) OVER (PARTITION BY window_start, window_end ORDER BY le) AS c
+  FROM parts),
 ranked AS (
   SELECT window_start, window_end, le, c, max(c) OVER w AS n,
          coalesce(lag(le) OVER (w ORDER BY le), 0) AS lower, coalesce(lag(c) OVER (w ORDER BY le), 0) AS lower_count
@@ -116,3 +119,23 @@ read AS (
   FROM hit h JOIN ranked r ON h.window_start = r.window_start AND h.le = r.le)
 SELECT window_start, window_end, n, round(latency, 4) AS latency, coalesce(latency > 150.0, false) AS breached
 FROM read"""
+
+SQL["stream_first_arrivals"] = SQL["stream_headlines"]
+SQL["stream_bounded_headlines"] = SQL["stream_headlines"]
+
+SQL["stream_alert_states"] = f"""
+WITH grown AS (SELECT ts, event_type FROM events), {_SPANS},
+closing AS (SELECT max(ts) - INTERVAL 1 HOUR AS closed FROM events),
+evaluated AS (
+  SELECT window_end, count(*) FILTER (WHERE event_type = 'error') / 21600 > 0.00085 AS breached
+  FROM spans, closing WHERE window_end <= closed GROUP BY window_end),
+runs AS (
+  SELECT window_end, window_end - to_hours(row_number() OVER (ORDER BY window_end)) AS run
+  FROM evaluated WHERE breached),
+held AS (
+  SELECT min(window_end) AS pending_from, max(window_end) AS last, count(*) AS n,
+         max(window_end) < (SELECT max(window_end) FROM evaluated) AS over
+  FROM runs GROUP BY run)
+SELECT 'errors' AS alert, pending_from, last - pending_from >= INTERVAL 3 HOURS AS fired,
+       CASE WHEN over THEN last + INTERVAL 1 HOUR END AS resolved_at, CASE WHEN over THEN n END AS evaluations
+FROM held"""
