@@ -70,7 +70,7 @@ def item_blocks(items: DataFrame, block_terms: int) -> Iterator[list[tuple[objec
     for row in items.select("item_id", "text").toLocalIterator():
         terms = np.concatenate([h for _, _, h, _ in term_hashes(pa.array([row["text"]], pa.string()))])
         block.append((row["item_id"], np.unique(terms)))
-        held += len(block[-1][1])
+        held += max(1, len(block[-1][1]))
         if held >= block_terms:
             yield block
             block, held = [], 0
