@@ -661,10 +661,10 @@ def batch_predict(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def batch_predict_seeded(spark: SparkSession, sf: str) -> DataFrame:
-    """The same requests answered from stored seeded scores, the baseline where there are none."""
+    """The same requests answered from scores of another seed than the baseline's, which fills in the rest."""
     requests = V.raw_prices(spark, sf).select(
         "symbol", F.date_format("date", "yyyy-MM-dd").alias("date")).distinct()
-    scores = signals.baseline_signals(_clean_prices(spark, sf), F.lit(AS_OF).cast("timestamp_ntz"))
+    scores = signals.baseline_signals(_clean_prices(spark, sf), F.lit(AS_OF).cast("timestamp_ntz"), seed=11)
     scores = scores.select("symbol", "date", F.col("signal").alias("direction"), "confidence")
     return signals.predict_requests(requests, scores, "seeded-1", F.lit(STAMP))
 

@@ -1,4 +1,4 @@
-"""Registered queries over ordered series and streams with state."""
+"""Registered queries over ordered series, streams with state, and models in closed form."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bourseloom.functions import codec, times as C
-from bourseloom.operators import asof, counters, headlines, recurrences
+from bourseloom.operators import asof, bayes, counters, headlines, ranking, recurrences
 from bourseloom.plans.registered import (
     ERROR_LIMIT, HOLD_SECONDS, LATENCY_BOUNDS, LATENCY_LIMIT, SLIDE, SLIDE_SECONDS, WINDOW, _clean_headlines,
     _clean_prices, _delivered, query,
@@ -138,3 +138,36 @@ def stream_alert_states(spark: SparkSession, sf: str) -> DataFrame:
                                    HOLD_SECONDS).awaitTermination()
     made = stateful.runs_of(spark.read.parquet(f"{base}/out"))
     return made.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("pending_from", "resolved_at")})
+
+
+# --- models in closed form ----------------------------------------------------------------------
+
+
+def _bayes(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of texts; odds are rounded first, so that ranks do not hang on the order of sums."""
+    docs = V.table(spark, sf, "documents").select("doc_id", "text")
+    made = bayes.cross_scored(docs, V.table(spark, sf, "labels"), "doc_id", "text", "quality")
+    odds = F.round("log_odds", 6)
+    return made.withColumn("log_odds", odds).withColumns({
+        "probability": 1 / (1 + F.exp(-F.col("log_odds"))), "predicted": (F.col("log_odds") > 0).cast("int")})
+
+
+@query
+def sentiment_bayes(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_bayes(spark, sf), 6, "probability")
+
+
+@query
+def sentiment_rank_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """The held-out scores of the labelled documents: ranking and calibration in one row."""
+    held_out = _bayes(spark, sf).filter(F.col("label").isNotNull())
+    ranked = ranking.rank_quality(held_out, "label", "log_odds")
+    error = ranking.calibration_error(ranking.calibration(held_out, "label", "probability"))
+    both = ranked.withColumns({c: error.select(c).scalar() for c in error.columns})
+    return _rounded(both, 6, "auc", "average_precision", "calibration_error", "largest_gap")
+
+
+@query
+def sentiment_calibration(spark: SparkSession, sf: str) -> DataFrame:
+    made = ranking.calibration(_bayes(spark, sf), "label", "probability")
+    return _rounded(made, 6, "mean_probability", "positive_share")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.statements import CLEAN_HEADLINES, CLEAN_PRICES, RAW_HEADLINES, RAW_PRICES, SQL
+from oracle.statements import CLEAN_HEADLINES, CLEAN_PRICES, RAW_HEADLINES, RAW_PRICES, SQL, clean
 
 SQL["asof_headlines"] = f"""
 WITH {CLEAN_PRICES}, {RAW_HEADLINES},
@@ -139,3 +139,57 @@ held AS (
 SELECT 'errors' AS alert, pending_from, last - pending_from >= INTERVAL 3 HOURS AS fired,
        CASE WHEN over THEN last + INTERVAL 1 HOUR END AS resolved_at, CASE WHEN over THEN n END AS evaluations
 FROM held"""
+
+_BAYES = f"""
+terms AS (SELECT doc_id, unnest(string_split({clean('text')}, ' ')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term <> '' GROUP BY ALL),
+known AS (SELECT doc_id, CAST(quality AS INTEGER) AS y, CAST(doc_id % 5 AS INTEGER) AS f
+          FROM labels WHERE quality IN (0, 1)),
+counts AS (SELECT term, f, y, sum(tf) AS n FROM tf JOIN known USING (doc_id) GROUP BY ALL),
+folds AS (SELECT CAST(unnest([-1, 0, 1, 2, 3, 4]) AS INTEGER) AS fold),
+model AS (
+  SELECT fold, term, coalesce(sum(n) FILTER (WHERE y = 1 AND f <> fold), 0) AS p,
+         coalesce(sum(n) FILTER (WHERE y = 0 AND f <> fold), 0) AS q
+  FROM counts, folds GROUP BY fold, term HAVING p + q > 0),
+sizes AS (SELECT fold, sum(p) AS ps, sum(q) AS qs, count(*) AS v FROM model GROUP BY fold),
+priors AS (
+  SELECT fold, ln((count(*) FILTER (WHERE y = 1 AND f <> fold) + 1)
+                  / (count(*) FILTER (WHERE y = 0 AND f <> fold) + 1)) AS prior
+  FROM known, folds GROUP BY fold),
+asked AS (SELECT doc_id, y, coalesce(f, -1) AS fold FROM documents LEFT JOIN known USING (doc_id)),
+sums AS (
+  SELECT doc_id, sum(tf * (ln((p + 1) / (ps + v)) - ln((q + 1) / (qs + v)))) AS s
+  FROM asked JOIN tf USING (doc_id) JOIN model USING (fold, term) JOIN sizes USING (fold) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, y AS label, fold, round(prior + coalesce(s, 0), 6) AS log_odds
+  FROM asked JOIN priors USING (fold) LEFT JOIN sums USING (doc_id)),
+bayes AS (
+  SELECT *, 1 / (1 + exp(-log_odds)) AS probability, CAST(log_odds > 0 AS INTEGER) AS predicted FROM scored)"""
+
+SQL["sentiment_bayes"] = f"""
+WITH {_BAYES} SELECT * REPLACE (round(probability, 6) AS probability) FROM bayes"""
+
+_CALIBRATION = """
+bins AS (
+  SELECT CAST(least(floor(probability * 10), 9) AS INTEGER) AS bin, count(*) AS n,
+         avg(probability) AS mean_probability, avg(CAST(label AS DOUBLE)) AS positive_share
+  FROM bayes WHERE label IS NOT NULL GROUP BY bin)"""
+
+SQL["sentiment_calibration"] = f"""
+WITH {_BAYES}, {_CALIBRATION}
+SELECT bin, n, round(mean_probability, 6) AS mean_probability, round(positive_share, 6) AS positive_share FROM bins"""
+
+SQL["sentiment_rank_quality"] = f"""
+WITH {_BAYES}, {_CALIBRATION},
+ranks AS (
+  SELECT log_odds AS v, sum(label) AS pos, sum(1 - label) AS neg FROM bayes WHERE label IS NOT NULL GROUP BY v),
+sides AS (
+  SELECT *, coalesce(sum(neg) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+         sum(pos) OVER (ORDER BY v DESC) AS hits, sum(pos + neg) OVER (ORDER BY v DESC) AS taken
+  FROM ranks)
+SELECT CAST(sum(pos + neg) AS BIGINT) AS n, CAST(sum(pos) AS BIGINT) AS positives,
+       round(sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)), 6) AS auc,
+       round(sum(pos * hits / taken) / sum(pos), 6) AS average_precision,
+       round((SELECT sum(n * abs(mean_probability - positive_share)) / sum(n) FROM bins), 6) AS calibration_error,
+       round((SELECT max(abs(mean_probability - positive_share)) FROM bins), 6) AS largest_gap
+FROM sides"""

@@ -195,8 +195,8 @@ base AS (SELECT value FROM events WHERE ts < TIMESTAMP '2024-01-16' AND value IS
 curr AS (SELECT value FROM events WHERE ts >= TIMESTAMP '2024-01-16' AND value IS NOT NULL)"""
 
 
-def uniform(salt: str) -> str:
-    key = f"symbol || '|' || strftime(date, '%Y-%m-%d') || '|7|{salt}'"
+def uniform(salt: str, seed: int = 7) -> str:
+    key = f"symbol || '|' || strftime(date, '%Y-%m-%d') || '|{seed}|{salt}'"
     return f"(CAST('0x' || substr(sha256({key}), 1, 8) AS BIGINT) / 4294967296.0)"
 
 
@@ -755,12 +755,14 @@ SQL["history_lines"] = f"""
 WITH {DAILY_BARS}
 SELECT symbol, count(*) AS lines, symbol NOT LIKE '%7' AS accepted FROM daily_bars GROUP BY symbol"""
 
+_SEEDED = {part: f"CASE WHEN known THEN {uniform(part, 11)} ELSE {uniform(part)} END" for part in ("direction", "confidence")}
+
 SQL["batch_predict_seeded"] = f"""
 WITH {CLEAN_PRICES},
 requests AS (SELECT DISTINCT symbol, date FROM raw_prices)
 SELECT symbol, strftime(date, '%Y-%m-%d') AS date,
-       ['high', 'low', 'flat'][CAST(floor({uniform('direction')} * 3) AS INTEGER) + 1] AS direction,
-       round(0.3 + (0.9 - 0.3) * {uniform('confidence')}, 2) AS confidence,
+       ['high', 'low', 'flat'][CAST(floor({_SEEDED['direction']} * 3) AS INTEGER) + 1] AS direction,
+       round(0.3 + (0.9 - 0.3) * {_SEEDED['confidence']}, 2) AS confidence,
        CASE WHEN known THEN 'seeded-1' ELSE 'baseline' END AS model_version,
        '2024-02-01T09:00:00+05:30' AS timestamp
 FROM requests LEFT JOIN (SELECT symbol, date, true AS known FROM clean_prices) USING (symbol, date)"""
