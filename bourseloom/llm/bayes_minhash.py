@@ -42,8 +42,9 @@ ROWS, BANDS, BATCH = 5, 36, 36
 VALUES = ROWS * BANDS
 #: Probability, after each batch, that a dropped pair links all the same.
 MISS = 1e-5
-#: Nodes on a side of a block, and pairs of one comparison.
-TILE, AT_ONCE = 512, 1 << 18
+#: Nodes on a side of a block, and pairs of one comparison. A node counts once more per ``LONG`` shingles,
+#: so the sets of a block's side take about 8 * TILE * LONG bytes at most, however long its texts are.
+TILE, LONG, AT_ONCE = 2048, 2000, 1 << 18
 
 _rng = np.random.default_rng(13)
 _XOR = _rng.integers(0, 1 << 63, VALUES, dtype=np.uint64)
@@ -138,7 +139,7 @@ def described(docs: DataFrame) -> DataFrame:
 
 
 def shared_bands(rows: DataFrame) -> DataFrame:
-    """(key, band, node, first): nodes of the bands that two nodes or more have, and the band's smallest node."""
+    """(key, band, node, n, first): nodes of the bands that two nodes or more have, and the band's smallest node."""
     lists = rows.filter(F.col("bands").isNotNull()).select(F.posexplode("bands").alias("band", "key"), "node")
     ends = lists.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     ends = settle(ends.filter(F.col("first") < F.col("last")).select("key", "first"), "bands")
@@ -240,11 +241,12 @@ def exact(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def open_bands(lists: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, band, node, c, k) of bands with nodes in different components ``c``; ``k`` is their number of nodes."""
+    """(key, band, node, c, k) of bands with nodes in different components ``c``; ``k`` is their weight in nodes."""
     rows = settle(lists.join(found, "node", "left").select(
-        "key", "band", "node", F.coalesce("component", "node").alias("c")), "classed-bands")
-    ends = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("k"))
-    return rows.join(settle(ends.filter("lo < hi").select("key", "k"), "open-bands"), "key").distinct()
+        "key", "band", "node", "n", F.coalesce("component", "node").alias("c")).distinct(), "classed-bands")
+    weight = F.sum(1 + F.col("n") / LONG)
+    ends = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), weight.alias("k"))
+    return rows.join(settle(ends.filter("lo < hi").select("key", "k"), "open-bands"), "key").drop("n")
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
