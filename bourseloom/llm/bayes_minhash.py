@@ -140,7 +140,7 @@ def described(docs: DataFrame) -> DataFrame:
 
 def shared_bands(rows: DataFrame) -> DataFrame:
     """(key, band, node, n, first): nodes of the bands that two nodes or more have, and the band's smallest node."""
-    lists = rows.filter(F.col("bands").isNotNull()).select(F.posexplode("bands").alias("band", "key"), "node")
+    lists = rows.filter(F.col("bands").isNotNull()).select("node", "n", F.posexplode("bands").alias("band", "key"))
     ends = lists.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     ends = settle(ends.filter(F.col("first") < F.col("last")).select("key", "first"), "bands")
     return settle(lists.join(ends, "key"), "band-lists")
