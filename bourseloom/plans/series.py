@@ -1,4 +1,4 @@
-"""Registered queries over ordered series, streams with state, and models in closed form."""
+"""Registered queries over ordered series, streams with state, models in closed form, day summaries."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bourseloom.functions import codec, times as C
-from bourseloom.operators import asof, bayes, counters, headlines, ranking, recurrences
+from bourseloom.operators import asof, bayes, counters, drift, headlines, ranking, recurrences
+from bourseloom.operators.lookup import stored
 from bourseloom.plans.registered import (
     ERROR_LIMIT, HOLD_SECONDS, LATENCY_BOUNDS, LATENCY_LIMIT, SLIDE, SLIDE_SECONDS, WINDOW, _clean_headlines,
     _clean_prices, _delivered, query,
@@ -171,3 +172,31 @@ def sentiment_rank_quality(spark: SparkSession, sf: str) -> DataFrame:
 def sentiment_calibration(spark: SparkSession, sf: str) -> DataFrame:
     made = ranking.calibration(_bayes(spark, sf), "label", "probability")
     return _rounded(made, 6, "mean_probability", "positive_share")
+
+
+# --- drift from day summaries -------------------------------------------------------------------
+
+#: First day of the current rows, and the ends of the windows that are compared with the days before it.
+DRIFT_DAY, DRIFT_ENDS = "2024-01-16", ["2024-01-23", "2100-01-01"]
+
+
+def _day_windows(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame, DataFrame]]:
+    """Each window's name, baseline and current summaries; the events are read once for all of them."""
+    days = stored(drift.day_summaries(V.table(spark, sf, "events"), "ts", "value"), "day-summaries")
+    before = drift.between(days, "1970-01-01", DRIFT_DAY)
+    return [(end, before, drift.between(days, DRIFT_DAY, end)) for end in DRIFT_ENDS]
+
+
+@query
+def drift_days_psi(spark: SparkSession, sf: str) -> DataFrame:
+    made = [drift.psi(before, now, "value", weight="n").withColumn("window_end", F.lit(end))
+            for end, before, now in _day_windows(spark, sf)]
+    both = made[0].unionByName(made[1])
+    return _rounded(both, 6, "baseline_share", "current_share", "psi")
+
+
+@query
+def drift_days_ks(spark: SparkSession, sf: str) -> DataFrame:
+    made = [drift.ks(before, now, "value", weight="n").withColumn("window_end", F.lit(end))
+            for end, before, now in _day_windows(spark, sf)]
+    return _rounded(made[0].unionByName(made[1]), 8, "ks")

@@ -193,3 +193,17 @@ SELECT CAST(sum(pos + neg) AS BIGINT) AS n, CAST(sum(pos) AS BIGINT) AS positive
        round((SELECT sum(n * abs(mean_probability - positive_share)) / sum(n) FROM bins), 6) AS calibration_error,
        round((SELECT max(abs(mean_probability - positive_share)) FROM bins), 6) AS largest_gap
 FROM sides"""
+
+
+def _days(statement: str, end: str) -> str:
+    """A drift statement over the raw events, with current rows up to ``end``, its window named."""
+    if "WHERE ts >= TIMESTAMP '2024-01-16'" not in statement:
+        raise ValueError("the drift views have changed")
+    cut = statement.replace("WHERE ts >= TIMESTAMP '2024-01-16'",
+                            f"WHERE ts >= TIMESTAMP '2024-01-16' AND ts < TIMESTAMP '{end}'")
+    return f"SELECT *, '{end}' AS window_end FROM ({cut})"
+
+
+for _name in ("psi", "ks"):
+    SQL[f"drift_days_{_name}"] = " UNION ALL ".join(
+        _days(SQL[f"drift_{_name}"], end) for end in ("2024-01-23", "2100-01-01"))
