@@ -1,22 +1,25 @@
-"""Substring dedup by windows of whole words, exact to a 64-bit digest.
-
-A document's windows are its shortest runs of whole words, from each word on and up to each word,
-that have ``MIN_SPAN`` bytes or ``MIN_WORDS`` words. A window is a repeat where a document of a smaller id
-has it too; its holder is the smallest such id. Windows that overlap in a document and lie at the
-same distance in the same text of the same holder make a span. So the holder has the whole span
-byte for byte, no document of a smaller id has it, and every passage of whole words of that size is
-found whole, whatever stands around it. Spans of different holders may overlap; one that lies
+"""Substring dedup by content-defined chunks: exact to the byte once chunks have met.
+
+Texts are cut where a gear hash of the last ``GRAM`` bytes is the smallest (the rightmost of equals)
+of some ``WINDOW`` hashes in a row. Cuts depend on nearby bytes only, so they fall back into step behind an
+insertion, and a passage of ``GRAM - 1 + 3 * WINDOW`` bytes (99) has three cuts of its own whatever stands
+around it. A chunk and the next one have one digest, kept if two documents have it, by a
+bounded Bloom filter. Kept chunks that follow each other make a stretch; stretches that are too
+short for a span are left out before anything is shuffled.
+
+Each digest names its smallest document, the holder, by a partial aggregate. Where a later document has it,
+the stretch and the holder's bytes at the same distance are compared: the run of equal bytes
+around the chunk, cut to whole words, is a span if it has ``min_span`` bytes or ``MIN_WORDS`` words. So
+the holder has the whole span, and no document of a smaller id has it, as none has that chunk.
+A passage is missed only if each pair of its neighbouring chunks (57 bytes at most) stands in some still
+smaller document that does not have the passage. Spans of different holders may overlap; one that lies
 inside others is left out.
 
-A word of more than ``LONG_WORD`` bytes (text without blanks) has windows at each code point.
+A word of more than ``LONG_WORD`` bytes (text without blanks) may be cut at each code point. A document
+posts a digest once, with all its places; the n-th place meets the holder's n-th (counted round, where it has
+fewer), so repeated phrases stay linear.
 
-A window is posted only if the smallest of its hashes of 32 bytes (a gear hash, of which a window
-and its copies have the same) is in two documents, by a bounded Bloom filter. A document posts a
-window once, with all its places, so repeated phrases stay linear: the n-th place in a document is
-compared with the n-th place in the holder. Holders are partial aggregates; a hot window sends one
-row per task there, and its join partition can be split.
-
-Defined cases: a null or empty text has no windows; rows with one id are one document, whose own
+Defined cases: a null or empty text has no chunks; rows with one id are one document, whose own
 repeats don't count; a null id counts as the smallest and is reported as null; an empty table
 gives an empty table; helper columns start with ``__chunk_``.
 """
@@ -28,45 +31,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from bourseloom.llm.arrays import mix, span_hashes, text_slices, word_spans
 from bourseloom.llm.bloom import contains, filter_bits, seen_twice
 from bourseloom.llm.store import settle
 
-MIN_CHUNK, CUT_BITS, MIN_SPAN, MIN_WORDS = 16, 4, 140, 50
-LONG_WORD, GRAM = 32, 32
+GRAM, WINDOW, MIN_SPAN, MIN_WORDS = 16, 28, 140, 50
+LONG_WORD = 32
+#: How far a span may reach beyond its outermost cuts, and one byte more to see a word's end.
+BEFORE, BEHIND = GRAM + WINDOW, WINDOW + 1
 _GEAR = np.random.default_rng(3).integers(0, 1 << 32, 256, dtype=np.uint32)
 _NULL_ID = -(1 << 63)
 
 
 def gear(data: np.ndarray) -> np.ndarray:
-    """The gear hash h = 2 h + g(byte), to 32 bits, after each byte."""
+    """The gear hash h = 2 h + g(byte) of the last ``GRAM`` bytes, after each byte."""
     h = _GEAR[data]
     reach = 1
-    while reach < 32 and reach < len(h):
+    while reach < min(GRAM, len(h)):
         h[reach:] += h[:-reach] << np.uint32(reach)
         reach *= 2
     return h
 
 
 def cuts(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the chunks of all rows of a slice."""
-    starts, ends = [], []
-    for i in range(len(offs) - 1):
-        lo, hi = int(offs[i]), int(offs[i + 1])
-        if lo == hi:
-            continue
-        last = lo
-        at = np.flatnonzero((gear(data[lo:hi]) & np.uint32((1 << CUT_BITS) - 1)) == 0) + lo + 1
-        for place in at.tolist():
-            if place - last >= MIN_CHUNK and place < hi:
-                starts.append(last)
-                ends.append(place)
-                last = place
-        starts.append(last)
-        ends.append(hi)
-    return np.array(starts, np.int64), np.array(ends, np.int64)
+    """Starts and ends of the chunks of all rows of a slice; they cover the rows."""
+    n = len(data)
+    # A hash in the upper half and the place, counted down, in the lower one: the least is the rightmost of equals.
+    low = (mix(gear(data).astype(np.uint64)) | np.uint64(0xFFFFFFFF)) - np.arange(n, dtype=np.uint64)
+    size = 1
+    while size < WINDOW and len(low):
+        step = min(size, WINDOW - size)
+        low = np.minimum(low[:-step], low[step:])
+        size += step
+    inside = np.zeros(n + 1, np.int32)
+    has = np.diff(offs) >= GRAM - 1 + WINDOW
+    inside[offs[:-1][has] + GRAM - 1] += 1
+    inside[offs[1:][has] - WINDOW + 1] -= 1
+    low = low[np.cumsum(inside[:-1])[:len(low)] > 0]
+    at = (np.uint64(0xFFFFFFFF) - (low & np.uint64(0xFFFFFFFF))).astype(np.int64) + 1
+    bounds = np.unique(np.concatenate([at, offs]))
+    return bounds[:-1], bounds[1:]
 
 
 def _units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,100 +90,117 @@ def _units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     return begin, np.minimum(np.append(begin[1:], len(data)), ends[word]), word
 
 
-def _least_grams(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The smallest hash of ``GRAM`` bytes inside each span; a shorter span's own hash."""
-    low = mix(gear(data).astype(np.uint64))
-    least = span_hashes(data, begin, end)
-    n = end - begin - GRAM + 1
-    level = np.where(n > 0, np.frexp(np.maximum(n, 1).astype(float))[1] - 1, -1)
-    for k in range(int(level.max(initial=-1)) + 1):
-        own = level == k
-        least[own] = np.minimum(low[begin[own] + GRAM - 1], low[end[own] - (1 << k)])
-        low[:-(1 << k)] = np.minimum(low[:-(1 << k)], low[1 << k:])
-    return least
-
-
-def _windows(texts: pa.Array, min_span: int):
-    """Per slice: row, byte offset in the row, length, digest and least gram of every window."""
-    for lo, hi, data, offs in text_slices(texts):
-        starts, ends, counts = word_spans(data, offs)
-        if not len(starts):
-            continue
-        begin, stop, word = _units(data, starts, ends)
-        row = np.repeat(np.arange(hi - lo), counts)[word]
-        last = np.searchsorted(stop, begin + min_span)
-        last = np.minimum(last, np.searchsorted(stop, np.append(ends, len(data) + 1)[
-            np.minimum(word + MIN_WORDS - 1, len(ends))]))
-        beyond = np.searchsorted(begin, offs[1:])[row]
-        has = last < beyond
-        begin, row, last, beyond = begin[has], row[has], last[has], beyond[has]
-        following = np.append(last[1:], 0)
-        following = np.where(np.append(row[1:] == row[:-1], False)[:len(row)], following[:len(row)], beyond)
-        n = np.maximum(following - last, 1)
-        at = np.repeat(np.arange(len(n)), n)
-        end = stop[last[at] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)]
-        begin, row = begin[at], row[at]
+def _pairs(texts: pa.Array):
+    """Per slice: first row, offsets, then row, start, end and digest of each chunk with the next one."""
+    for lo, _, data, offs in text_slices(texts):
+        starts, ends = cuts(data, offs)
+        row = np.searchsorted(offs, starts, "right") - 1
+        same = row[1:] == row[:-1]
+        begin, end = starts[:-1][same], ends[1:][same]
         if len(begin):
-            yield (row + lo, begin - offs[row], end - begin, span_hashes(data, begin, end).view(np.int64),
-                   _least_grams(data, begin, end))
+            yield lo, offs, row[:-1][same], begin, end, span_hashes(data, begin, end)
 
 
-def _grams(texts: pa.Array, min_span: int) -> np.ndarray:
-    """The windows' least grams, each once per row."""
+def _digests(texts: pa.Array) -> np.ndarray:
+    """The digests, each once per row."""
     found = [np.zeros(0, np.uint64)]
-    for row, _, _, _, gram in _windows(texts, min_span):
-        new = np.append(True, (gram[1:] != gram[:-1]) | (row[1:] != row[:-1]))
-        row, gram = row[new], gram[new]
-        order = np.lexsort((gram, row))
-        row, gram = row[order], gram[order]
-        found.append(gram[np.append(True, (gram[1:] != gram[:-1]) | (row[1:] != row[:-1]))])
+    for _, _, row, _, _, digest in _pairs(texts):
+        order = np.lexsort((digest, row))
+        row, digest = row[order], digest[order]
+        found.append(digest[np.append(True, (digest[1:] != digest[:-1]) | (row[1:] != row[:-1]))])
     return np.concatenate(found)
 
 
-def repeated_windows(docs: DataFrame, min_span: int) -> DataFrame:
-    """(id, doc, at, size, first, first_doc, first_at): windows that a smaller id has too.
+def _stretches(offs, row, begin, end, least: int):
+    """Bytes (from, to) of its row that a span around each pair may have, and which pairs' are long enough."""
+    new = np.append(True, (row[1:] != row[:-1]) | (begin[1:] > end[:-1]))
+    at = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(row)) - 1
+    lo = np.maximum(begin[first] - BEFORE - offs[row[first]], 0)
+    hi = np.minimum(end[last] + BEHIND, offs[row[first] + 1]) - offs[row[first]]
+    return lo[at], hi[at], (hi - lo >= least)[at]
 
-    ``doc`` is the text's hash: rows of one id with different texts have places of their own.
-    """
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"),
-                       F.xxhash64("text").alias("doc"), "text")
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 1
-    bitmap = seen_twice(docs.select("text"), lambda batch: _grams(batch.column(0), min_span),
-                        filter_bits(total // GRAM + 1, 8))
+
+def _postings(docs: DataFrame, least: int) -> DataFrame:
+    """(digest, id, doc, at, lo, hi, more): repeated pairs of chunks, one row per document."""
+    total = docs.agg(F.sum(F.length("text"))).first()[0] or 1
+    bitmap = seen_twice(docs.select("text"), lambda batch: _digests(batch.column(0)),
+                        filter_bits(total // (WINDOW // 2), 8))
     held = docs.sparkSession.sparkContext.broadcast(bitmap)
+    place = pa.struct([("at", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
 
     def run(batches):
         for batch in batches:
             ids, names = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for row, at, size, digest, gram in _windows(batch.column(2), min_span):
-                keep = np.flatnonzero(contains(held.value, gram))
-                if not len(keep):
+            for base, offs, row, begin, end, digest in _pairs(batch.column(2)):
+                keep = contains(held.value, digest)
+                if not keep.any():
                     continue
-                order = keep[np.lexsort((digest[keep], row[keep]))]
-                row, at, size, digest = row[order], at[order], size[order], digest[order]
-                first = np.flatnonzero(np.append(True, (digest[1:] != digest[:-1]) | (row[1:] != row[:-1])))
+                row, begin, end, digest = row[keep], begin[keep], end[keep], digest[keep]
+                lo, hi, enough = _stretches(offs, row, begin, end, least)
+                at = begin - offs[row]
+                order = np.flatnonzero(enough)
+                order = order[np.lexsort((digest[order], row[order]))]
+                if not len(order):
+                    continue
+                row, digest = row[order], digest[order]
+                at, lo, hi = (x[order].astype(np.int32) for x in (at, lo, hi))
+                further = np.append(False, (digest[1:] == digest[:-1]) & (row[1:] == row[:-1]))
+                first = np.flatnonzero(~further)
                 n = np.diff(np.append(first, len(row)))
-                further = np.ones(len(row), bool)
-                further[first] = False
                 more = pa.ListArray.from_arrays(
                     pa.array(np.append(0, np.cumsum(n - 1)).astype(np.int32)),
-                    pa.array(at[further].astype(np.int32)), mask=pa.array(n == 1))
+                    pa.StructArray.from_arrays([pa.array(x[further]) for x in (at, lo, hi)], fields=list(place)),
+                    mask=pa.array(n == 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest[first]), pa.array(ids[row[first]]), pa.array(names[row[first]]),
-                     pa.array(at[first].astype(np.int32)), pa.array(size[first].astype(np.int32)), more],
-                    names=["digest", "id", "doc", "at", "size", "more"])
+                    [pa.array(digest[first].view(np.int64)), pa.array(ids[base + row[first]]),
+                     pa.array(names[base + row[first]]), *(pa.array(x[first]) for x in (at, lo, hi)), more],
+                    names=["digest", "id", "doc", "at", "lo", "hi", "more"])
+
+    rows = docs.select("id", "doc", "text").mapInArrow(
+        run, "digest long, id long, doc long, at int, lo int, hi int, more array<struct<at:int,lo:int,hi:int>>")
+    rows = settle(rows, "chunks")
+    held.destroy()
+    return rows
 
-    seen = settle(rows.mapInArrow(
-        run, "digest long, id long, doc long, at int, size int, more array<int>"), "windows")
+
+def _meetings(docs: DataFrame, least: int) -> DataFrame:
+    """(id, doc, lo, hi, first, first_doc, shift, ats): stretches and where their chunks' holders have them."""
+    seen = _postings(docs, least)
     first = seen.groupBy("digest").agg(
-        F.min(F.struct("id", "doc", "at", "more")).alias("h"), F.max("id").alias("last"))
+        F.min(F.struct("id", "doc", "at", F.transform("more", lambda p: p["at"]).alias("more"))).alias("h"),
+        F.max("id").alias("last"))
     met = seen.join(first.filter("h.id < last").select("digest", "h"), "digest").filter("id > h.id")
-    places = lambda at, more: F.concat(F.array(at), F.coalesce(more, F.array().cast("array<int>")))
-    met = met.select("id", "doc", "size", "h", F.posexplode(places("at", "more")).alias("k", "at"))
-    there = F.when(F.col("h.more").isNull() | (F.col("k") == 0), F.col("h.at")).otherwise(
-        F.get("h.more", F.least("k", F.size("h.more")) - 1))
-    return met.select("id", "doc", "at", "size", F.col("h.id").alias("first"), F.col("h.doc").alias("first_doc"),
-                      there.alias("first_at"))
+    one = met.select("id", "doc", "h", F.posexplode(F.concat(
+        F.array(F.struct("at", "lo", "hi")),
+        F.coalesce("more", F.array().cast("array<struct<at:int,lo:int,hi:int>>")))).alias("k", "p"))
+    turn = F.col("k") % (F.coalesce(F.size("h.more"), F.lit(0)) + 1)
+    there = F.when(F.col("h.more").isNull() | (turn == 0), F.col("h.at")).otherwise(F.get("h.more", turn - 1))
+    return one.select(
+        "id", "doc", "p.lo", "p.hi", F.col("h.id").alias("first"), F.col("h.doc").alias("first_doc"),
+        (F.col("p.at") - there).alias("shift"), "p.at").groupBy(
+        "id", "doc", "lo", "hi", "first", "first_doc", "shift").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+
+
+def _equal_runs(own: bytes, there: bytes, lo: int, shift: int, stop: int, ats: list[int], min_span: int):
+    """Spans (start, stop) of whole words around ``ats`` that both sides have; ``own`` starts at ``lo``."""
+    skip = max(0, shift - lo)
+    mine, other = np.frombuffer(own, np.uint8), np.frombuffer(there, np.uint8)
+    n = max(0, min(len(mine) - skip, len(other)))
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], mine[skip:skip + n] == other[:n], [0]]).astype(np.int8)))
+    begin, end, word = _units(mine, *word_spans(mine, np.array([0, len(mine)]))[:2])
+    if lo > 0 and len(begin) and begin[0] == 0:
+        begin, end, word = begin[1:], end[1:], word[1:]
+    if lo + len(mine) > stop and len(end) and end[-1] == len(mine):
+        begin, end, word = begin[:-1], end[:-1], word[:-1]
+    places = np.array(ats) - lo
+    for s, e in zip((edges[::2] + skip).tolist(), (edges[1::2] + skip).tolist(), strict=True):
+        a, b = np.searchsorted(begin, s), np.searchsorted(end, e, "right") - 1
+        if b < a or np.searchsorted(places, s) == np.searchsorted(places, e):
+            continue
+        if end[b] - begin[a] >= min_span or word[b] - word[a] + 1 >= MIN_WORDS:
+            yield lo + int(begin[a]), lo + int(end[b])
 
 
 def _cover(spans: list[dict]) -> list[dict]:
@@ -198,16 +220,37 @@ def _cover(spans: list[dict]) -> list[dict]:
     return kept
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(id, doc, text); ``doc`` is the text's hash: rows of one id with different texts have places of their own."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"),
+                       F.xxhash64("text").alias("doc"), "text")
+
+
+def _once(texts: DataFrame) -> DataFrame:
+    """Each (id, doc) once. Only where some row is repeated do the texts need an aggregate for it."""
+    keys = texts.groupBy("id", "doc").count()
+    return texts if keys.filter("count > 1").isEmpty() else texts.dropDuplicates(["id", "doc"])
+
+
 def _spans(docs: DataFrame, min_span: int) -> DataFrame:
     """(id, doc, start, length, first): repeated spans; none lies inside others."""
-    held = ["id", "doc", "first", "first_doc", "shift"]
-    order = W.partitionBy(held).orderBy("at")
-    found = repeated_windows(docs, min_span).withColumn("shift", F.col("at") - F.col("first_at"))
-    before = F.max(F.col("at") + F.col("size")).over(order.rowsBetween(W.unboundedPreceding, -1))
-    marked = found.withColumn("new", F.when(F.col("at") <= before, 0).otherwise(1)).withColumn(
-        "span", F.sum("new").over(order))
-    spans = marked.groupBy(*held, "span").agg(
-        F.min("at").alias("start"), F.max(F.col("at") + F.col("size")).alias("stop"))
+    texts = _keyed(docs)
+    asked = settle(_meetings(texts, min(min_span, 2 * MIN_WORDS - 1)), "meetings")
+    raw = _once(texts).withColumn("text", F.col("text").cast("binary"))
+    there = asked.join(raw.toDF("first", "first_doc", "text"), ["first", "first_doc"]).select(
+        *asked.columns, F.expr("substring(text, greatest(lo - shift, 0) + 1, hi - greatest(lo, shift))").alias("there"))
+    both = there.join(raw, ["id", "doc"]).select(
+        "id", "doc", "first", "lo", "hi", "shift", "ats", "there", F.expr("substring(text, lo + 1, hi - lo + 1)").alias("own"))
+
+    def compare(batches):
+        for batch in batches:
+            out = [(r["id"], r["doc"], start, stop, r["first"]) for r in batch.to_pylist()
+                   for start, stop in _equal_runs(r["own"], r["there"], r["lo"], r["shift"], r["hi"], r["ats"], min_span)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [()] * 5)],
+                names=["id", "doc", "start", "stop", "first"])
+
+    spans = both.mapInArrow(compare, "id long, doc long, start long, stop long, first long").distinct()
     lists = spans.groupBy("id", "doc").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "first"))).alias("l"))
 
     def run(batches):
