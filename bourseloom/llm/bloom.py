@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from bourseloom.llm.store import shuffles_removed
+
 BLOCK_BYTES = 1 << 17
 PROBES = 3
 
@@ -100,11 +102,12 @@ def seen_twice(
             names=["block", "bits"])
 
     n = max(1, bits // 8 // BLOCK_BYTES)
-    merged = rows.mapInArrow(fill, schema).repartition(n, "block").mapInArrow(
-        fold, "block int, bits binary")
+    with shuffles_removed(rows.sparkSession):
+        merged = rows.mapInArrow(fill, schema).repartition(n, "block").mapInArrow(
+            fold, "block int, bits binary").collect()
     bitmap = np.zeros(bits // 8, np.uint8)
     size = min(BLOCK_BYTES, bits // 8)
-    for row in merged.collect():
+    for row in merged:
         bitmap[row["block"] * size:(row["block"] + 1) * size] = np.frombuffer(
             zlib.decompress(row["bits"]), np.uint8)
     return bitmap
