@@ -188,18 +188,22 @@ def _equal_runs(own: bytes, there: bytes, lo: int, shift: int, stop: int, ats: l
     skip = max(0, shift - lo)
     mine, other = np.frombuffer(own, np.uint8), np.frombuffer(there, np.uint8)
     n = max(0, min(len(mine) - skip, len(other)))
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], mine[skip:skip + n] == other[:n], [0]]).astype(np.int8)))
+    same = np.zeros(n + 2, np.int8)
+    same[1:-1] = mine[skip:skip + n] == other[:n]
+    edges = np.flatnonzero(np.diff(same)) + skip
+    places = np.array(ats) - lo
+    runs = [(s, e) for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)
+            if e - s >= min(min_span, 2 * MIN_WORDS - 1) and np.searchsorted(places, s) < np.searchsorted(places, e)]
+    if not runs:
+        return
     begin, end, word = _units(mine, *word_spans(mine, np.array([0, len(mine)]))[:2])
     if lo > 0 and len(begin) and begin[0] == 0:
         begin, end, word = begin[1:], end[1:], word[1:]
     if lo + len(mine) > stop and len(end) and end[-1] == len(mine):
         begin, end, word = begin[:-1], end[:-1], word[:-1]
-    places = np.array(ats) - lo
-    for s, e in zip((edges[::2] + skip).tolist(), (edges[1::2] + skip).tolist(), strict=True):
+    for s, e in runs:
         a, b = np.searchsorted(begin, s), np.searchsorted(end, e, "right") - 1
-        if b < a or np.searchsorted(places, s) == np.searchsorted(places, e):
-            continue
-        if end[b] - begin[a] >= min_span or word[b] - word[a] + 1 >= MIN_WORDS:
+        if b >= a and (end[b] - begin[a] >= min_span or word[b] - word[a] + 1 >= MIN_WORDS):
             yield lo + int(begin[a]), lo + int(end[b])
 
 
