@@ -11,7 +11,7 @@ from bourseloom.llm import (
     alignment, bayes_minhash, chunks, extraction, hashing_search, jaccard_join, lengths, line_dedup, mixing, packing,
     position_search, quality, syncmers,
 )
-from bourseloom.llm.store import table
+from bourseloom.llm.store import settle, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,7 +54,8 @@ def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_length_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return lengths.limit_table(lengths.length_histogram(table(spark, sf, "documents")))
+    histogram = lengths.length_histogram(table(spark, sf, "documents"))
+    return lengths.limit_table(settle(histogram, "histogram"))
 
 
 def op9_multi_index_hashing(spark: SparkSession, sf: str) -> DataFrame:
