@@ -119,10 +119,18 @@ class Shard:
         """Unused documents that share a term with the seed, best first (ties: shard order)."""
         own = self.terms[seed]
         lo, sizes = self.at[own], self.at[own + 1] - self.at[own]
-        pos = np.repeat(lo - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        scores = np.bincount(self.rows[pos], self.weights[pos], minlength=self.n)
-        near = np.flatnonzero((scores > 0) & unused)
-        return near[np.argsort(-scores[near], kind="stable")]
+        posted = int(sizes.sum())
+        if posted <= len(own):  # nobody else has its terms (texts without any included)
+            return own[:0]
+        pos = np.repeat(lo - (np.cumsum(sizes) - sizes), sizes) + np.arange(posted)
+        if posted * 16 < self.n:  # short lists: only the rows in them are looked at
+            rows, at = np.unique(self.rows[pos], return_inverse=True)
+            scores, free = np.bincount(at, self.weights[pos]), unused[rows]
+        else:
+            rows, free = np.arange(self.n), unused
+            scores = np.bincount(self.rows[pos], self.weights[pos], minlength=self.n)
+        near = np.flatnonzero((scores > 0) & free)
+        return rows[near[np.argsort(-scores[near], kind="stable")]]
 
 
 def chain(docs: list[np.ndarray], idf: np.ndarray, average: float, room: int, window: int) -> list[int]:

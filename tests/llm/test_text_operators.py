@@ -100,6 +100,29 @@ def test_neighbours_fill_a_window():
     assert packing.chain(docs, idf, 19.0, 1000, 1000) == [0, 2, 1]
 
 
+def test_texts_without_terms_are_appended_without_a_search():
+    idf = np.array([0, 0, 0, 1, 1, 1], np.float32)
+    empty, docs = np.array([2]), [np.array([3, 4, 2]), np.array([5, 2]), np.array([4, 5, 2])]
+    assert packing.chain([empty] * 200_000 + docs, idf, 2.0, 1 << 20, 1 << 20) == [
+        *range(200_000), 200_000, 200_002, 200_001]
+
+
+def test_short_and_long_lists_give_the_same_neighbours():
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, 3000, 4) for _ in range(400)]
+    index = packing.Shard(docs, np.ones(3000, np.float32), 4.0)
+    unused = rng.random(400) < 0.7
+    for seed in range(400):
+        own, scores = set(docs[seed]), np.zeros(400)
+        for row in range(400):
+            for t in sorted(own & set(docs[row])):
+                at = index.at[t] + np.flatnonzero(index.rows[index.at[t]:index.at[t + 1]] == row)
+                scores[row] += index.weights[at].sum()
+        want = [r for r in sorted(range(400), key=lambda r: (-scores[r], r)) if scores[r] > 0 and unused[r]]
+        got = index.neighbours(seed, unused).tolist()
+        assert got == want or (got == [] and want == [seed])
+
+
 def test_packing_of_nothing(no_docs):
     assert packing.pack(no_docs).count() == 0
 
