@@ -1,6 +1,7 @@
 """Classifier, extraction and search: held-out accuracy, literal pages, recall against brute force."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -55,6 +56,50 @@ def test_model_is_the_ratio_of_counts(spark):
     assert ratios[1][bucket] == pytest.approx(math.log(0.5 / (expected + 0.5)), rel=1e-5)
 
 
+def test_kept_documents_against_brute_force(spark):
+    docs, labels, truth = corpus(spark, 600, seed=4)
+    rows = {r["doc_id"]: r["text"].split() for r in docs.collect()}
+    known = {r["doc_id"]: r["quality"] == 1 and r["toxic"] == 0 for r in labels.collect()}
+    held = {r[0] for r in labels.filter(quality.is_held_out(F.col("doc_id"))).select("doc_id").collect()}
+    fitted = {i for i, clean in known.items() if clean and i not in held}
+    weight = dict.fromkeys(rows, 0.0)
+    for order in (1, 2):
+        grams = {i: list(zip(*(w[k:] for k in range(order)), strict=False)) for i, w in rows.items()}
+        raw = Counter(g for own in grams.values() for g in own)
+        target = Counter(g for i in fitted for g in grams[i])
+        share = sum(target.values()) / sum(raw.values())
+        for i, own in grams.items():
+            for g in own:
+                e = raw[g] * share
+                if abs(target[g] - e) >= quality.EVIDENCE[order] * math.sqrt(e + 1):
+                    weight[i] += math.log((target[g] + 0.5) / (e + 0.5))
+    noise = dict(zip(rows, quality._noise(np.array(list(rows)), quality.SEED), strict=True))
+    low = np.quantile([weight[i] for i in held if known[i]], quality.LOSS)
+    high = np.quantile([weight[i] for i in held if not known[i]], 1 - quality.LOSS)
+    if low > high:
+        want = {i for i in rows if weight[i] >= (low + high) / 2}
+    else:
+        zone = [i for i in rows if low <= weight[i] <= high]
+        inside = [known[i] for i in held if low <= weight[i] <= high]
+        k = round(np.mean(inside) * len(zone))
+        best = sorted(zone, key=lambda i: (-weight[i] - noise[i], i))[:k]
+        want = {i for i in rows if weight[i] > high} | set(best)
+    got = {r["doc_id"]: r["__quality_weight"] for r in quality.resample(docs, labels).collect()}
+    assert set(got) == want and len(want) < len(rows)
+    # few of the test's word pairs share one of the 2^20 buckets
+    assert np.mean([abs(got[i] - weight[i]) < 0.5 for i in got]) > 0.9
+
+
+def test_a_table_of_clean_documents_stays_whole(spark):
+    """Nothing goes by quota: the labels' share of bad documents says nothing about other documents."""
+    docs, labels, truth = corpus(spark)
+    clean = [i for i, kind in truth.items() if kind == "clean"]
+    more = docs.filter(F.col("doc_id").isin(clean)).withColumn("doc_id", F.col("doc_id") + 100_000)
+    kept = {r["doc_id"] for r in quality.resample(docs.union(more).union(
+        more.withColumn("doc_id", F.col("doc_id") + 100_000)), labels).collect()}
+    assert np.mean([i + d in kept for i in clean for d in (100_000, 200_000)]) > 0.97
+
+
 def test_the_kth_score_is_exact(spark):
     rng = np.random.default_rng(5)
     scores = np.concatenate([rng.normal(size=30_000), np.full(8_000, 0.25)])
