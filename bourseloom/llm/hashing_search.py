@@ -5,16 +5,17 @@ the smallest angle. A code has the signs of the vector under several rotations;
 learned (it is turned until the signs lose least) on at most ``FIT_ROWS`` vectors, those with the
 smallest hashed ids. All vectors are indexed.
 
-A code is split into ``PARTS`` substrings, each with its own index from value to rows. By the
+A code is split into ``PARTS`` substrings, each with its own index from value to a list of rows. By the
 pigeonhole principle a code within Hamming radius r of a query's differs in at most r // PARTS
-bits in some substring, so probing every value that near in every substring finds them all; their
-whole codes are compared and those within r are ranked by the inner product of the original
+bits in some substring, so probing every value that near in every substring finds them all; only the
+rows in the lists of probed values have their whole codes compared, and those within r are ranked by the inner product of the original
 vectors in double precision. The radius is the one within which ``AIM`` of the true neighbours lie
 for the fitted sample; a query that finds fewer than k rows in an index block raises it there.
 
-Blocks of queries meet blocks of the index: a task holds one of each. Where codes of neighbours
-differ in many bits, as for directions without structure, probing leaves out little; the result
-is the same, the work is that of comparing codes.
+Blocks of queries meet blocks of the index: a task holds one of each. The shuffle copies the table
+once per ``QUERY_BLOCK`` queries, and the queries once per ``INDEX_BLOCK`` rows. Where codes of
+neighbours differ in many bits, as for directions without structure, probing leaves out little and
+the work is that of comparing codes; in clusters it leaves out all but the own cluster.
 
 Defined cases: vectors that are null, zero, hold null or non-finite components, or have another
 length than most take no part, nor do rows without id; of rows with one id the smallest vector
@@ -34,7 +35,7 @@ from bourseloom.llm.store import settle
 
 BITS, PARTS = 256, 16
 FIT_ROWS, FIT_QUERIES, FIT_ROUNDS, AIM = 10_000, 300, 25, 0.98
-INDEX_BLOCK, QUERY_BLOCK = 20_000, 2_000
+INDEX_BLOCK, QUERY_BLOCK = 50_000, 20_000
 _ONES = np.bitwise_count(np.arange(1 << 16, dtype=np.uint16))
 SCHEMA = "query_id long, vec_id long, score double"
 
@@ -96,21 +97,47 @@ def fit(rows: DataFrame, k: int, norm: float) -> tuple[np.ndarray, int]:
     return turn, int(np.quantile(far, AIM))
 
 
+def masks(near: int) -> np.ndarray:
+    """All 16-bit differences of at most ``near`` bits."""
+    return np.flatnonzero(_ONES <= near).astype(np.uint16)
+
+
 class SubstringIndex:
-    """Index blocks: per substring the distinct values, and which of them each row has."""
+    """Per substring the sorted distinct values, each with the list of rows that have it."""
 
     def __init__(self, rows: np.ndarray) -> None:
-        self.rows = rows
-        self.values = [np.unique(rows[:, p], return_inverse=True) for p in range(rows.shape[1])]
+        self.rows, self.words, self.lists = rows, rows.view(np.uint64), []
+        for column in rows.T:
+            order = np.argsort(column, kind="stable")
+            values, starts = np.unique(column[order], return_index=True)
+            self.lists.append((values, order, starts, np.append(starts[1:], len(order))))
+
+    def reached(self, query: np.ndarray, near: int) -> np.ndarray:
+        """Rows with some substring within ``near`` bits of the query's, from the lists of probed values."""
+        hit, differences = np.zeros(len(self.rows), bool), masks(near)
+        for (values, order, starts, ends), own in zip(self.lists, query, strict=True):
+            if len(differences) < len(values):  # few probes: each value is looked up
+                probes = np.sort(differences ^ own)
+                at = np.searchsorted(values, probes)
+                at = at[values[np.minimum(at, len(values) - 1)] == probes]
+            else:
+                at = np.flatnonzero(_ONES[values ^ own] <= near)
+            sizes = ends[at] - starts[at]
+            hit[order[np.repeat(starts[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]] = True
+        return np.flatnonzero(hit)
+
+    def inside(self, query: np.ndarray, radius: int) -> tuple[np.ndarray, int]:
+        """Rows within ``radius`` of the query, and how many codes were compared for it."""
+        rows = self.reached(query, radius // len(self.lists))
+        far = np.bitwise_count(self.words[rows] ^ query.view(np.uint64)).sum(axis=1)
+        return rows[far <= radius], len(rows)
 
     def within(self, query: np.ndarray, radius: np.ndarray) -> np.ndarray:
-        """Which rows each query's probes reach: some substring within its share of the radius."""
-        near = (radius // len(self.values)).astype(np.uint8)[:, None]
-        reached = np.zeros((len(query), len(self.rows)), bool)
-        for p, (values, of_row) in enumerate(self.values):
-            probed = _ONES[values[None, :] ^ query[:, p, None]] <= near
-            reached |= probed[:, of_row]
-        return reached
+        """The same for many queries: which rows their probes reach."""
+        out = np.zeros((len(query), len(self.rows)), bool)
+        for i, (own, r) in enumerate(zip(query, radius, strict=True)):
+            out[i, self.reached(own, int(r) // len(self.lists))] = True
+        return out
 
 
 def _best(ids: np.ndarray, x: np.ndarray, query_id: int, query: np.ndarray, found: np.ndarray, k: int):
@@ -127,20 +154,14 @@ def search_block(ids, x, query_ids, queries, turn, radius: int, k: int, norm: fl
     lifted = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1)
     asked = codes(lifted, turn)
     out = []
-    for lo in range(0, len(queries), 64):
-        part = asked[lo:lo + 64]
-        far = distances(part, own)
-        limit = np.full(len(part), radius)
-        while True:
-            inside = index.within(part, limit) & (far <= limit[:, None])
-            short = (inside.sum(axis=1) < min(k + 1, len(ids))) & (limit < BITS)
-            if not short.any():
-                break
-            limit[short] += PARTS
-        for i in range(len(part)):
-            found = np.flatnonzero(inside[i])
-            near, score = _best(ids, x, query_ids[lo + i], queries[lo + i], found, k)
-            out.append((np.full(len(near), query_ids[lo + i]), near, score))
+    for query_id, query, code in zip(query_ids, queries, asked, strict=True):
+        limit = radius
+        found, _ = index.inside(code, limit)
+        while len(found) < min(k + 1, len(ids)) and limit < BITS:
+            limit += PARTS
+            found, _ = index.inside(code, limit)
+        near, score = _best(ids, x, query_id, query, found, k)
+        out.append((np.full(len(near), query_id), near, score))
     return [np.concatenate(c) for c in zip(*out, strict=True)]
 
 

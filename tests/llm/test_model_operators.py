@@ -238,6 +238,38 @@ def test_probing_finds_every_code_in_the_radius():
     assert hashing_search.SubstringIndex(b).within(a, np.full(len(a), 32)).mean() < 0.5
 
 
+def clusters(n: int, dim: int = 32, seed: int = 6) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    return rng.normal(size=(20, dim))[rng.integers(0, 20, n)] + rng.normal(scale=0.05, size=(n, dim))
+
+
+def test_clusters_leave_most_codes_out():
+    x = clusters(2000)
+    norm = float(np.sqrt((x * x).sum(1).max())) * (1 + 1e-12)
+    turn = hashing_search.learn(hashing_search._lift(x, norm) / norm)
+    own = hashing_search.codes(hashing_search._lift(x, norm), turn)
+    asked = hashing_search.codes(np.concatenate([x[:100], np.zeros((100, 1))], axis=1), turn)
+    index, far = hashing_search.SubstringIndex(own), hashing_search.distances(asked, own)
+    radius = int(np.quantile(np.sort(far, axis=1)[:, 20], 0.9))
+    compared = 0
+    for i, code in enumerate(asked):
+        rows, n = index.inside(code, radius)
+        assert rows.tolist() == np.flatnonzero(far[i] <= radius).tolist()
+        compared += n
+    assert compared < 0.7 * far.size
+
+
+def test_recall_in_clusters(spark, monkeypatch):
+    monkeypatch.setattr(hashing_search, "INDEX_BLOCK", 700)
+    x = clusters(2000)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = hashing_search.nearest(rows, rows.filter("vec_id % 20 = 0")).collect()
+    ids = np.arange(len(x))
+    want = {(i, v) for i in range(0, len(x), 20) for v, _ in exact(ids, x, i, x[i], 20)}
+    found = {(r["query_id"], r["vec_id"]) for r in got}
+    assert len(found) == len(want) and len(found & want) / len(want) >= 0.95
+
+
 SAID = "Prices rose on Monday, and traders said that more would follow in the week to come."
 
 
