@@ -2,7 +2,8 @@
 
 Documents are reduced to cells (source x language x topic) with their tokens. Raking multiplies
 the cells' weights until their sums meet a target for every source, language and topic in turn.
-A cell can give no more than it has, so each round ends with a cap at its tokens. Then
+A cell can give no more than it has: what a full cell cannot give, the others of its margin do. Rounds
+go on until the margins stop getting closer. Then
 ``weight / tokens`` of a cell is the probability with which each of its documents is sampled.
 
 By default the target of a value is its own tokens to the power ``temper``, scaled to
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from bourseloom.llm.store import settle
 
 TOPICS, ROUNDS, TEMPER, KEEP_SHARE, SEED = 8, 8, 0.7, 0.8, "mix"
+MOST_STEPS, STALL, CLOSE = 10, 0.05, 1e-4
 DIMS = ("__mix_source", "__mix_lang", "__mix_topic")
 
 
@@ -68,33 +70,75 @@ def tempered_targets(cells: DataFrame, dim: str, temper: float, keep_share: floa
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Cells with ``weight``: tokens raked to the targets, never more than the cell has."""
-    for dim, target in targets.items():
-        cells = cells.join(target, dim)
-    cells = cells.withColumn("weight", F.col("tokens").cast("double"))
+    """Cells with ``weight``: tokens raked to the targets, never more than the cell has.
+
+    A margin below its target is raised by its cells that have room; full cells stay full.
+    """
+    if "weight" not in cells.columns:
+        for dim, target in targets.items():
+            cells = cells.join(target, dim)
+        cells = cells.withColumn("weight", F.col("tokens").cast("double"))
+    cells = cells.coalesce(1)  # a few hundred rows: windows need no exchange
+    full, most = F.col("weight") >= F.col("tokens"), F.col("tokens").cast("double")
     for _ in range(rounds):
         for dim in targets:
-            total = F.sum("weight").over(W.partitionBy(dim))
-            cells = cells.withColumn("weight", F.when(
-                total > 0, F.col("weight") * F.col(f"{dim}_target") / total).otherwise(0.0))
-        cells = cells.withColumn("weight", F.least(F.col("weight"), F.col("tokens").cast("double")))
+            own = W.partitionBy(dim)
+            cells = cells.select("*", F.sum("weight").over(own).alias("__mix_sum"),
+                                 F.sum(F.when(full, F.col("weight")).otherwise(0.0)).over(own).alias("__mix_full"))
+            goal = F.col(f"{dim}_target")
+            factor = F.when(F.col("__mix_sum") <= 0, 0.0).when(
+                F.col("__mix_sum") >= goal, goal / F.col("__mix_sum")).when(full, 1.0).otherwise(
+                (goal - F.col("__mix_full")) / (F.col("__mix_sum") - F.col("__mix_full")))
+            cells = cells.withColumn("weight", F.least(F.col("weight") * F.coalesce(factor, F.lit(1.0)), most)
+                                     ).drop("__mix_sum", "__mix_full")
+    return cells
+
+
+def margin_errors(cells: DataFrame, dims: tuple[str, ...] = DIMS) -> DataFrame:
+    """(dim, value, have, target) of raked cells: what each margin got and should have."""
+    parts = [cells.groupBy(d).agg(F.sum("weight").alias("have"), F.first(f"{d}_target").alias("target")).select(
+        F.lit(d).alias("dim"), F.col(d).cast("string").alias("value"), "have", "target") for d in dims]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+def raked_cells(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """Raked in steps of ``ROUNDS`` rounds until the misfit of all margins stops falling.
+
+    The misfit is the sum of what the margins lack or have too much. A step that lowers it by less
+    than ``STALL`` of itself is the last, as is one that leaves less than ``CLOSE`` of the tokens,
+    and the step ``MOST_STEPS``. What is left is what the cells' tokens do not allow.
+    """
+    before = None
+    for step in range(MOST_STEPS):
+        cells = settle(rake(cells, targets), f"raked-{step}")
+        misfit, tokens = margin_errors(cells, tuple(targets)).agg(
+            F.sum(F.abs(F.col("have") - F.col("target"))), F.sum("target")).first()
+        if not misfit or misfit <= CLOSE * tokens or (before is not None and misfit > (1 - STALL) * before):
+            break
+        before = misfit
     return cells
 
 
 def probabilities(
-    rows: DataFrame, rounds: int = ROUNDS, temper: float = TEMPER, keep_share: float = KEEP_SHARE,
+    rows: DataFrame, rounds: int | None = None, temper: float = TEMPER, keep_share: float = KEEP_SHARE,
     targets: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """(cell, probability). ``targets`` gives (value, ``<dim>_target``) per dimension."""
+    """(cell, probability). ``targets`` gives (value, ``<dim>_target``) per dimension.
+
+    Raked until the margins stop getting closer, or for a set number of ``rounds``.
+    """
     cells = settle(rows.groupBy(*DIMS).agg(F.sum("__mix_tokens").alias("tokens")), "cells")
     targets = targets or {d: tempered_targets(cells, d, temper, keep_share) for d in DIMS}
-    raked = rake(cells, targets, rounds)
+    raked = raked_cells(cells, targets) if rounds is None else rake(cells, targets, rounds)
     share = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(1.0)
     return settle(raked.select(*DIMS, share.alias("__mix_probability")), "raked")
 
 
 def mix(
-    docs: DataFrame, rounds: int = ROUNDS, temper: float = TEMPER, keep_share: float = KEEP_SHARE,
+    docs: DataFrame, rounds: int | None = None, temper: float = TEMPER, keep_share: float = KEEP_SHARE,
     seed: str = SEED, targets: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """The sampled documents with their cell, tokens and probability in ``__mix_`` columns."""
@@ -109,11 +153,28 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     return mix(docs, **options).select(docs.columns)
 
 
-def mix_sql(rounds: int = ROUNDS, temper: float = TEMPER, keep_share: float = KEEP_SHARE,
-            seed: str = SEED, topics: int = TOPICS) -> str:
-    """The SQL twin of ``op2``'s query over the view ``documents``."""
+def mix_sql(temper: float = TEMPER, keep_share: float = KEEP_SHARE, seed: str = SEED, topics: int = TOPICS) -> str:
+    """The SQL twin of ``op2``'s query over the view ``documents``; the rounds are a recursion."""
     blank = "translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     ')"
-    steps = [f"""
+    dims = ("source", "lang", "topic")
+    targets = "".join(f"""
+sums_{d} AS (SELECT {d}, sum(tokens)::DOUBLE AS have FROM cells GROUP BY {d}),
+target_{d} AS MATERIALIZED (
+  SELECT {d}, pow(have, {temper}) / sum(pow(have, {temper})) OVER () * sum(have) OVER ()
+              * {keep_share} AS {d}_target FROM sums_{d}),""" for d in dims)
+    turned = "rounds"
+    for d in dims:
+        turned = f"""(
+    SELECT * EXCLUDE (total, used) REPLACE (least(weight * CASE
+             WHEN total <= 0 THEN 0 WHEN total >= {d}_target THEN {d}_target / total WHEN weight >= tokens THEN 1
+             ELSE ({d}_target - used) / (total - used) END, tokens) AS weight)
+    FROM (SELECT *, sum(weight) OVER (PARTITION BY {d}) AS total,
+                 sum(CASE WHEN weight >= tokens THEN weight ELSE 0 END) OVER (PARTITION BY {d}) AS used
+          FROM {turned} WHERE going))"""
+    gaps = ", ".join(f"abs(sum(weight) OVER (PARTITION BY {d}) - {d}_target) / count(*) OVER (PARTITION BY {d}) AS gap_{d}"
+                     f", {d}_target / count(*) OVER (PARTITION BY {d}) AS goal_{d}" for d in dims)
+    step = f"(n + 1) % {ROUNDS} = 0"
+    return f"""WITH RECURSIVE
 rows AS MATERIALIZED (
   SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
          ('0x' || substr(md5(coalesce(list_max(w), '')), 1, 4))::INTEGER % {topics} AS topic,
@@ -121,34 +182,23 @@ rows AS MATERIALIZED (
   FROM (SELECT doc_id, source, lang, list_filter(string_split({blank}, ' '), lambda x: x <> '') AS w
         FROM documents)),
 cells AS MATERIALIZED (
-  SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM rows GROUP BY ALL)"""]
-    for d in ("source", "lang", "topic"):
-        steps.append(f"""
-sums_{d} AS (SELECT {d}, sum(tokens)::DOUBLE AS have FROM cells GROUP BY {d}),
-target_{d} AS MATERIALIZED (
-  SELECT {d}, pow(have, {temper}) / sum(pow(have, {temper})) OVER () * sum(have) OVER ()
-              * {keep_share} AS {d}_target FROM sums_{d})""")
-    steps.append("""
-w0 AS MATERIALIZED (
-  SELECT *, tokens::DOUBLE AS weight FROM cells JOIN target_source USING (source)
-  JOIN target_lang USING (lang) JOIN target_topic USING (topic))""")
-    at = 0
-    for _ in range(rounds):
-        for d in ("source", "lang", "topic"):
-            total = f"sum(weight) OVER (PARTITION BY {d})"
-            steps.append(f"""
-w{at + 1} AS MATERIALIZED (
-  SELECT * REPLACE (CASE WHEN {total} > 0 THEN weight * {d}_target / {total} ELSE 0 END AS weight)
-  FROM w{at})""")
-            at += 1
-        steps.append(f"""
-w{at + 1} AS MATERIALIZED (
-  SELECT * REPLACE (least(weight, tokens::DOUBLE) AS weight) FROM w{at})""")
-        at += 1
-    return "WITH " + ",".join(steps) + f"""
+  SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM rows GROUP BY ALL),{targets}
+rounds AS (
+  SELECT source, lang, topic, tokens::DOUBLE AS tokens, source_target, lang_target, topic_target,
+         tokens::DOUBLE AS weight, 0 AS n, 1e300 AS before, true AS going
+  FROM cells JOIN target_source USING (source) JOIN target_lang USING (lang) JOIN target_topic USING (topic)
+  UNION ALL
+  SELECT source, lang, topic, tokens, source_target, lang_target, topic_target, weight, n + 1,
+         CASE WHEN {step} THEN misfit ELSE before END,
+         NOT ({step} AND (misfit <= {CLOSE} * goals OR misfit > {1 - STALL} * before OR n + 1 >= {ROUNDS * MOST_STEPS}))
+  FROM (SELECT *, sum(gap_source + gap_lang + gap_topic) OVER () AS misfit,
+               sum(goal_source + goal_lang + goal_topic) OVER () AS goals
+        FROM (SELECT *, {gaps} FROM {turned}))),
+raked AS (
+  SELECT source, lang, topic, CASE WHEN tokens > 0 THEN weight / tokens ELSE 1.0 END AS p
+  FROM rounds WHERE n = (SELECT max(n) FROM rounds))
 SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability
-FROM (SELECT rows.*, CASE WHEN w.tokens > 0 THEN w.weight / w.tokens ELSE 1.0 END AS p
-      FROM rows JOIN w{at} AS w USING (source, lang, topic))
+FROM rows JOIN raked USING (source, lang, topic)
 WHERE ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT
       / 4294967296.0 < p
 """

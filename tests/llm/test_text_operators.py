@@ -285,6 +285,35 @@ def test_raked_margins_meet_targets(spark):
     assert kept == pytest.approx(sum(targets.values()), rel=0.1)
 
 
+def raked(spark, tokens, dims, **targets):
+    """Cells of two dimensions raked to literal targets: misfits by value and the weights."""
+    cells = spark.createDataFrame([(*k, n) for k, n in tokens.items()], f"{dims[0]} string, {dims[1]} string, tokens long")
+    wanted = {d: spark.createDataFrame(list(targets[d].items()), f"{d} string, {d}_target double") for d in dims}
+    out = mixing.raked_cells(cells, wanted)
+    errors = {(r["dim"], r["value"]): r["have"] / r["target"] - 1 for r in mixing.margin_errors(out, dims).collect()}
+    return errors, {(r[dims[0]], r[dims[1]]): r["weight"] for r in out.collect()}
+
+
+def test_default_rounds_reach_what_can_be_reached(spark):
+    rng = np.random.default_rng(9)
+    tokens = {(f"a{i}", f"b{j}"): int(rng.integers(100, 900)) for i in range(6) for j in range(5)}
+    share = {k: rng.uniform(0.2, 0.9) for k in tokens}  # some weights within the cells give both margins
+    margin = [Counter(), Counter()]
+    for (a, b), n in tokens.items():
+        margin[0][a] += n * share[a, b]
+        margin[1][b] += n * share[a, b]
+    errors, weights = raked(spark, tokens, ("a", "b"), a=dict(margin[0]), b=dict(margin[1]))
+    assert max(map(abs, errors.values())) < 0.01
+    assert all(0 <= weights[k] <= tokens[k] for k in tokens)
+
+
+def test_a_margin_out_of_reach_gives_all_it_has(spark):
+    tokens = {("a", "x"): 100, ("a", "y"): 50, ("b", "x"): 1000, ("b", "y"): 1000}
+    errors, weights = raked(spark, tokens, ("s", "l"), s={"a": 600.0, "b": 400.0}, l={"x": 500.0, "y": 500.0})
+    assert weights["a", "x"] == pytest.approx(100, rel=0.05) and weights["a", "y"] == pytest.approx(50, rel=0.05)
+    assert errors["s", "a"] < -0.7
+
+
 def test_mixing_of_odd_rows(odd_docs, no_docs):
     kept = mixing.mixed_documents(odd_docs, keep_share=1.0, temper=1.0)
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count()
