@@ -1,6 +1,6 @@
 """Left lookups in a table with one row per key, whatever the weight of single keys.
 
-A small table is broadcast, after its rows have been counted. Beyond that, keys are split by
+A small table is broadcast, after its rows and the bytes of its values have been counted. Beyond that, keys are split by
 weight: keys that hold at least ``share`` of the rows number at most ``1 / share``, so their
 part of the table is broadcast on a proven bound; every other key is light enough for a
 shuffle join.
@@ -8,13 +8,15 @@ shuffle join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bourseloom.session import work_dir
 from bourseloom.sources.tables import write_table
 
 MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1e-4
 
 
@@ -32,12 +34,31 @@ def measured(df: DataFrame) -> tuple[DataFrame, int]:
     return df.sparkSession.read.schema(df.schema).parquet(folder), rows
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value: texts by their length, nested values by that of their JSON text."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + F.lit(16)
+    if isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0)) + F.lit(16)
+    return F.lit(16)
+
+
+def value_bytes(df: DataFrame) -> int:
+    """Bytes that the values of all rows take."""
+    width = F.lit(0).cast("long")
+    for field in df.schema:
+        width = width + _width(field)
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
 def lookup(
-    df: DataFrame, dim: DataFrame, key: str, max_rows: int = MAX_BROADCAST_ROWS
+    df: DataFrame, dim: DataFrame, key: str, max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """``df`` left-joined with ``dim``, unique on ``key``. Runs the job that sizes ``dim``."""
+    """``df`` left-joined with ``dim``, unique on ``key``. Runs the jobs that size ``dim``."""
     stored, rows = measured(dim)
-    if rows <= max_rows:
+    if rows <= max_rows and value_bytes(stored) <= max_bytes:
         return df.join(F.broadcast(stored), key, "left")
     return split_lookup(df, stored, key)
 

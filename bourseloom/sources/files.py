@@ -123,12 +123,32 @@ def rejected_lines(
         SOURCE_FILE, F.coalesce(CORRUPT, F.lit("")).alias("line"))
 
 
+def silent_files(
+    spark: SparkSession, path: str, schema: T.StructType, **options: str
+) -> DataFrame:
+    """(source_file, bytes) of files that gave :func:`read_history` no line at all.
+
+    These are files that cannot be read, such as broken archives, and files of a header only. A file
+    that breaks off in its middle gives the lines before that.
+    """
+    raw = _history_lines(spark, path, schema, **options)
+    if raw is None:
+        return spark.createDataFrame([], f"{SOURCE_FILE} string, bytes long")
+    kinds = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup")}
+    found = spark.read.format("binaryFile").options(**kinds).load(path).select(
+        F.col("_metadata.file_name").alias(SOURCE_FILE), F.col("length").alias("bytes"))
+    return found.join(raw.select(SOURCE_FILE).distinct(), SOURCE_FILE, "left_anti")
+
+
 def bar_schema(interval: str) -> T.StructType:
     return DAILY_BAR if interval == "daily" else INTRADAY_BAR
 
 
 def read_bar_files(spark: SparkSession, folder: str, interval: str) -> DataFrame:
-    """All per-stock bar files of an interval; merged files and corrupt files are passed over."""
+    """All per-stock bar files of an interval; merged files and corrupt files are passed over.
+
+    :func:`silent_files` names the files that gave nothing.
+    """
     return read_history(spark, folder, bar_schema(interval),
                         pathGlobFilter="*" + BAR_SUFFIX % interval)
 

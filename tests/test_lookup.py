@@ -32,3 +32,19 @@ def test_lookup_measures_first(skewed, max_rows):
     df, dim, want = skewed
     made = L.lookup(df, dim, "k", max_rows).select("k", "i", "v")
     assert Counter(tuple(r) for r in made.collect()) == want
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 100])
+def test_lookup_bounds_bytes_too(skewed, max_bytes):
+    df, dim, want = skewed
+    made = L.lookup(df, dim, "k", max_bytes=max_bytes)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert ("LeftSemi" in plan) == (max_bytes == 100)
+    assert Counter(tuple(r) for r in made.select("k", "i", "v").collect()) == want
+
+
+def test_bytes_of_wide_rows(spark):
+    rows = spark.createDataFrame([("a" * 1000, None, [1, 2], 1), (None, b"xy", None, 2)],
+                                 "s string, `b.c` binary, l array<int>, n int")
+    assert 1000 < L.value_bytes(rows) < 1300
+    assert L.value_bytes(rows.limit(0)) == 0

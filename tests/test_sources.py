@@ -60,6 +60,19 @@ def test_bar_files_by_suffix(spark, tmp_path):
     assert got == [("A", dt.date(2026, 1, 1), 5), ("B", dt.date(2026, 1, 2), None)]
 
 
+def test_files_that_give_no_line_are_named(spark, tmp_path):
+    head = "symbol,date,open,high,low,close,volume\n"
+    put(tmp_path, "A_daily_data.csv", head + "A,2026-01-01,1,1,1,1,5\n")
+    put(tmp_path, "B_daily_data.csv", head + "broken\n")
+    put(tmp_path, "C_daily_data.csv", head)
+    put(tmp_path, "D_daily_data.csv.gz", "no archive at all")
+    put(tmp_path, "other.txt", "x")
+    got = files.silent_files(spark, str(tmp_path), DAILY_BAR, pathGlobFilter="*_daily_data.csv*")
+    assert sorted(map(tuple, got.collect())) == [
+        ("C_daily_data.csv", len(head)), ("D_daily_data.csv.gz", 17)]
+    assert files.silent_files(spark, str(tmp_path / "nowhere"), DAILY_BAR).count() == 0
+
+
 def test_bars_append(spark, tmp_path):
     df = spark.createDataFrame([("A/B C", dt.date(2026, 1, 1), 1.0, 1.0, 1.0, 1.0, 5)], DAILY_BAR)
     path = str(tmp_path / "bars")
