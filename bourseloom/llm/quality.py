@@ -14,8 +14,8 @@ under this zone go and those over it stay, however many there are; inside it, ``
 documents times the share of clean ones among the held-out documents there. Where the held-out
 documents lack one of the classes, the zone is everything and the share that of all labels.
 
-The target is fitted on at most ``MOST_LABELS`` clean labelled rows (those with the smallest
-hashed ids); the raw model, the scores and the choice cover all documents. Counts travel as
+The target is fitted on all clean labelled documents that are not held out, the zone on all that
+are; the raw model, the scores and the choice cover all documents. Counts travel as
 compressed blocks of a fixed number of buckets: a bucket's background is the same part of all n-grams
 at every size of the corpus, so a word's weight does not fade as it grows. The k-th score is found by counting, in narrowing
 ranges; scores are not sorted or collected.
@@ -37,11 +37,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourseloom.llm.arrays import mix, span_hashes, text_slices, word_spans
-from bourseloom.llm.store import settle
+from bourseloom.llm.store import settle, shuffles_removed
+from bourseloom.operators.quantiles import exact_quantiles
 
 BUCKETS, ORDERS = 1 << 20, (1, 2)
 SMOOTH, EVIDENCE = 0.5, {1: 2.0, 2: 4.0}
-MOST_LABELS = 50_000
 SEED = 11
 HELD_OUT, LOSS = 4, 0.001
 _BLOCK = 1 << 14
@@ -71,60 +71,53 @@ def clean_share(labels: DataFrame) -> tuple[DataFrame, float | None]:
     return judged, judged.agg(F.avg(F.col("clean").cast("double"))).first()[0]
 
 
-def _counts(docs: DataFrame, order: int, clean_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket counts over all documents and over the clean labelled ones."""
-    spark = docs.sparkSession
-    ids = spark.sparkContext.broadcast(clean_ids)
-
+def _counts(docs: DataFrame) -> dict[int, np.ndarray]:
+    """Bucket counts of the n-grams of all texts, for each order."""
     def count(batches):
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        sums = {order: np.zeros(BUCKETS, np.int64) for order in ORDERS}
         for batch in batches:
-            own = batch.column(0).to_numpy(zero_copy_only=False)
-            clean = np.isin(own, ids.value)
-            for lo, hi, data, offs in text_slices(batch.column(1)):
-                buckets, per_row = _grams(data, offs, order)
-                raw += np.bincount(buckets, minlength=BUCKETS)
-                target += np.bincount(buckets[np.repeat(clean[lo:hi], per_row)], minlength=BUCKETS)
+            for _, _, data, offs in text_slices(batch.column(0)):
+                for order, own in sums.items():
+                    own += np.bincount(_grams(data, offs, order)[0], minlength=BUCKETS)
         blocks = range(BUCKETS // _BLOCK)
-        packed = [[zlib.compress(a[b * _BLOCK:(b + 1) * _BLOCK].tobytes(), 1) for b in blocks]
-                  for a in (raw, target)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(blocks, pa.int32()), pa.array(packed[0], pa.binary()), pa.array(packed[1], pa.binary())],
-            names=["block", "raw", "target"])
+        packed = [pa.array([zlib.compress(own[b * _BLOCK:(b + 1) * _BLOCK].tobytes(), 1) for b in blocks], pa.binary())
+                  for own in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), *packed], names=names)
 
     def fold(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for b, *parts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for b, *parts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 got = np.stack([np.frombuffer(zlib.decompress(x), np.int64) for x in parts])
                 sums[b] = sums[b] + got if b in sums else got
         keys = sorted(sums)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int32()), *(pa.array([sums[b][i].tobytes() for b in keys], pa.binary()) for i in (0, 1))],
-            names=["block", "raw", "target"])
-
-    schema = "block int, raw binary, target binary"
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    rows = rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "text")
-    merged = rows.mapInArrow(count, schema).repartition(BUCKETS // _BLOCK, "block").mapInArrow(fold, schema)
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for r in merged.collect():
-        at = slice(r["block"] * _BLOCK, (r["block"] + 1) * _BLOCK)
-        raw[at], target[at] = np.frombuffer(r["raw"], np.int64), np.frombuffer(r["target"], np.int64)
-    ids.destroy()
-    return raw, target
-
-
-def fit(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS) -> tuple[dict[int, np.ndarray], float | None]:
+            [pa.array(keys, pa.int32()),
+             *(pa.array([sums[b][i].tobytes() for b in keys], pa.binary()) for i in range(len(ORDERS)))], names=names)
+
+    names = ["block", *(f"n{order}" for order in ORDERS)]
+    schema = ", ".join(["block int", *(f"n{order} binary" for order in ORDERS)])
+    merged = docs.select("text").mapInArrow(count, schema).repartition(BUCKETS // _BLOCK, "block").mapInArrow(fold, schema)
+    counts = {order: np.zeros(BUCKETS, np.int64) for order in ORDERS}
+    with shuffles_removed(docs.sparkSession):
+        for r in merged.collect():
+            at = slice(r["block"] * _BLOCK, (r["block"] + 1) * _BLOCK)
+            for order, own in counts.items():
+                own[at] = np.frombuffer(r[f"n{order}"], np.int64)
+    return counts
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, np.ndarray], float | None]:
     """Log ratio per bucket for each n-gram order, and the share of clean documents."""
     judged, share = clean_share(labels)
     if share is None:
         return {}, None
-    chosen = judged.filter("clean").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labels)
-    ids = np.array(sorted(r[0] for r in chosen.select("doc_id").collect()), np.int64)
+    clean = judged.filter("clean").select(F.col("doc_id").cast("long").alias("__quality_id"))
+    raws = _counts(docs)
+    targets = _counts(docs.join(clean, F.col("doc_id").cast("long") == F.col("__quality_id"), "left_semi"))
     ratios = {}
     for order in ORDERS:
-        raw, target = _counts(docs, order, ids)
+        raw, target = raws[order], targets[order]
         expected = raw * (target.sum() / max(1, raw.sum()))
         ratio = np.log((target + SMOOTH) / (expected + SMOOTH))
         ratio[np.abs(target - expected) < EVIDENCE[order] * np.sqrt(expected + 1)] = 0
@@ -180,16 +173,16 @@ def is_held_out(doc_id: Column) -> Column:
 def doubtful(scores: DataFrame, held: DataFrame, loss: float = LOSS) -> tuple[float, float, float] | None:
     """(low, high, share): the log weights where classes overlap, and the clean share of held-out rows there.
 
-    ``scores`` has (id, weight), ``held`` (doc_id, clean). None if a class is missing. At most
-    ``MOST_LABELS`` held-out documents are used, those with the smallest hashed ids.
+    ``scores`` has (id, weight), ``held`` (doc_id, clean). None if a class is missing. All held-out
+    documents are used; the ends are exact quantiles, for which no task sorts a whole class.
     """
-    some = held.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELS)
-    rows = settle(scores.join(F.broadcast(some), F.col("id") == F.col("doc_id")).groupBy("id").agg(
+    rows = settle(scores.join(held, F.col("id") == F.col("doc_id")).groupBy("id").agg(
         F.min("weight").alias("weight"), F.min("clean").alias("clean")), "held-out")
-    low, high = rows.agg(F.percentile(F.when(F.col("clean"), F.col("weight")), F.lit(loss)),
-                         F.percentile(F.when(~F.col("clean"), F.col("weight")), F.lit(1 - loss))).first()
-    if low is None or high is None:
+    ends = {(r["clean"], r["prob"]): r["quantile"]
+            for r in exact_quantiles(rows, ["clean"], "weight", [loss, 1 - loss]).collect()}
+    if len({clean for clean, _ in ends}) < 2:
         return None
+    low, high = ends[True, loss], ends[False, 1 - loss]
     if low > high:  # nothing overlaps: the middle parts them
         return (low + high) / 2, (low + high) / 2, 1.0
     share = rows.filter(F.col("weight").between(low, high)).agg(F.avg(F.col("clean").cast("double"))).first()[0]

@@ -126,6 +126,22 @@ def test_classifier_on_odd_rows(spark, odd_docs, no_docs):
     assert quality.kept_documents(no_docs, odd).count() == 0
 
 
+def test_every_label_counts(spark):
+    """Far more labels than the 50,000 that were once the most: all of them make the model and the zone."""
+    n = 220_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("plain").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    ratios, _ = quality.fit(docs, labels)
+    assert all(not r.any() for r in ratios.values())
+    counts = quality._counts(docs)
+    assert {order: own.sum() for order, own in counts.items()} == {1: n, 2: 0}
+    held = docs.select("doc_id", (F.col("doc_id") % 2 == 0).alias("clean"))
+    scores = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").cast("double").alias("weight"))
+    low, high, share = quality.doubtful(scores, held, 0.001)
+    assert low == pytest.approx(0.001 * (n - 2)) and high == pytest.approx(n - 1 - 0.001 * (n - 2))
+    assert share == pytest.approx(0.5, abs=1e-4)
+
+
 # --- pages -------------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
