@@ -153,16 +153,21 @@ def read_bar_files(spark: SparkSession, folder: str, interval: str) -> DataFrame
                         pathGlobFilter="*" + BAR_SUFFIX % interval)
 
 
-def write_bars(df: DataFrame, path: str, interval: str, mode: str = "append") -> int:
+def write_bars(
+    df: DataFrame, path: str, interval: str, mode: str = "append", stock_folders: bool = True
+) -> int:
     """Append bars as CSV, partitioned by the stock's safe name and year.
 
-    One writer per stock and year keeps files few and a hot stock spread over its years.
+    One writer per stock and year keeps files few and a hot stock spread over its years. Every stock
+    costs a file per year and append, so where stocks are many and their bars few, ``stock_folders`` off
+    lets the stocks of a writer share its file of a year: files then grow with the bytes alone.
     """
     named = df.withColumns({
         "stock": safe_name(F.col("symbol")), "year": F.year(TIME_COL[interval]),
-    })
-    return write_table(named.repartition("stock", "year"), path, ["stock", "year"], fmt="csv",
-                       mode=mode, header="true")
+    }).repartition("stock", "year")
+    if stock_folders:
+        return write_table(named, path, ["stock", "year"], fmt="csv", mode=mode, header="true")
+    return write_table(named.drop("stock"), path, ["year"], fmt="csv", mode=mode, header="true")
 
 
 def read_bars(spark: SparkSession, path: str, interval: str) -> DataFrame:

@@ -82,6 +82,15 @@ def test_bars_append(spark, tmp_path):
     assert files.read_bars(spark, path, "daily").count() == 2
 
 
+def test_many_stocks_share_files(spark, tmp_path):
+    rows = [(f"S{i}", dt.date(2025 + d, 1, 1), 1.0, 1.0, 1.0, 1.0, i) for i in range(300) for d in (0, 1)]
+    df, path = spark.createDataFrame(rows, DAILY_BAR), str(tmp_path / "bars")
+    assert files.write_bars(df, path, "daily", stock_folders=False) == 600
+    names = [n for _, _, found in os.walk(path) for n in found if n.endswith(".csv")]
+    assert len(names) <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(tuple, files.read_bars(spark, path, "daily").collect())) == sorted(rows)
+
+
 def test_day_partitions_replace_only_their_day(spark, tmp_path):
     path = str(tmp_path / "days")
     first = spark.createDataFrame([("20260101", "A", 1.0), ("20260102", "A", 2.0)], "d string, s string, v double")
