@@ -137,9 +137,13 @@ def start_closed_windows(
     stream: DataFrame, time: str, is_error: Column, late: str, evaluations: str, checkpoint: str,
     window: str = RULE_WINDOW, slide: str = RULE_SLIDE, limit: float = ERROR_RATE_LIMIT,
 ) -> StreamingQuery:
-    """Evaluates the error rule over what is there and appends closed windows to the folder ``evaluations``."""
+    """Evaluates the error rule over what is there and appends closed windows to the folder ``evaluations``.
+
+    Each task of the aggregate writes the windows of its own part of the state: one task for all of them
+    would hold the memory of all parts at once. Parts without a closed window leave no file.
+    """
     rows = closed_windows(stream, time, is_error, late, window, slide, limit)
-    return (rows.coalesce(1).writeStream.format("parquet").option("path", evaluations)
+    return (rows.writeStream.format("parquet").option("path", evaluations)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 

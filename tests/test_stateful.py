@@ -1,6 +1,7 @@
 """Streams with state: first arrivals, alert timers, bounded runs, over micro-batches and restarts."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +139,12 @@ def test_a_failing_writer_is_told(spark, feed):
 
     with pytest.raises(Exception, match="disk full"):
         stateful.consume_until(stream("n long, good boolean"), 5, broken, f"{base}/cp")
+
+
+def test_closed_windows_are_written_by_many_tasks(spark, feed, tmp_path):
+    drop, stream, base = feed
+    schema = "ts timestamp, event_type string"
+    drop(error_rows([(3, 5)], 80), schema)
+    follow(spark, stream(schema), base)
+    files = [f for f in os.listdir(f"{base}/windows") if f.endswith(".parquet")]
+    assert len(files) > 2  # two micro-batches: one with the events, one that closes windows
