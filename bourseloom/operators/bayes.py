@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bourseloom.operators.features import term_counts
+from bourseloom.operators.features import HOT_TERM, counted_terms, terms_of
 from bourseloom.operators.lookup import split_lookup, stored
 
 FOLDS = 5
@@ -26,18 +26,19 @@ def fold_of(doc_id: str, folds: int = FOLDS) -> Column:
 
 
 def term_model(
-    tf: DataFrame, labelled: DataFrame, doc_id: str, folds: int = FOLDS, smoothing: float = SMOOTHING
+    tf: DataFrame, labelled: DataFrame, folds: int = FOLDS, smoothing: float = SMOOTHING
 ) -> tuple[DataFrame, list[float]]:
-    """(term, w) with the log ratio of the term's share in class 1 and class 0, and the log prior odds.
+    """(term, n, w, seen) with the log ratio of the term's share in class 1 and class 0, and the log prior odds.
 
     ``w`` and the priors have an entry per fold, of the model without it, and a last one of the model of
-    all. ``labelled`` has (doc_id, label, fold) with labels 0 and 1. A term that a model has not seen
-    weighs 0 in it. Class sizes are smoothed by one document, so a class may be missing.
+    all. ``tf`` has (label, fold, term, tf) with labels 0, 1 and, where there is none, null; ``labelled``
+    has (label, fold) of the documents with one. ``n`` counts a term's rows of ``tf``. A term that a model
+    has not seen weighs 0 in it. Class sizes are smoothed by one document, so a class may be missing.
     """
-    tagged = tf.join(labelled, doc_id)
     own = {f"_{c}{f}": F.sum(F.when((F.col("label") == c) & (F.col("fold") == f), F.col("tf")).otherwise(0))
            for c in (1, 0) for f in range(folds)}
-    counts = stored(tagged.groupBy("term").agg(*[v.alias(k) for k, v in own.items()]), "term-classes")
+    counts = stored(tf.groupBy("term").agg(
+        F.count(F.lit(1)).alias("n"), *[v.alias(k) for k, v in own.items()]), "term-classes")
     names = [*range(folds), ALL]
 
     def seen(c: int, f: int) -> Column:
@@ -56,7 +57,7 @@ def term_model(
         ratio = F.log((seen(1, f) + smoothing) / F.lit(size[1] or 1.0)) - F.log(
             (seen(0, f) + smoothing) / F.lit(size[0] or 1.0))
         weights.append(F.when(seen(1, f) + seen(0, f) > 0, ratio).otherwise(0.0))
-    return counts.select("term", F.array(*weights).alias("w")), prior
+    return counts.select("term", "n", F.array(*weights).alias("w"), (seen(1, ALL) + seen(0, ALL) > 0).alias("seen")), prior
 
 
 def cross_scored(
@@ -71,13 +72,16 @@ def cross_scored(
     """
     known = labels.filter(F.col(label).isin(0, 1)).select(
         doc_id, F.col(label).cast("int").alias("label"), fold_of(doc_id, folds).alias("fold"))
-    tf = stored(term_counts(docs, doc_id, text), "terms")
-    model, prior = term_model(tf, known, doc_id, folds, smoothing)
-    asked = docs.select(doc_id).join(known, doc_id, "left").withColumn("fold", F.coalesce("fold", F.lit(ALL)))
     at = F.when(F.col("fold") == ALL, folds).otherwise(F.col("fold")).cast("int")
-    frequency = tf.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    weighed = split_lookup(tf, model, "term", weights=frequency).filter(F.col("w").isNotNull())
-    sums = weighed.join(asked, doc_id).groupBy(doc_id).agg(F.sum(F.col("tf") * F.get("w", at)).alias("_sum"))
+    tagged = docs.select(doc_id, text).join(known, doc_id, "left").withColumn("fold", F.coalesce("fold", F.lit(ALL)))
+    tf = stored(counted_terms(
+        tagged.select(doc_id, "label", "fold", terms_of(F.col(text)).alias("_terms")), "_terms"), "terms")
+    model, prior = term_model(tf, known, folds, smoothing)
+    asked = docs.select(doc_id).join(known, doc_id, "left").withColumn("fold", F.coalesce("fold", F.lit(ALL)))
+    weighed = split_lookup(
+        tf.select(doc_id, at.alias("_at"), "term", "tf"), model.filter("seen").select("term", "w"), "term",
+        weights=model.select("term", "n"), share=HOT_TERM).filter(F.col("w").isNotNull())
+    sums = weighed.groupBy(doc_id).agg(F.sum(F.col("tf") * F.get("w", F.col("_at"))).alias("_sum"))
     odds = F.get(F.array(*[F.lit(p) for p in prior]), at) + F.coalesce("_sum", F.lit(0.0))
     scored = asked.join(sums, doc_id, "left").withColumn("log_odds", odds)
     return scored.select(

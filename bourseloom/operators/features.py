@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bourseloom.functions.text import clean_text
+from bourseloom.functions.text import SPACE_PATTERN, strip_entities, strip_tags
 from bourseloom.operators.lookup import split_lookup, stored
 
 FLAT_BAND = 0.001
 LAGS = [1, 2, 5]
 AVERAGES = [5, 20]
 VOLATILITY_DAYS = 20
+#: Terms with this share of the rows, 500,000 at most, are answered from a broadcast.
+HOT_TERM = 2e-6
 
 
 def with_direction(prices: DataFrame, band: float = FLAT_BAND) -> DataFrame:
@@ -71,30 +73,54 @@ def technical_features(
                           volatility_days)
 
 
-def _terms(text: str) -> Column:
-    return F.filter(F.split(clean_text(F.col(text)), " "), lambda t: t != "")
+def terms_of(text: Column) -> Column:
+    """The words of the clean text: cut at white space, so collapsing it first is not needed."""
+    words = F.split(strip_entities(strip_tags(F.lower(text))), SPACE_PATTERN)
+    return F.filter(words, lambda t: t != "")
+
+
+def counted_terms(rows: DataFrame, terms: str) -> DataFrame:
+    """One row per row and distinct term, with ``term`` and ``tf`` for the array ``terms``.
+
+    Counted inside the row: equal terms stand together once sorted, and a run's length is its count.
+    Nothing is shuffled, and no task holds more than one row's terms.
+    """
+    kept = [c for c in rows.columns if c != terms]
+    filled = rows.select(*kept, F.sort_array(terms).alias("_s")).filter(F.size("_s") > 0)
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("_s") - 1),
+        lambda i: (i == 0) | (F.get(F.col("_s"), i) != F.get(F.col("_s"), i - 1)))
+    runs = filled.withColumn("_at", starts)
+    count = lambda i, k: F.coalesce(F.get(F.col("_at"), k + 1), F.size("_s")) - i
+    return runs.select(*kept, F.inline(F.transform("_at", lambda i, k: F.struct(
+        F.get(F.col("_s"), i).alias("term"), count(i, k).cast("long").alias("tf")))))
 
 
 def term_counts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, term, tf) over the clean text, split at blanks."""
-    return (
-        docs.select(doc_id, F.explode(_terms(text)).alias("term"))
-        .groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
-    )
+    """(doc, term, tf) over the clean text, split at blanks; texts of one id count together.
+
+    A job over the ids alone tells whether any id has several texts; only then texts are shuffled.
+    """
+    repeated = docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if repeated.isEmpty():
+        return counted_terms(docs.select(doc_id, terms_of(F.col(text)).alias("_terms")), "_terms")
+    whole = docs.groupBy(doc_id).agg(F.collect_list(text).alias("_texts"))
+    return counted_terms(
+        whole.select(doc_id, F.flatten(F.transform("_texts", terms_of)).alias("_terms")), "_terms")
 
 
 def tfidf(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, term, tf, df, idf, tfidf), idf = ln((N + 1) / (df + 1)); one row per document.
 
-    The terms are written once; frequencies, weights and both halves of the join read them.
-    A frequent term stands in nearly every document. Its document frequency is also its weight
-    in the join, so the split into heavy and light terms costs no further count.
+    The terms are written once, and so are their document frequencies; weights and both halves of the
+    join read them. A frequent term stands in nearly every document. Its document frequency is also its
+    weight in the join, so the split into heavy and light terms costs no further count.
     """
     tf = stored(term_counts(docs, doc_id, text), "terms")
-    vocabulary = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    vocabulary = stored(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "vocabulary")
     total = docs.agg(F.count(F.lit(1))).scalar()
     joined = split_lookup(
-        tf, vocabulary, "term", weights=vocabulary.withColumnRenamed("df", "n")
+        tf, vocabulary, "term", weights=vocabulary.withColumnRenamed("df", "n"), share=HOT_TERM
     ).withColumn("idf", F.log((total + 1) / (F.col("df") + 1)))
     return joined.withColumn("tfidf", F.col("tf") * F.col("idf"))
 

@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from bourseloom.operators import bayes, ranking
+from bourseloom.operators import bayes, features, ranking
 
 DOCS = [(i, t) for i, t in enumerate([
     "good good fine", "bad poor", "good text here", "poor poor bad text", "fine words", "bad words", "", None, "new unseen",
@@ -75,3 +75,13 @@ def test_calibration(spark):
     assert error["calibration_error"] == pytest.approx((3 * (0.95333333 - 2 / 3) + 2 * 0.45) / 5)
     assert error["largest_gap"] == pytest.approx(0.45)
     assert ranking.calibration_error(made.limit(0)).first()["calibration_error"] is None
+
+
+def test_terms_are_counted_without_a_shuffle_of_terms(spark):
+    docs = spark.createDataFrame([(1, "b a  b a b <i>c</i>&amp;"), (2, None), (3, " "), (1, "a d"), (4, "x")], "id long, text string")
+    assert sorted(map(tuple, features.term_counts(docs, "id", "text").collect())) == [
+        (1, "a", 3), (1, "b", 3), (1, "c", 1), (1, "d", 1), (4, "x", 1)]
+    once = docs.filter("text != 'a d' or text is null")
+    tf = features.term_counts(once, "id", "text")
+    assert "Exchange" not in tf._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert sorted(map(tuple, tf.collect())) == [(1, "a", 2), (1, "b", 3), (1, "c", 1), (4, "x", 1)]
