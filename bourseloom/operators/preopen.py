@@ -66,6 +66,13 @@ def top_movers(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
     return by_move(df).limit(n)
 
 
+def item_moves(df: DataFrame) -> DataFrame:
+    """Payload rows -> the change of each quoted item, envelope kept: all that :func:`breadth` reads."""
+    named = ["payload_id"] if "payload_id" in df.columns else []
+    return df.select(*named, F.explode("data.metadata.change").alias("change"), "advances", "declines",
+                     F.col("timestamp").alias("payload_time"))
+
+
 def breadth(df: DataFrame) -> DataFrame:
     """Advances and declines counted from the items of each payload, next to what it claims.
 

@@ -73,6 +73,11 @@ PREOPEN_PAYLOAD = T.StructType([
     T.StructField("declines", _L),
     T.StructField("timestamp", _S),
 ])
+# What counting advances and declines takes of a payload.
+PREOPEN_MOVES = T.StructType([
+    T.StructField("data", T.ArrayType(T.StructType([T.StructField("metadata", _struct(("change", _D)))]))),
+    *PREOPEN_PAYLOAD.fields[1:],
+])
 PREDICTION_REQUEST = T.StructType([
     T.StructField("symbol", _S, False),
     T.StructField("date", _S, False),

@@ -180,7 +180,12 @@ def read_preopen_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).schema(PREOPEN_PAYLOAD).json(path)
 
 
-def parse_preopen(df: DataFrame, text: str, with_id: bool = False) -> DataFrame:
-    """Payload documents held in a text column; ``with_id`` adds the document's hash."""
+def parse_preopen(
+    df: DataFrame, text: str, with_id: bool = False, schema: T.StructType = PREOPEN_PAYLOAD
+) -> DataFrame:
+    """Payload documents held in a text column; ``with_id`` adds the document's hash.
+
+    A narrower ``schema`` (``PREOPEN_MOVES``) leaves fields that are not needed unread.
+    """
     kept = [F.sha2(text, 256).alias("payload_id")] if with_id else []
-    return parsed(df.select(*kept, text), PREOPEN_PAYLOAD, text)
+    return parsed(df.select(*kept, text), schema, text)

@@ -182,39 +182,44 @@ def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preopen_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One quoted item per supplier and part; the mean price is rounded on whole cents."""
+    """One quoted item per supplier and part; the mean price is rounded on whole cents.
+
+    Only the numbers that an item is made of; :func:`quoted_item` makes the fields of the message.
+    """
     lines = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey").agg(
         F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("cents"),
         F.sum(F.col("l_quantity").cast("long")).alias("quantity"),
     )
-    turnover = F.col("cents") / 100
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    prev = F.col("p_retailprice")
     last = F.expr("(2 * cents + quantity) div (2 * quantity)") / 100
-    change = F.round(F.col("last") - prev, 2)
+    change = F.round(F.col("last") - F.col("p_retailprice"), 2)
     return (
         lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .withColumns({"last": last, "turnover": turnover}).withColumn("change", change)
-        .select(
-            "l_suppkey", "l_partkey",
-            F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"),
-            prev.alias("previousClose"), F.col("last").alias("iep"), "change",
-            (F.col("change") / prev * 100).alias("pChange"),
-            F.col("last").alias("lastPrice"), F.col("quantity").alias("finalQuantity"),
-            F.col("turnover").alias("totalTurnover"),
-            F.when(F.col("l_partkey") % 2 == 1, F.col("turnover") * 100).alias("marketCap"),
-            (prev * 2).alias("yearHigh"), (prev / 2).alias("yearLow"),
-        )
+        .withColumn("last", last).withColumn("change", change)
+        .select("l_suppkey", "l_partkey", F.col("p_retailprice").alias("prev"), "last", "change", "quantity", "cents")
     )
 
 
+def quoted_item(item: Column) -> Column:
+    """A struct of :func:`preopen_items` -> the item as it stands in a payload."""
+    part, prev, last, change = (item[c] for c in ("l_partkey", "prev", "last", "change"))
+    turnover = item["cents"] / 100
+    return F.struct(
+        F.concat(F.lit("P"), part.cast("string")).alias("symbol"), prev.alias("previousClose"), last.alias("iep"),
+        change.alias("change"), (change / prev * 100).alias("pChange"), last.alias("lastPrice"),
+        item["quantity"].alias("finalQuantity"), turnover.alias("totalTurnover"),
+        F.when(part % 2 == 1, turnover * 100).alias("marketCap"),
+        (prev * 2).alias("yearHigh"), (prev / 2).alias("yearLow"))
+
+
 def preopen_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot documents as JSON text, one per supplier and block of part numbers.
 
-    The block bounds the items of a document, whatever the supplier's weight.
+    The block bounds the items of a document, whatever the supplier's weight. Items are gathered as the
+    few numbers that they are made of, and get their other fields and texts in their document.
     """
-    fields = ["symbol", "previousClose", "iep", "change", "pChange", "lastPrice",
-              "finalQuantity", "totalTurnover", "marketCap", "yearHigh", "yearLow"]
+    numbers = ["l_partkey", "prev", "last", "change", "quantity", "cents"]
+    items = F.transform("items", lambda i: F.struct(quoted_item(i).alias("metadata")))
     day = F.date_add(F.lit("2026-06-01").cast("date"), (F.col("l_suppkey") % 28).cast("int"))
     stamp = F.when(F.col("l_suppkey") % 7 == 0, F.lit("pending")).otherwise(
         F.concat(F.date_format(day, "dd-MMM-yyyy"), F.lit(" 09:07:55"))
@@ -222,10 +227,10 @@ def preopen_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = F.floor(F.col("l_partkey") / PAYLOAD_ITEMS)
     return (
         preopen_items(spark, sf_dir).groupBy("l_suppkey", block.alias("block"))
-        .agg(F.collect_list(F.struct(F.struct(*fields).alias("metadata"))).alias("data"),
+        .agg(F.collect_list(F.struct(*numbers)).alias("items"),
              F.count_if(F.col("change") > 0).alias("advances"),
              F.count_if(F.col("change") < 0).alias("declines"))
-        .select(F.to_json(F.struct("data", "advances", "declines", stamp.alias("timestamp")))
+        .select(F.to_json(F.struct(items.alias("data"), "advances", "declines", stamp.alias("timestamp")))
                 .alias("payload"))
     )
 

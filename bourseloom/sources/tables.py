@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bourseloom.session import work_dir
+
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
@@ -70,9 +72,12 @@ def write_by_day(
     """One partition per day; only the days present in ``df`` are replaced, or all with ``full``.
 
     Rows are range-partitioned on the day and the order inside it, so a heavy day is written
-    by several tasks and files follow the order.
+    by several tasks and files follow the order. They are stored first: the range borders come from
+    a pass of their own, which would compute ``df`` once more.
     """
-    ranged = df.repartitionByRange(F.col(day), *order).sortWithinPartitions(F.col(day), *order)
+    rows = work_dir(df.sparkSession, "by-day")
+    write_table(df, rows)
+    ranged = read_table(df.sparkSession, rows, df.schema).repartitionByRange(F.col(day), *order).sortWithinPartitions(F.col(day), *order)
     return write_table(ranged, path, partition_by=[day],
                        partitionOverwriteMode="static" if full else "dynamic")
 

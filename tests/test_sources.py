@@ -5,7 +5,8 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from bourseloom.schemas import DAILY_BAR
+from bourseloom.operators import preopen
+from bourseloom.schemas import DAILY_BAR, PREOPEN_MOVES
 from bourseloom.session import work_dir
 from bourseloom.sources import files, tables, topics
 
@@ -101,6 +102,30 @@ def test_day_partitions_replace_only_their_day(spark, tmp_path):
     assert got == [("20260101", "A"), ("20260102", "B")]
 
 
+def test_day_partitions_compute_their_rows_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    df = spark.range(1000).select(F.lit("20260101").alias("d"), F.col("id").cast("double").alias("v"))
+    rows = df.mapInPandas(seen, df.schema)
+    assert tables.write_by_day(rows, str(tmp_path / "days"), "d", [F.col("v").desc()]) == 1000
+    assert made.value == 1000
+
+
+def test_moves_alone_give_the_same_breadth(spark):
+    text = ('{"data":[{"metadata":{"symbol":"A","change":1.5}},{"metadata":{"symbol":"B","change":-1}},'
+            '{"metadata":{"symbol":"C"}}],"advances":1,"declines":1,"timestamp":"t"}')
+    df = spark.createDataFrame([(text,), ('{"data":[],"timestamp":"u"}',), ("{broken",)], "payload string")
+    whole = preopen.breadth(preopen.flatten_preopen(files.parse_preopen(df, "payload", True)))
+    moves = preopen.breadth(preopen.item_moves(files.parse_preopen(df, "payload", True, PREOPEN_MOVES)))
+    assert moves.schema == whole.schema
+    assert sorted(map(tuple, moves.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_preopen_documents(spark, tmp_path):
     put(tmp_path, "x.json", '{"data":[\n{"metadata":{"symbol":"A","pChange":1}}],\n"timestamp":"t"}')
     got = files.read_preopen_json(spark, str(tmp_path)).first()
