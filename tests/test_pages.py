@@ -2,6 +2,9 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+import pyarrow as pa
+
+from bourseloom.operators import pages
 from bourseloom.operators.pages import card_headlines, news_cards
 
 CARD = """
@@ -59,3 +62,13 @@ def test_last_label_before_the_time_is_the_source(spark):
     html = ('<div class="stockNews_newsRow"><div class="BoxHeaderText">One<b>skip</b> Two ·<time '
             'datetime="2026-06-07T07:25:51Z"></time>after</div><div class="BoxItemTitle">t</div></div>')
     assert parse(spark, html)[0]["source"] == "Two"
+
+
+def test_cards_are_handed_on_a_few_pages_at_a_time():
+    n = 1000
+    batch = pa.RecordBatch.from_pydict({"page_key": [str(i) for i in range(n)], "html": [CARD] * (n - 1) + [None]})
+    got = list(pages._parse_batches(pages.Selectors())(iter([batch])))
+    whole = pa.Table.from_batches(got).to_pydict()
+    assert max(b.num_rows for b in got) <= 5 * pages.PAGES_AT_ONCE
+    assert whole["page_key"] == [str(i) for i in range(n - 1) for _ in range(5)]
+    assert whole["card"] == list(range(5)) * (n - 1)
