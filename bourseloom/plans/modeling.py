@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from bourseloom.functions.text import clean_text
 from bourseloom.operators.features import with_direction, with_technical
+from bourseloom.operators.lookup import stored as written
 from bourseloom.schemas import OHLCV
 
 SEED = 7
@@ -27,15 +28,22 @@ KEPT = ("symbol", "date", "direction")
 
 
 def train_sentiment(labelled: DataFrame, text: str, label: str) -> PipelineModel:
-    """Text classifier: hashed term weights into a logistic regression."""
+    """Text classifier: hashed term weights into a logistic regression.
+
+    Texts are cleaned and hashed once: the term counts are written, and both fits read them.
+    """
     rows = labelled.select(clean_text(F.col(text)).alias("_text"),
                            F.col(label).cast("double").alias("_label")).na.drop()
-    return Pipeline(stages=[
+    hashed = PipelineModel([
         Tokenizer(inputCol="_text", outputCol="_terms"),
         HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=TEXT_FEATURES),
+    ])
+    counts = written(hashed.transform(rows).select("_tf", "_label"), "sentiment-terms")
+    weighed = Pipeline(stages=[
         IDF(inputCol="_tf", outputCol="_weights"),
         LogisticRegression(featuresCol="_weights", labelCol="_label", maxIter=20, regParam=0.01),
-    ]).fit(rows)
+    ]).fit(counts)
+    return PipelineModel([*hashed.stages, *weighed.stages])
 
 
 def stored(model: PipelineModel, folder: str) -> PipelineModel:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from bourseloom.plans import modeling
 from bourseloom.plans.registered import registered
 from bourseloom.schemas import EXECUTION_SIGNAL, FEATURE_VECTOR
 from bourseloom.sources import stand_ins as V
@@ -66,6 +67,20 @@ def test_predictions_cover_every_request(spark, sf_dir):
     assert {r["model_version"] for r in rows} == {"forest-1", "baseline"}
 
 
+def test_sentiment_trains_on_texts_cleaned_once(spark, sf_dir):
+    made = spark.sparkContext.accumulator(0)
+    labelled = V.table(spark, sf_dir, "documents").join(V.table(spark, sf_dir, "labels"), "doc_id")
+
+    def seen(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    rows = labelled.select("text", "quality")
+    model = modeling.train_sentiment(rows.mapInPandas(seen, rows.schema), "text", "quality")
+    assert made.value == labelled.count() and len(model.stages) == 4
+
+
 def test_sentiment_covers_every_document(spark, sf_dir):
     rows = QUERIES["sentiment_scores"](spark, sf_dir).collect()
     assert len(rows) == V.table(spark, sf_dir, "documents").count()
