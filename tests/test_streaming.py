@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bourseloom.functions.codec import encode
 from bourseloom.operators import alerts
-from bourseloom.plans.registered import registered
+from bourseloom.plans.registered import _delivered, registered
 from bourseloom.schemas import HEADLINE_MESSAGE, PRICE_MESSAGE
 from bourseloom.streaming import alerts as stream_alerts, ingest
 
@@ -136,3 +136,12 @@ def test_streams_read_a_table_that_is_a_folder(spark, sf_dir, tmp_path):
     for name in ("stream_headlines", "stream_prices"):
         made, wanted = (registered()[name](spark, d) for d in (str(tmp_path), sf_dir))
         assert sorted(map(str, made.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_a_delivery_of_many_files_is_one_micro_batch(spark, tmp_path):
+    base = str(tmp_path)
+    rows = spark.range(60).select(F.format_string('{"headline_id":"%d","symbol":"S","headline":"t"}', "id").alias("value"))
+    _delivered(spark, [rows.repartition(7), rows.repartition(5)], "many-files", lambda stream: ingest.start_headlines(
+        stream, f"{base}/log", f"{base}/checkpoint", ["scraped_at"]).awaitTermination())
+    assert sorted(d for d in os.listdir(f"{base}/log") if d.startswith("batch_id=")) == ["batch_id=0", "batch_id=1"]
+    assert ingest.read_log(spark, f"{base}/log", HEADLINE_MESSAGE).count() == 120
