@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourseloom.llm.arrays import mix, span_hashes, text_slices, word_spans
+from bourseloom.llm.bloom import contains, filter_bits, seen_twice
 from bourseloom.llm.store import settle, shuffles_removed
 from bourseloom.operators.quantiles import exact_quantiles
 
@@ -107,14 +108,32 @@ def _counts(docs: DataFrame) -> dict[int, np.ndarray]:
     return counts
 
 
+def maybe_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(__quality_id, text) of the documents whose id may be one of ``ids``, by a bounded Bloom filter.
+
+    It misses none of them and lets few others through, whose texts an exact join need not shuffle.
+    """
+    keys = lambda column: mix(column.to_numpy().view(np.uint64))
+    held = docs.sparkSession.sparkContext.broadcast(
+        seen_twice(ids, lambda batch: keys(batch.column(0)), filter_bits(ids.count() or 1), least=1))
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(contains(held.value, keys(batch.column(0)))))
+
+    return docs.select(F.col("doc_id").cast("long").alias("__quality_id"), "text").filter(
+        "__quality_id is not null").mapInArrow(run, "__quality_id long, text string")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, np.ndarray], float | None]:
     """Log ratio per bucket for each n-gram order, and the share of clean documents."""
     judged, share = clean_share(labels)
     if share is None:
         return {}, None
-    clean = judged.filter("clean").select(F.col("doc_id").cast("long").alias("__quality_id"))
+    clean = settle(judged.filter("clean").select(F.col("doc_id").cast("long").alias("__quality_id")).filter(
+        "__quality_id is not null"), "clean")
     raws = _counts(docs)
-    targets = _counts(docs.join(clean, F.col("doc_id").cast("long") == F.col("__quality_id"), "left_semi"))
+    targets = _counts(maybe_of(docs, clean).join(clean, "__quality_id", "left_semi"))
     ratios = {}
     for order in ORDERS:
         raw, target = raws[order], targets[order]

@@ -142,6 +142,14 @@ def test_every_label_counts(spark):
     assert share == pytest.approx(0.5, abs=1e-4)
 
 
+def test_only_labelled_texts_reach_the_join(spark):
+    """Labels too many to broadcast must not send every text through a shuffle."""
+    docs = spark.range(20_000).select(F.when(F.col("id") > 9, F.col("id")).alias("doc_id"), F.lit("plain").alias("text"))
+    ids = spark.range(0, 20_000, 20).toDF("__quality_id")
+    got = [r[0] for r in quality.maybe_of(docs, ids).select("__quality_id").collect()]
+    assert {r[0] for r in ids.collect()} - {0} <= set(got) and len(got) < 1_300
+
+
 # --- pages -------------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
