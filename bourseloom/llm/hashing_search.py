@@ -36,6 +36,8 @@ from bourseloom.llm.store import settle
 BITS, PARTS = 256, 16
 FIT_ROWS, FIT_QUERIES, FIT_ROUNDS, AIM = 10_000, 300, 25, 0.98
 INDEX_BLOCK, QUERY_BLOCK = 50_000, 20_000
+#: Rows of a column that are compared in the time of one probe of its lists.
+PROBE_COST = 32
 _ONES = np.bitwise_count(np.arange(1 << 16, dtype=np.uint16))
 SCHEMA = "query_id long, vec_id long, score double"
 
@@ -106,22 +108,27 @@ class SubstringIndex:
     """Per substring the sorted distinct values, each with the list of rows that have it."""
 
     def __init__(self, rows: np.ndarray) -> None:
-        self.rows, self.words, self.lists = rows, rows.view(np.uint64), []
-        for column in rows.T:
+        self.rows, self.lists = rows, []
+        self.columns, self.words = np.ascontiguousarray(rows.T), np.ascontiguousarray(rows.view(np.uint64).T)
+        for column in self.columns:
             order = np.argsort(column, kind="stable")
             values, starts = np.unique(column[order], return_index=True)
             self.lists.append((values, order, starts, np.append(starts[1:], len(order))))
 
     def reached(self, query: np.ndarray, near: int) -> np.ndarray:
-        """Rows with some substring within ``near`` bits of the query's, from the lists of probed values."""
+        """Rows with some substring within ``near`` bits of the query's, from the lists of probed values.
+
+        Where probes are too many for that, a substring's column is compared as a whole: the same rows.
+        """
         hit, differences = np.zeros(len(self.rows), bool), masks(near)
-        for (values, order, starts, ends), own in zip(self.lists, query, strict=True):
-            if len(differences) < len(values):  # few probes: each value is looked up
-                probes = np.sort(differences ^ own)
-                at = np.searchsorted(values, probes)
-                at = at[values[np.minimum(at, len(values) - 1)] == probes]
-            else:
-                at = np.flatnonzero(_ONES[values ^ own] <= near)
+        few = len(differences) * PROBE_COST < len(self.rows)
+        for column, (values, order, starts, ends), own in zip(self.columns, self.lists, query, strict=True):
+            if not few:
+                hit |= np.bitwise_count(column ^ own) <= near
+                continue
+            probes = np.sort(differences ^ own)
+            at = np.searchsorted(values, probes)
+            at = at[values[np.minimum(at, len(values) - 1)] == probes]
             sizes = ends[at] - starts[at]
             hit[order[np.repeat(starts[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]] = True
         return np.flatnonzero(hit)
@@ -129,7 +136,9 @@ class SubstringIndex:
     def inside(self, query: np.ndarray, radius: int) -> tuple[np.ndarray, int]:
         """Rows within ``radius`` of the query, and how many codes were compared for it."""
         rows = self.reached(query, radius // len(self.lists))
-        far = np.bitwise_count(self.words[rows] ^ query.view(np.uint64)).sum(axis=1)
+        far = np.zeros(len(rows), np.uint16)
+        for word, own in zip(self.words, query.view(np.uint64), strict=True):
+            far += np.bitwise_count(word[rows] ^ own)
         return rows[far <= radius], len(rows)
 
     def within(self, query: np.ndarray, radius: np.ndarray) -> np.ndarray:
