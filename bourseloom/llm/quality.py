@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from bourseloom.llm.arrays import mix, span_hashes, text_slices, word_spans
 from bourseloom.llm.bloom import contains, filter_bits, seen_twice
-from bourseloom.llm.store import settle, shuffles_removed
+from bourseloom.llm.store import settle
 from bourseloom.operators.quantiles import exact_quantiles
 
 BUCKETS, ORDERS = 1 << 20, (1, 2)
@@ -72,8 +72,12 @@ def clean_share(labels: DataFrame) -> tuple[DataFrame, float | None]:
     return judged, judged.agg(F.avg(F.col("clean").cast("double"))).first()[0]
 
 
-def _counts(docs: DataFrame) -> dict[int, np.ndarray]:
-    """Bucket counts of the n-grams of all texts, for each order."""
+def _names(kind: str) -> list[str]:
+    return [f"{kind}{order}" for order in ORDERS]
+
+
+def _partial(docs: DataFrame, kind: str) -> DataFrame:
+    """(kind, block, n..): bucket counts of each task's texts, in compressed blocks for each order."""
     def count(batches):
         sums = {order: np.zeros(BUCKETS, np.int64) for order in ORDERS}
         for batch in batches:
@@ -83,29 +87,47 @@ def _counts(docs: DataFrame) -> dict[int, np.ndarray]:
         blocks = range(BUCKETS // _BLOCK)
         packed = [pa.array([zlib.compress(own[b * _BLOCK:(b + 1) * _BLOCK].tobytes(), 1) for b in blocks], pa.binary())
                   for own in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), *packed], names=names)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([kind] * len(blocks)), pa.array(blocks, pa.int32()), *packed], names=["kind", "block", *_names("n")])
+
+    schema = ", ".join(["kind string, block int", *(f"{n} binary" for n in _names("n"))])
+    return docs.select("text").mapInArrow(count, schema)
+
+
+def _merged(parts: DataFrame) -> DataFrame:
+    """(block, raw.., target.., and the sums of each): the counts of a block, compressed, in one row."""
+    kinds = [*_names("raw"), *_names("target")]
 
     def fold(batches):
-        sums: dict[int, np.ndarray] = {}
+        sums: dict[int, dict[str, np.ndarray]] = {}
         for batch in batches:
-            for b, *parts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                got = np.stack([np.frombuffer(zlib.decompress(x), np.int64) for x in parts])
-                sums[b] = sums[b] + got if b in sums else got
+            for kind, b, *own in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                block = sums.setdefault(b, {k: np.zeros(_BLOCK, np.int64) for k in kinds})
+                for name, x in zip(_names(kind), own, strict=True):
+                    block[name] += np.frombuffer(zlib.decompress(x), np.int64)
         keys = sorted(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys, pa.int32()),
-             *(pa.array([sums[b][i].tobytes() for b in keys], pa.binary()) for i in range(len(ORDERS)))], names=names)
+             *(pa.array([zlib.compress(sums[b][k].tobytes(), 1) for b in keys], pa.binary()) for k in kinds),
+             *(pa.array([int(sums[b][k].sum()) for b in keys], pa.int64()) for k in kinds)],
+            names=["block", *kinds, *(f"{k}_sum" for k in kinds)])
 
-    names = ["block", *(f"n{order}" for order in ORDERS)]
-    schema = ", ".join(["block int", *(f"n{order} binary" for order in ORDERS)])
-    merged = docs.select("text").mapInArrow(count, schema).repartition(BUCKETS // _BLOCK, "block").mapInArrow(fold, schema)
-    counts = {order: np.zeros(BUCKETS, np.int64) for order in ORDERS}
-    with shuffles_removed(docs.sparkSession):
-        for r in merged.collect():
-            at = slice(r["block"] * _BLOCK, (r["block"] + 1) * _BLOCK)
-            for order, own in counts.items():
-                own[at] = np.frombuffer(r[f"n{order}"], np.int64)
-    return counts
+    schema = ", ".join(["block int", *(f"{k} binary" for k in kinds), *(f"{k}_sum long" for k in kinds)])
+    return settle(parts.repartition(BUCKETS // _BLOCK, "block").mapInArrow(fold, schema), "counts")
+
+
+def _gathered(rows: DataFrame, names: list[str], kind: type) -> dict[int, np.ndarray]:
+    """Blocks of each order put together on the driver."""
+    out = {order: np.zeros(BUCKETS, kind) for order in ORDERS}
+    for r in rows.select("block", *names).collect():
+        for order, name in zip(ORDERS, names, strict=True):
+            out[order][r["block"] * _BLOCK:(r["block"] + 1) * _BLOCK] = np.frombuffer(zlib.decompress(r[name]), kind)
+    return out
+
+
+def _counts(docs: DataFrame) -> dict[int, np.ndarray]:
+    """Bucket counts of the n-grams of all texts, for each order."""
+    return _gathered(_merged(_partial(docs, "raw")), _names("raw"), np.int64)
 
 
 def maybe_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -132,16 +154,28 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, np.ndarray], floa
         return {}, None
     clean = settle(judged.filter("clean").select(F.col("doc_id").cast("long").alias("__quality_id")).filter(
         "__quality_id is not null"), "clean")
-    raws = _counts(docs)
-    targets = _counts(maybe_of(docs, clean).join(clean, "__quality_id", "left_semi"))
-    ratios = {}
-    for order in ORDERS:
-        raw, target = raws[order], targets[order]
-        expected = raw * (target.sum() / max(1, raw.sum()))
-        ratio = np.log((target + SMOOTH) / (expected + SMOOTH))
-        ratio[np.abs(target - expected) < EVIDENCE[order] * np.sqrt(expected + 1)] = 0
-        ratios[order] = ratio.astype(np.float32)
-    return ratios, share
+    labelled = maybe_of(docs, clean).join(clean, "__quality_id", "left_semi")
+    counts = _merged(_partial(docs, "raw").union(_partial(labelled, "target")))
+    totals = counts.agg(*(F.coalesce(F.sum(f"{k}_sum"), F.lit(0)).alias(k)
+                          for k in (*_names("raw"), *_names("target")))).first().asDict()
+
+    def ratio(batches):
+        for batch in batches:
+            out = []
+            for order in ORDERS:
+                of, own = f"raw{order}", f"target{order}"
+                packed = []
+                for a, b in zip(batch.column(of).to_pylist(), batch.column(own).to_pylist(), strict=True):
+                    raw, target = (np.frombuffer(zlib.decompress(x), np.int64) for x in (a, b))
+                    expected = raw * (totals[own] / max(1, totals[of]))
+                    found = np.log((target + SMOOTH) / (expected + SMOOTH))
+                    found[np.abs(target - expected) < EVIDENCE[order] * np.sqrt(expected + 1)] = 0
+                    packed.append(zlib.compress(found.astype(np.float32).tobytes(), 1))
+                out.append(pa.array(packed, pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), *out], names=["block", *_names("ratio")])
+
+    schema = ", ".join(["block int", *(f"{n} binary" for n in _names("ratio"))])
+    return _gathered(counts.mapInArrow(ratio, schema), _names("ratio"), np.float32), share
 
 
 def _noise(ids: np.ndarray, seed: int) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Classifier, extraction and search: held-out accuracy, literal pages, recall against brute force."""
 
 import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -142,6 +143,18 @@ def test_every_label_counts(spark):
     assert share == pytest.approx(0.5, abs=1e-4)
 
 
+def test_the_driver_gets_ratios_only(spark, monkeypatch):
+    """Counts stay in the shared folder: the driver collects the compressed ratios, a quarter of their size at most."""
+    docs, labels, _ = corpus(spark, 200)
+    seen = []
+    kept = quality._gathered
+    monkeypatch.setattr(quality, "_gathered", lambda rows, names, kind: seen.append(
+        sum(len(x) for r in rows.select(*names).collect() for x in r)) or kept(rows, names, kind))
+    ratios, _ = quality.fit(docs, labels)
+    assert len(seen) == 1 and seen[0] < 2 * quality.BUCKETS
+    assert all(own.dtype == np.float32 for own in ratios.values()) and ratios[1].any()
+
+
 def test_only_labelled_texts_reach_the_join(spark):
     """Labels too many to broadcast must not send every text through a shuffle."""
     docs = spark.range(20_000).select(F.when(F.col("id") > 9, F.col("id")).alias("doc_id"), F.lit("plain").alias("text"))
@@ -267,6 +280,20 @@ def clusters(n: int, dim: int = 32, seed: int = 6) -> np.ndarray:
     return rng.normal(size=(20, dim))[rng.integers(0, 20, n)] + rng.normal(scale=0.05, size=(n, dim))
 
 
+def test_many_probes_cost_no_more_than_a_column(monkeypatch):
+    """Probes that reach nearly all codes: the same rows as from the lists, in far less time."""
+    own = np.random.default_rng(4).integers(0, 1 << 16, (20_000, hashing_search.PARTS), dtype=np.uint16)
+    index, seconds, found = hashing_search.SubstringIndex(own), {}, {}
+    for cost in (0, hashing_search.PROBE_COST):
+        monkeypatch.setattr(hashing_search, "PROBE_COST", cost)
+        start = time.process_time()
+        found[cost] = [index.inside(q, 108) for q in own[:30]]
+        seconds[cost] = time.process_time() - start
+    (few, lists), (_, columns) = found.items()
+    assert all((a == b).all() and n == m for (a, n), (b, m) in zip(lists, columns, strict=True))
+    assert columns[0][1] > 0.9 * len(own) and seconds.pop(few) > 2 * max(seconds.values())
+
+
 def test_clusters_leave_most_codes_out():
     x = clusters(2000)
     norm = float(np.sqrt((x * x).sum(1).max())) * (1 + 1e-12)
