@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,20 +91,20 @@ def _units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
 
 
 def _pairs(texts: pa.Array):
-    """Per slice: first row, offsets, then row, start, end and digest of each chunk with the next one."""
+    """Per slice: first row, bytes, offsets, then row, start, end and digest of each chunk with the next one."""
     for lo, _, data, offs in text_slices(texts):
         starts, ends = cuts(data, offs)
         row = np.searchsorted(offs, starts, "right") - 1
         same = row[1:] == row[:-1]
         begin, end = starts[:-1][same], ends[1:][same]
         if len(begin):
-            yield lo, offs, row[:-1][same], begin, end, span_hashes(data, begin, end)
+            yield lo, data, offs, row[:-1][same], begin, end, span_hashes(data, begin, end)
 
 
 def _digests(texts: pa.Array) -> np.ndarray:
     """The digests, each once per row."""
     found = [np.zeros(0, np.uint64)]
-    for _, _, row, _, _, digest in _pairs(texts):
+    for _, _, _, row, _, _, digest in _pairs(texts):
         order = np.lexsort((digest, row))
         row, digest = row[order], digest[order]
         found.append(digest[np.append(True, (digest[1:] != digest[:-1]) | (row[1:] != row[:-1]))])
@@ -122,18 +122,38 @@ def _stretches(offs, row, begin, end, least: int):
     return lo[at], hi[at], (hi - lo >= least)[at]
 
 
+def _sides(data: np.ndarray, offs, row, begin, end, least: int) -> np.ndarray:
+    """Two hashes of 8 bits of the bytes before and behind each pair, in one number; 0 where the row ends earlier.
+
+    A run of ``least`` equal bytes around a pair reaches half of what it has besides it on one side at least.
+    """
+    reach = np.maximum(1, -(-(least - (end - begin)) // 2))
+    out = np.zeros(len(row), np.uint64)
+    before, behind = begin - reach >= offs[row], end + reach <= offs[row + 1]
+    for has, lo, hi, shift in ((before, begin - reach, begin, 0), (behind, end, end + reach, 8)):
+        found = span_hashes(data, lo[has], hi[has]) >> np.uint64(56)
+        out[has] |= np.maximum(found, np.uint64(1)) << np.uint64(shift)
+    return out.astype(np.int32)
+
+
+def _same_side(a: Column, b: Column) -> Column:
+    """False only where the bytes on neither side can be equal."""
+    both = lambda mask: (a.bitwiseAND(mask) != 0) & (a.bitwiseAND(mask) == b.bitwiseAND(mask))
+    return both(F.lit(0xFF)) | both(F.lit(0xFF00))
+
+
 def _postings(docs: DataFrame, least: int) -> DataFrame:
-    """(digest, id, doc, at, lo, hi, more): repeated pairs of chunks, one row per document."""
+    """(digest, id, doc, at, lo, hi, by, more): repeated pairs of chunks, one row per document."""
     total = docs.agg(F.sum(F.length("text"))).first()[0] or 1
     bitmap = seen_twice(docs.select("text"), lambda batch: _digests(batch.column(0)),
                         filter_bits(total // (WINDOW // 2), 8))
     held = docs.sparkSession.sparkContext.broadcast(bitmap)
-    place = pa.struct([("at", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
+    place = pa.struct([(c, pa.int32()) for c in ("at", "lo", "hi", "by")])
 
     def run(batches):
         for batch in batches:
             ids, names = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for base, offs, row, begin, end, digest in _pairs(batch.column(2)):
+            for base, data, offs, row, begin, end, digest in _pairs(batch.column(2)):
                 keep = contains(held.value, digest)
                 if not keep.any():
                     continue
@@ -144,6 +164,7 @@ def _postings(docs: DataFrame, least: int) -> DataFrame:
                 order = order[np.lexsort((digest[order], row[order]))]
                 if not len(order):
                     continue
+                by = _sides(data, offs, row[order], begin[order], end[order], least)
                 row, digest = row[order], digest[order]
                 at, lo, hi = (x[order].astype(np.int32) for x in (at, lo, hi))
                 further = np.append(False, (digest[1:] == digest[:-1]) & (row[1:] == row[:-1]))
@@ -151,15 +172,15 @@ def _postings(docs: DataFrame, least: int) -> DataFrame:
                 n = np.diff(np.append(first, len(row)))
                 more = pa.ListArray.from_arrays(
                     pa.array(np.append(0, np.cumsum(n - 1)).astype(np.int32)),
-                    pa.StructArray.from_arrays([pa.array(x[further]) for x in (at, lo, hi)], fields=list(place)),
+                    pa.StructArray.from_arrays([pa.array(x[further]) for x in (at, lo, hi, by)], fields=list(place)),
                     mask=pa.array(n == 1))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(digest[first].view(np.int64)), pa.array(ids[base + row[first]]),
-                     pa.array(names[base + row[first]]), *(pa.array(x[first]) for x in (at, lo, hi)), more],
-                    names=["digest", "id", "doc", "at", "lo", "hi", "more"])
+                     pa.array(names[base + row[first]]), *(pa.array(x[first]) for x in (at, lo, hi, by)), more],
+                    names=["digest", "id", "doc", "at", "lo", "hi", "by", "more"])
 
     rows = docs.select("id", "doc", "text").mapInArrow(
-        run, "digest long, id long, doc long, at int, lo int, hi int, more array<struct<at:int,lo:int,hi:int>>")
+        run, "digest long, id long, doc long, at int, lo int, hi int, by int, more array<struct<at:int,lo:int,hi:int,by:int>>")
     rows = settle(rows, "chunks")
     held.destroy()
     return rows
@@ -169,14 +190,17 @@ def _meetings(docs: DataFrame, least: int) -> DataFrame:
     """(id, doc, lo, hi, first, first_doc, shift, ats): stretches and where their chunks' holders have them."""
     seen = _postings(docs, least)
     first = seen.groupBy("digest").agg(
-        F.min(F.struct("id", "doc", "at", F.transform("more", lambda p: p["at"]).alias("more"))).alias("h"),
+        F.min(F.struct("id", "doc", "at", "by", F.transform("more", lambda p: F.struct(p["at"], p["by"])).alias("more"))).alias("h"),
         F.max("id").alias("last"))
     met = seen.join(first.filter("h.id < last").select("digest", "h"), "digest").filter("id > h.id")
     one = met.select("id", "doc", "h", F.posexplode(F.concat(
-        F.array(F.struct("at", "lo", "hi")),
-        F.coalesce("more", F.array().cast("array<struct<at:int,lo:int,hi:int>>")))).alias("k", "p"))
+        F.array(F.struct("at", "lo", "hi", "by")),
+        F.coalesce("more", F.array().cast("array<struct<at:int,lo:int,hi:int,by:int>>")))).alias("k", "p"))
     turn = F.col("k") % (F.coalesce(F.size("h.more"), F.lit(0)) + 1)
-    there = F.when(F.col("h.more").isNull() | (turn == 0), F.col("h.at")).otherwise(F.get("h.more", turn - 1))
+    there = F.when(F.col("h.more").isNull() | (turn == 0), F.struct(F.col("h.at").alias("at"), F.col("h.by").alias("by"))
+                   ).otherwise(F.get("h.more", turn - 1))
+    one = one.select("id", "doc", "h", "p", there.alias("t")).filter(_same_side(F.col("p.by"), F.col("t.by")))
+    there = F.col("t.at")
     return one.select(
         "id", "doc", "p.lo", "p.hi", F.col("h.id").alias("first"), F.col("h.doc").alias("first_doc"),
         (F.col("p.at") - there).alias("shift"), "p.at").groupBy(
@@ -225,9 +249,17 @@ def _cover(spans: list[dict]) -> list[dict]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(id, doc, text); ``doc`` is the text's hash: rows of one id with different texts have places of their own."""
+    """(id, doc, text); ``doc`` is the text's hash: rows of one id with different texts have places of their own.
+
+    Where no id is repeated it is 0, which costs a shuffle next to nothing.
+    """
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"),
-                       F.xxhash64("text").alias("doc"), "text")
+                       (F.xxhash64("text") if _repeats(docs) else F.lit(0).cast("long")).alias("doc"), "text")
+
+
+def _repeats(docs: DataFrame) -> bool:
+    ids = docs.groupBy(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id")).count()
+    return not ids.filter("count > 1").isEmpty()
 
 
 def _once(texts: DataFrame) -> DataFrame:
@@ -281,7 +313,7 @@ def without_repeats(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     spans = _spans(docs, min_span).groupBy(F.col("id").alias("__chunk_id"), F.col("doc").alias("__chunk_doc")).agg(
         F.array_sort(F.collect_list(F.struct("start", "length"))).alias("__chunk_spans"))
     keyed = docs.withColumns({"__chunk_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)),
-                              "__chunk_doc": F.xxhash64("text")})
+                              "__chunk_doc": F.xxhash64("text") if _repeats(docs) else F.lit(0).cast("long")})
     joined = keyed.join(settle(spans, "spans").hint("shuffle_hash"), ["__chunk_id", "__chunk_doc"], "left").drop(
         "__chunk_id", "__chunk_doc")
     names = docs.columns

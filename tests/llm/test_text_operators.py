@@ -482,3 +482,21 @@ def test_spans_hold_all_repeated_windows(sf_docs):
     for i in texts:
         assert covered(got[i]) >= covered((a, b) for a, b, w in own[i] if first[w] < i)
     assert got
+
+
+def test_passages_too_short_for_a_span_are_not_asked_for(spark):
+    """Three short shared passages in a row make a long stretch; no holder's bytes are fetched for it in vain."""
+    rng = np.random.default_rng(8)
+    passage = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n))
+    rows = []
+    for i in range(100):
+        shared = [passage(8) for _ in range(3)]
+        rows += [(4 * i + k, f"{passage(20)} {p} {passage(20)}") for k, p in enumerate(shared)]
+        rows.append((4 * i + 3, " ".join(shared)))
+    asked = chunks._meetings(chunks._keyed(spark.createDataFrame(rows, "doc_id long, text string")), 99)
+    assert asked.count() < 30
+    whole = passage(30)
+    more = spark.createDataFrame([*rows, (900, f"{passage(9)} {whole} {passage(9)}"), (901, f"{passage(5)} {whole}")],
+                                 "doc_id long, text string")
+    got = chunks.repeated_spans(more).collect()
+    assert [(r["doc_id"], r["first_doc_id"], r["length"]) for r in got] == [(901, 900, len(whole))]
