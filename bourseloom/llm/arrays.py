@@ -47,7 +47,7 @@ def _powers(kind: str, base: int, n: int) -> np.ndarray:
 
 
 def text_slices(
-    column: pa.Array, limit: int = 1 << 20
+    column: pa.Array, limit: int = 1 << 18
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows as (first row, end row, bytes, offsets), each of about ``limit`` bytes.
 

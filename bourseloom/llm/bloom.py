@@ -9,9 +9,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from bourseloom.llm.store import shuffles_removed
+from bourseloom.llm.store import shuffles_removed, text_batches
 
 BLOCK_BYTES = 1 << 17
+#: Keys that are put into the filters at a time.
+RUN = 1 << 16
 PROBES = 3
 
 
@@ -51,8 +53,8 @@ class OnceTwice:
 
     def add(self, keys: np.ndarray) -> None:
         """Keys of a run of documents, each key once per document."""
-        distinct, counts = np.unique(keys, return_counts=True)
-        if len(distinct):
+        for lo in range(0, len(keys), RUN):
+            distinct, counts = np.unique(keys[lo:lo + RUN], return_counts=True)
             again = (counts > 1) | contains(self.once, distinct)
             _set(self.twice, distinct[again])
             _set(self.once, distinct)
@@ -70,7 +72,8 @@ def seen_twice(
 ) -> np.ndarray:
     """Bitmap of the keys that occur in at least ``least`` (1 or 2) documents of ``rows``.
 
-    Each task fills both filters for its rows. Merged, a key is seen twice where either side
+    Each task fills both filters for its rows, in small batches, and hands on a block at a time, so
+    beside the two filters it holds little. Merged, a key is seen twice where either side
     says so, or where both sides saw it once. Parts travel compressed, at about their entropy;
     each block is folded as a stream. The driver gets ``bits / 8`` bytes.
     """
@@ -80,10 +83,10 @@ def seen_twice(
         both = OnceTwice(bits)
         for batch in batches:
             both.add(hashes(batch))
-        found = list(both.parts())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary()),
-             pa.array([f[2] for f in found], pa.binary())], names=["block", "once", "twice"])
+        for b, once, twice in both.parts():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b], pa.int32()), pa.array([once], pa.binary()), pa.array([twice], pa.binary())],
+                names=["block", "once", "twice"])
 
     def fold(batches):
         blocks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -102,7 +105,7 @@ def seen_twice(
             names=["block", "bits"])
 
     n = max(1, bits // 8 // BLOCK_BYTES)
-    with shuffles_removed(rows.sparkSession):
+    with shuffles_removed(rows.sparkSession), text_batches(rows.sparkSession):
         merged = rows.mapInArrow(fill, schema).repartition(n, "block").mapInArrow(
             fold, "block int, bits binary").collect()
     bitmap = np.zeros(bits // 8, np.uint8)

@@ -39,7 +39,7 @@ from pyspark.sql import Window as W
 from bourseloom.llm.arrays import mix, row_sets
 from bourseloom.llm.bloom import contains, filter_bits, seen_twice
 from bourseloom.llm.components import components
-from bourseloom.llm.store import settle
+from bourseloom.llm.store import settle, settle_texts
 
 #: Share of the hash range whose fragments choose candidates.
 ORDER_SHARE = 0.375
@@ -132,7 +132,7 @@ def postings(docs: DataFrame, repeated: np.ndarray) -> DataFrame:
                  pa.array(np.repeat(np.array(n, np.int32), counts)),
                  pa.array(np.repeat(np.array(r, np.int32), counts))], names=["s", "node", "n", "r"])
 
-    made = settle(docs.select("text").mapInArrow(run, "s long, node long, n int, r int"), "postings")
+    made = settle_texts(docs.select("text").mapInArrow(run, "s long, node long, n int, r int"), "postings")
     shared.destroy()
     return made
 
@@ -192,7 +192,7 @@ def fragments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     schema = ", ".join(["node long, n long", *(f"{w} long" for w in WORD_NAMES), "parts array<array<long>>"])
     made = docs.select("text").mapInArrow(run, schema)
-    out = settle(made.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "fragments")
+    out = settle_texts(made.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "fragments")
     held.destroy()
     return out
 
@@ -319,7 +319,7 @@ def jaccard_classes(docs: DataFrame, every: bool = False) -> DataFrame:
     It needs every link by itself: its cost grows with the square of a group of near copies, while
     the classes need only links that span each group.
     """
-    members = settle(sets(docs), "members")
+    members = settle_texts(sets(docs), "members")
     links, found = all_links(docs, members, every)
     named = members.join(found, "node", "left").select(
         "doc_id", "n_shingles", "node", F.coalesce("component", "node").alias("class"))

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bourseloom.session import work_dir
 
+TEXT_BATCH = "2m"
+
 
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
@@ -23,6 +25,18 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def text_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside give Python workers batches of at most ``TEXT_BATCH``, not 10,000 whole texts at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, TEXT_BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back."""
     spark = df.sparkSession
@@ -32,6 +46,12 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle_texts(df: DataFrame, name: str) -> DataFrame:
+    """``settle`` for a step whose tasks pass whole texts to Python."""
+    with text_batches(df.sparkSession):
+        return settle(df, name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
