@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from bourseloom.llm.arrays import LOWER_TABLE, SPACE_BYTES
 from bourseloom.llm.bloom import contains, filter_bits, seen_twice
-from bourseloom.llm.store import settle
+from bourseloom.llm.store import settle, settle_texts
 
 _ID, _DROP = "__line_doc", "__line_drop"
 _NULL_ID = -(1 << 63)
@@ -72,7 +72,7 @@ def repeated_keys(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[DataF
                 [pa.array(digests[held, 0]), pa.array(digests[held, 1]), pa.array(ids[held])],
                 names=["k1", "k2", _ID])
 
-    held = settle(texts.mapInArrow(suspects, f"k1 long, k2 long, {_ID} long"), "suspect-lines")
+    held = settle_texts(texts.mapInArrow(suspects, f"k1 long, k2 long, {_ID} long"), "suspect-lines")
     sure = (held.groupBy("k1", "k2")
             .agg(F.count_distinct(_ID).alias("docs"), F.max(_ID).alias("keep"))
             .filter(F.col("docs") >= min_docs).select("k1", "k2", "keep"))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bourseloom.llm.arrays import mix
-from bourseloom.llm.store import settle
+from bourseloom.llm.store import settle_texts
 from bourseloom.llm.tokens import default_path, encoder
 
 K1, B = 1.2, 0.75
@@ -214,7 +214,7 @@ def pack(
     path = path or default_path()
     tool = encoder(path)
     size = max(tool.vocab_size, end_id + 1)
-    rows = settle(encoded(docs, path, end_id), "encoded")
+    rows = settle_texts(encoded(docs, path, end_id), "encoded")
     texts = rows.filter(F.col("ids").isNotNull()).drop("seen")
     totals = texts.agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("tokens")).first()
     n, tokens = totals["n"], totals["tokens"] or 0

@@ -38,13 +38,15 @@ from pyspark.sql import functions as F
 
 from bourseloom.llm.arrays import mix, span_hashes, text_slices, word_spans
 from bourseloom.llm.bloom import contains, filter_bits, seen_twice
-from bourseloom.llm.store import settle
+from bourseloom.llm.store import settle, settle_texts
 from bourseloom.operators.quantiles import exact_quantiles
 
 BUCKETS, ORDERS = 1 << 20, (1, 2)
 SMOOTH, EVIDENCE = 0.5, {1: 2.0, 2: 4.0}
 SEED = 11
 HELD_OUT, LOSS = 4, 0.001
+#: Labelled ids up to this number are broadcast.
+FEW_IDS = 50_000
 _BLOCK = 1 << 14
 
 
@@ -113,7 +115,7 @@ def _merged(parts: DataFrame) -> DataFrame:
             names=["block", *kinds, *(f"{k}_sum" for k in kinds)])
 
     schema = ", ".join(["block int", *(f"{k} binary" for k in kinds), *(f"{k}_sum long" for k in kinds)])
-    return settle(parts.repartition(BUCKETS // _BLOCK, "block").mapInArrow(fold, schema), "counts")
+    return settle_texts(parts.repartition(BUCKETS // _BLOCK, "block").mapInArrow(fold, schema), "counts")
 
 
 def _gathered(rows: DataFrame, names: list[str], kind: type) -> dict[int, np.ndarray]:
@@ -147,6 +149,18 @@ def maybe_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
         "__quality_id is not null").mapInArrow(run, "__quality_id long, text string")
 
 
+def labelled_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(__quality_id, text) of the documents whose id is one of ``ids``.
+
+    Few ids are broadcast, without a filter. With many, the filter and what comes after the join are parted
+    by a shuffle: in no plan does a task hold two Python workers.
+    """
+    if ids.count() <= FEW_IDS:
+        keyed = docs.select(F.col("doc_id").cast("long").alias("__quality_id"), "text")
+        return keyed.join(F.broadcast(ids), "__quality_id", "left_semi")
+    return maybe_of(docs, ids).join(ids.hint("merge"), "__quality_id", "left_semi")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, np.ndarray], float | None]:
     """Log ratio per bucket for each n-gram order, and the share of clean documents."""
     judged, share = clean_share(labels)
@@ -154,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, np.ndarray], floa
         return {}, None
     clean = settle(judged.filter("clean").select(F.col("doc_id").cast("long").alias("__quality_id")).filter(
         "__quality_id is not null"), "clean")
-    labelled = maybe_of(docs, clean).join(clean, "__quality_id", "left_semi")
+    labelled = labelled_texts(docs, clean)
     counts = _merged(_partial(docs, "raw").union(_partial(labelled, "target")))
     totals = counts.agg(*(F.coalesce(F.sum(f"{k}_sum"), F.lit(0)).alias(k)
                           for k in (*_names("raw"), *_names("target")))).first().asDict()
@@ -260,7 +274,7 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
                 [batch.column(0), *map(pa.array, _score(model.value, own, batch.column(1), seed))],
                 names=["id", "weight", "score"])
 
-    scores = settle(docs.select(ids.alias("id"), "text").mapInArrow(
+    scores = settle_texts(docs.select(ids.alias("id"), "text").mapInArrow(
         narrow, "id long, weight double, score double"), "scores")
     low, high, zone = float("-inf"), float("inf"), scores
     if share is None:

@@ -1,5 +1,6 @@
 """Python workers get texts in small batches and hold little beside their filters."""
 
+import re
 import tracemalloc
 
 import numpy as np
@@ -7,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from bourseloom.llm import jaccard_join, store
+from bourseloom.llm import jaccard_join, line_dedup, packing, quality, store
 from bourseloom.llm.arrays import mix
 from bourseloom.llm.bloom import OnceTwice, contains, filter_bits, seen_twice
 
@@ -47,7 +48,10 @@ def test_texts_are_settled_in_small_batches(long_texts):
 
 @pytest.mark.parametrize(("step", "names"), [
     (jaccard_join.jaccard_classes, {"members", "postings", "fragments"}),
-], ids=["jaccard"])
+    (line_dedup.drop_repeated_lines, {"suspect-lines"}),
+    (lambda docs: quality.resample(docs, docs.selectExpr("doc_id", "1 quality", "0 toxic")), {"counts", "scores"}),
+    (packing.pack, {"encoded"}),
+], ids=["jaccard", "lines", "quality", "packing"])
 def test_steps_over_texts_have_small_batches(spark, odd_docs, step, names, monkeypatch):
     held, real, before = {}, store.settle, spark.conf.get(KEY)
 
@@ -69,3 +73,16 @@ def test_a_filter_takes_keys_in_runs():
     tracemalloc.stop()
     assert peak < 16_008_000 + (16 << 20)  # the keys themselves and one run's arrays
     assert contains(both.once, keys).all() and contains(both.twice, keys[:1000]).all()
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_no_task_has_two_python_workers(spark, few, monkeypatch):
+    monkeypatch.setattr(quality, "FEW_IDS", few)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)] + [(None, "x")], "doc_id long, text string")
+    ids = spark.range(0, 50, 5).select(F.col("id").alias("__quality_id"))
+    found = quality.labelled_texts(docs, ids)
+    assert sorted(tuple(r) for r in found.collect()) == sorted((i, f"text {i}") for i in range(0, 50, 5))
+    counted = quality._partial(found, "target")
+    plan = counted._jdf.queryExecution().sparkPlan().toString()
+    assert len(re.findall("MapInArrow", plan)) == (1 if few else 2)
+    assert ("SortMergeJoin" in plan) == (not few)  # a shuffle parts the two
